@@ -233,3 +233,64 @@ SQL = {
         SELECT event_id, machine_id, _good_ts, product_code, quantity_produced, unit, shift, 1
         FROM base WHERE _i % 66 = 0 AND _i % 50 <> 7""",
 }
+
+
+# ---------------------------------------------------------------------------
+# Text (CSV-shaped) batch of all four tables, for the ingest path.  Machines carry
+# injected missing names (key % 97 = 0) and unparsable install dates (key % 89 = 0);
+# production events are the dirty batch above; checks and maintenance are the clean
+# bindings written as text (ISO timestamps, '' for absent optional values).
+# ``_file`` / ``_pos`` give the file order used for first-wins rules.
+# ---------------------------------------------------------------------------
+_ISO = "yyyy-MM-dd'T'HH:mm:ss"
+
+
+def text_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    machines_txt = c.select(
+        F.concat(F.lit("M"), _s("c_custkey")).alias("machine_id"),
+        F.when(k % 97 == 0, F.lit("")).otherwise(F.col("c_name")).alias("machine_name"),
+        F.col("c_mktsegment").alias("machine_type"),
+        F.when(k % 89 == 0, F.lit("not-a-date"))
+        .otherwise(F.date_add(F.lit(_dt.date(2018, 1, 1)), F.col("c_nationkey")).cast("string"))
+        .alias("install_date"),
+        F.lit("machines").alias("_file"), F.lit(0).cast("bigint").alias("_pos"),
+    )
+    ev = dirty_production_events(spark, sf_dir)
+    events_txt = ev.select(
+        *[x for x in ev.columns if x != "ord"],
+        F.lit("production_events").alias("_file"), F.col("ord").cast("bigint").alias("_pos"))
+    qc = quality_checks(spark, sf_dir)
+    checks_txt = qc.select(
+        "check_id", "production_event_id",
+        F.date_format("check_timestamp", _ISO).alias("timestamp"), "result",
+        F.coalesce("defect_type", F.lit("")).alias("defect_type"),
+        F.coalesce("inspector_id", F.lit("")).alias("inspector_id"),
+        F.lit("quality_checks").alias("_file"), F.lit(0).cast("bigint").alias("_pos"))
+    mt = maintenance_events(spark, sf_dir)
+    maint_txt = mt.select(
+        "maintenance_id", "machine_id",
+        F.date_format("start_time", _ISO).alias("start_time"),
+        F.date_format("end_time", _ISO).alias("end_time"),
+        "maintenance_type", "technician_id",
+        F.lit("maintenance_events").alias("_file"), F.lit(0).cast("bigint").alias("_pos"))
+    return {"machines": machines_txt, "production_events": events_txt,
+            "quality_checks": checks_txt, "maintenance_events": maint_txt}
+
+
+SQL["machines_text"] = """
+    SELECT 'M' || c_custkey AS machine_id,
+           CASE WHEN c_custkey % 97 = 0 THEN '' ELSE c_name END AS machine_name,
+           c_mktsegment AS machine_type,
+           CASE WHEN c_custkey % 89 = 0 THEN 'not-a-date'
+                ELSE CAST(CAST(DATE '2018-01-01' + c_nationkey AS DATE) AS VARCHAR) END AS install_date
+    FROM customer"""
+SQL["checks_text"] = """
+    SELECT check_id, production_event_id, strftime(check_timestamp, '%Y-%m-%dT%H:%M:%S') AS timestamp,
+           result, coalesce(defect_type, '') AS defect_type, coalesce(inspector_id, '') AS inspector_id
+    FROM quality_checks"""
+SQL["maintenance_text"] = """
+    SELECT maintenance_id, machine_id, strftime(start_time, '%Y-%m-%dT%H:%M:%S') AS start_time,
+           strftime(end_time, '%Y-%m-%dT%H:%M:%S') AS end_time, maintenance_type, technician_id
+    FROM maintenance_events"""
