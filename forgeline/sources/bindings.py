@@ -9,7 +9,7 @@ Clean binding (typed raw tables, as if already ingested):
   quality_checks      <- lineitem
   maintenance_events  <- lineitem
 Dirty binding (raw text rows + file order ``ord``) <- events, with rule-breaking values
-injected by key arithmetic, for the validation / quarantine / dedup operators.
+(and a unit outside the accepted list) injected by key arithmetic, for the validation / quarantine / dedup operators.
 """
 
 from __future__ import annotations
@@ -150,7 +150,7 @@ def dirty_production_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 2, ts_text).otherwise(bad_ts).alias("timestamp"),
         F.col("event_type").alias("product_code"),
         F.when(kind == 1, F.lit("9999")).otherwise(bad_qty).alias("quantity_produced"),
-        _unit(i).alias("unit"),
+        F.when(i % 59 == 0, F.lit("pcs")).otherwise(_unit(i)).alias("unit"),
         _shift(F.col("ts")).alias("shift"),
         F.when(kind == 0, F.lit(0)).otherwise(F.lit(1)).alias("ord"),
     )
@@ -219,7 +219,8 @@ SQL = {
                         WHEN event_id % 67 = 0 THEN '0'
                         WHEN event_id % 71 = 0 THEN CAST(-CAST(floor(value) + 1 AS BIGINT) AS VARCHAR)
                         ELSE CAST(CAST(floor(value) + 1 AS BIGINT) AS VARCHAR) END AS quantity_produced,
-                   CASE WHEN event_id % 20 = 0 THEN 'kg' ELSE 'units' END AS unit,
+                   CASE WHEN event_id % 59 = 0 THEN 'pcs' WHEN event_id % 20 = 0 THEN 'kg'
+                        ELSE 'units' END AS unit,
                    CASE WHEN hour(ts) < 8 THEN 'night' WHEN hour(ts) < 16 THEN 'morning'
                         ELSE 'afternoon' END AS shift,
                    strftime(ts, '%Y-%m-%dT%H:%M:%S') AS _good_ts
