@@ -92,3 +92,86 @@ def q_mart_machine_downtime(spark, sf_dir):
     st = staged(spark, sf_dir)
     return rounded(M.mart_machine_downtime(st["stg_machines"], st["stg_maintenance_events"]),
                    ["total_downtime_hours"])
+
+
+# ---------------------------------------------------------------------------
+# Individual joins, aggregates and windows of the models (J1-J3, A2, A3, A6, W2, O1)
+# ---------------------------------------------------------------------------
+from forgeline.operators.topk import count_per_key, top_k_per_group  # noqa: E402
+
+
+@register("join_event_machine", with_ctes("stg_production_events", "stg_machines") + """
+    SELECT p.event_id, p.machine_id, m.machine_type
+    FROM stg_production_events p LEFT JOIN stg_machines m ON p.machine_id = m.machine_id""")
+def q_join_event_machine(spark, sf_dir):
+    st = staged(spark, sf_dir)
+    return st["stg_production_events"].join(
+        st["stg_machines"].select("machine_id", "machine_type"), "machine_id", "left").select(
+        "event_id", "machine_id", "machine_type")
+
+
+@register("join_event_latest_check", with_ctes("stg_production_events", "quality_ranked") + """
+    SELECT p.event_id, q.check_id, q.result AS quality_result, q.check_count_for_event
+    FROM stg_production_events p
+    LEFT JOIN (SELECT * FROM quality_ranked WHERE check_rank = 1) q ON q.production_event_id = p.event_id""")
+def q_join_event_latest_check(spark, sf_dir):
+    st = staged(spark, sf_dir)
+    chk = _latest(st).select(F.col("production_event_id").alias("event_id"), "check_id",
+                             F.col("result").alias("quality_result"), "check_count_for_event")
+    return st["stg_production_events"].select("event_id").join(chk, "event_id", "left")
+
+
+@register("join_machine_maintenance", with_ctes("stg_machines", "stg_maintenance_events") + """
+    SELECT m.machine_id, x.maintenance_id, x.end_time
+    FROM stg_machines m LEFT JOIN stg_maintenance_events x ON m.machine_id = x.machine_id""")
+def q_join_machine_maintenance(spark, sf_dir):
+    st = staged(spark, sf_dir)
+    return st["stg_machines"].select("machine_id").join(
+        st["stg_maintenance_events"].select("machine_id", "maintenance_id", "end_time"), "machine_id", "left")
+
+
+@register("count_filter", with_ctes("int_production_enriched") + """
+    SELECT product_code, shift,
+           count(*) FILTER (WHERE quality_result = 'fail') AS fail_count,
+           count(*) FILTER (WHERE has_unit_inconsistency) AS unit_inconsistency_count
+    FROM int_production_enriched GROUP BY 1, 2""")
+def q_count_filter(spark, sf_dir):
+    st = staged(spark, sf_dir)
+    ev = I.events_with_check(st["stg_production_events"], _latest(st))
+    return ev.groupBy("product_code", "shift").agg(
+        F.count_if(F.col("quality_result") == "fail").alias("fail_count"),
+        F.count_if(F.col("has_unit_inconsistency")).alias("unit_inconsistency_count"))
+
+
+@register("count_non_null", with_ctes("int_production_enriched") + """
+    SELECT machine_id, count(*) AS event_count, count(check_id) AS checked_count
+    FROM int_production_enriched GROUP BY 1""")
+def q_count_non_null(spark, sf_dir):
+    st = staged(spark, sf_dir)
+    ev = I.events_with_check(st["stg_production_events"], _latest(st))
+    return ev.groupBy("machine_id").agg(F.count(F.lit(1)).alias("event_count"),
+                                        F.count("check_id").alias("checked_count"))
+
+
+@register("defect_rate", with_ctes("mart_production_daily") + """
+    SELECT production_day_id, fail_count, checked_count, defect_rate FROM mart_production_daily""")
+def q_defect_rate(spark, sf_dir):
+    return production_daily(spark, sf_dir).select("production_day_id", "fail_count", "checked_count",
+                                                  "defect_rate")
+
+
+@register("check_count", with_ctes("quality_ranked") + """
+    SELECT check_id, production_event_id, check_count_for_event FROM quality_ranked""")
+def q_check_count(spark, sf_dir):
+    chk = staged(spark, sf_dir)["stg_quality_checks"].select("check_id", "production_event_id")
+    return count_per_key(chk, "production_event_id", "check_count_for_event").select(
+        "check_id", "production_event_id", "check_count_for_event")
+
+
+@register("topk_per_group", with_ctes("quality_ranked") + """
+    SELECT production_event_id, check_id, check_rank AS rank FROM quality_ranked WHERE check_rank = 1""")
+def q_topk_per_group(spark, sf_dir):
+    chk = staged(spark, sf_dir)["stg_quality_checks"]
+    return top_k_per_group(chk, ["production_event_id"],
+                           [F.desc("check_timestamp"), F.desc("check_id")], 1).select(
+        "production_event_id", "check_id", "rank")

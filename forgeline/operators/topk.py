@@ -37,3 +37,11 @@ def top_k_per_group(df: DataFrame, partition_by: list[str], order_by: list, k: i
     """
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
     return df.withColumn(rank_alias, F.row_number().over(w)).filter(F.col(rank_alias) <= k)
+
+
+def count_per_key(df: DataFrame, key: str, alias: str) -> DataFrame:
+    """``count(*) over (partition by key)`` on every row, as a partial aggregate joined
+    back: hot keys are pre-counted map-side, and the join back is split by AQE when a
+    key's rows are skewed, instead of one task buffering a whole key's window."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(alias))
+    return df.join(counts, key)
