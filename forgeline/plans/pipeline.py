@@ -1,0 +1,74 @@
+"""The daily pipeline: detect -> ingest -> models -> data tests -> gate -> scoring."""
+
+from __future__ import annotations
+
+import logging
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from forgeline import contracts as C
+from forgeline.operators.quality import dq_gate, dq_report
+from forgeline.plans.ingest import ingest_folder
+from forgeline.plans.models import MARTS, build_models
+from forgeline.plans.scoring import score_anomalies
+from forgeline.plans.tests_suite import SUITE
+from forgeline.sources.store import TableStore
+
+log = logging.getLogger("forgeline.pipeline")
+
+
+def raw_from_store(store: TableStore) -> dict[str, DataFrame]:
+    return {t: store.read(t, C.RAW_SCHEMAS[t]) for t in C.INGEST_ORDER}
+
+
+def materialize_models(store: TableStore) -> dict[str, DataFrame]:
+    """Build the model graph from the stored raw tables and write the marts.
+
+    Staging and intermediate models stay lazy (views); the newest-check intermediate,
+    which two marts share and which shuffles the largest table, is written once and
+    read back; each mart is written as a new table version."""
+    raw = raw_from_store(store)
+    first = build_models(raw)
+    store.overwrite(first["int_latest_quality_check"], "int_latest_quality_check")
+    models = build_models(raw, latest=store.read("int_latest_quality_check"))
+    for m in MARTS:
+        store.overwrite(models[m], m)
+        models[m] = store.read(m)
+    return models
+
+
+def arrived(spark: SparkSession, data_dir: str) -> bool:
+    """Has the day's drop folder arrived (its production events file is present)?"""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{data_dir.rstrip('/')}/production_events.csv")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def run_daily(spark: SparkSession, data_dir: str, store_root: str, run_date: str,
+              multi_line: bool = True) -> DataFrame:
+    """One scheduled run; safe to repeat for the same date (sinks are idempotent and
+    the source label is per date).  Returns one summary row."""
+    store = TableStore(spark, store_root)
+    if not arrived(spark, data_dir):
+        log.info("no drop folder for %s at %s", run_date, data_dir)
+        return spark.createDataFrame(
+            [(run_date, "no_data", 0, 0, 0, 0, None, 0)],
+            "run_date string, status string, inserted long, skipped_duplicate long, quarantined long, "
+            "failed_error_tests long, gate_passed boolean, machine_days_scored long")
+    stats = ingest_folder(spark, store, data_dir, f"daily/{run_date}", multi_line)
+    totals = stats.agg(*[F.sum(c).alias(c) for c in ("inserted", "skipped_duplicate", "quarantined")]).first()
+    models = materialize_models(store)
+    report = dq_report(SUITE, models)
+    store.overwrite(report, "dq_report")
+    gate = dq_gate(store.read("dq_report")).first()
+    scored = 0
+    status = "blocked_by_data_tests"
+    if gate["gate_passed"]:
+        scored = score_anomalies(spark, store).first()["machine_days_scored"]
+        status = "scored"
+    return spark.createDataFrame(
+        [(run_date, status, totals["inserted"], totals["skipped_duplicate"], totals["quarantined"],
+          gate["failed_error_tests"], gate["gate_passed"], scored)],
+        "run_date string, status string, inserted long, skipped_duplicate long, quarantined long, "
+        "failed_error_tests long, gate_passed boolean, machine_days_scored long")

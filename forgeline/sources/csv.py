@@ -44,10 +44,21 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: boo
         raise
     if not header:  # 0-byte file: no header, no rows
         return _empty(spark, columns)
-    schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header]
-                          + [T.StructField(_CORRUPT, T.StringType(), True)])
+    schema = text_schema(header)
     df = (_reader(spark, multi_line).schema(schema)
           .option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
+    return with_file_order(shape_text(df, header, columns))
+
+
+def text_schema(header: list[str]) -> T.StructType:
+    """All-text schema in header order plus the corrupt-record marker column."""
+    return T.StructType([T.StructField(h, T.StringType(), True) for h in header]
+                        + [T.StructField(_CORRUPT, T.StringType(), True)])
+
+
+def shape_text(df: DataFrame, header: list[str], columns: list[str]) -> DataFrame:
+    """Select ``columns`` by name: '' for empty fields, NULL for fields a short row lacks
+    or columns the header lacks."""
     short = F.col(_CORRUPT).isNotNull()
 
     def text(c):
@@ -56,11 +67,12 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: boo
         v = F.col(f"`{c}`")
         return F.when(short & v.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(v, F.lit("")))
 
-    return df.select(
-        *[text(c).alias(c) for c in columns],
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_pos"),
-    )
+    return df.select(*[text(c).alias(c) for c in columns])
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """File path and a position increasing in file order (one task per multi-line file)."""
+    return df.withColumns({"_file": F.input_file_name(), "_pos": F.monotonically_increasing_id()})
 
 
 def read_dataset(spark: SparkSession, data_dir: str, multi_line: bool = True) -> dict[str, DataFrame]:
