@@ -11,6 +11,7 @@ from forgeline import contracts as C
 from forgeline.catalog.base import define_cte, register, with_ctes
 from forgeline.functions import (
     is_blank,
+    ntz_lit,
     parse_quantity,
     parse_timestamp,
     quantity_is_nonpositive,
@@ -296,7 +297,7 @@ _HISTORY_SQL = """(SELECT event_id FROM production_events
 
 def _history_events(spark, sf_dir) -> DataFrame:
     """Events stored by an earlier batch: the clean binding up to the cut-off time."""
-    return B.production_events(spark, sf_dir).filter(F.col("event_timestamp") < F.lit(HISTORY_CUTOFF))
+    return B.production_events(spark, sf_dir).filter(F.col("event_timestamp") < ntz_lit(HISTORY_CUTOFF))
 
 
 def _new_events(spark, sf_dir) -> DataFrame:

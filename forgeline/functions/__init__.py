@@ -4,6 +4,7 @@ from forgeline.functions.scalar import (  # noqa: F401
     duration_hours,
     is_blank,
     machine_day_key,
+    ntz_lit,
     parse_quantity,
     parse_timestamp,
     quantity_is_integer,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,52 +15,50 @@ def _c(c) -> Column:
 
 
 # ISO-8601 as accepted by Python's datetime.fromisoformat for the common forms:
-# extended or basic date, optional time after one non-digit separator (hour, minute,
-# second, 1-9 fraction digits), optional 'Z' or +/-HH[:MM[:SS]] offset.
-# Reduced dates (2026, 2026-01), week dates and 5+ digit years are rejected.
-_ISO_TS = (
-    r"^(\d{4})-?(\d{2})-?(\d{2})"
-    r"(?:[^0-9](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9}))?)?)?)?"
-    r"(Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?$"
-)
-_ISO_OFFSET = r"^([+-])(\d{2}):?(\d{2})?:?(\d{2})?$"
+# extended date with an optional time after one non-digit separator (hour, minute,
+# second, fraction of 1-9 digits after '.' or ','), optional 'Z' or +/-HH[[:]MM] offset;
+# or the basic forms YYYYMMDD[THH[MM[SS]]].  Reduced dates (2026, 2026-01), one-digit
+# fields, padded text, week dates and 5+ digit years are rejected.
+_ISO_EXTENDED = (r"^\d{4}-\d{2}-\d{2}"
+                 r"(?:[^0-9]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$")
+_ISO_BASIC = r"^\d{8}(?:T\d{2}(?:\d{2}(?:\d{2})?)?)?$"
+
+
+def ntz_lit(value: _dt.datetime) -> Column:
+    """A TIMESTAMP_NTZ literal that does not depend on the session or process time zone."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
+_EPOCH_NTZ = _dt.datetime(1970, 1, 1)
 
 
 def parse_timestamp(c) -> Column:
     """Text -> TIMESTAMP_NTZ, or NULL when unparsable or the written year is before 2000.
 
-    A zone offset is applied (the result is UTC wall-clock time), so
-    ``2026-01-01T01:00:00+02:00`` becomes ``2025-12-31 23:00:00``.
+    One guard regex decides the form; Spark's own string-to-timestamp cast does the
+    parsing (and rejects impossible dates and clock values).  A zone offset is applied,
+    giving UTC wall-clock time: ``2026-01-01T01:00:00+02:00`` -> ``2025-12-31 23:00:00``.
     """
-    s = _c(c)  # not trimmed: padded text is rejected
-    ok = s.rlike(_ISO_TS)
-
-    def g(i):
-        return F.regexp_extract(s, _ISO_TS, i)
-
-    def num(i, default="0"):
-        v = g(i)
-        return F.when(v == "", F.lit(default)).otherwise(v).cast("int")
-
-    frac = g(7)
-    # seconds with up to microsecond precision (extra digits truncated)
-    micros = F.when(frac == "", F.lit(0)).otherwise(
-        F.rpad(F.substring(frac, 1, 6), 6, "0").cast("int"))
-    seconds = (num(6).cast("decimal(8,6)") + micros.cast("decimal(8,6)") / F.lit(1000000)).cast("decimal(8,6)")
-    local = F.try_make_timestamp_ntz(num(1), num(2), num(3), num(4), num(5), seconds)
-    valid_clock = (num(4) < 24) & (num(5) < 60) & (num(6) < 60)
-
-    off = g(8)
-    sign = F.regexp_extract(off, _ISO_OFFSET, 1)
-    off_secs = (
-        F.coalesce(F.nullif(F.regexp_extract(off, _ISO_OFFSET, 2), F.lit("")), F.lit("0")).cast("int") * 3600
-        + F.coalesce(F.nullif(F.regexp_extract(off, _ISO_OFFSET, 3), F.lit("")), F.lit("0")).cast("int") * 60
-        + F.coalesce(F.nullif(F.regexp_extract(off, _ISO_OFFSET, 4), F.lit("")), F.lit("0")).cast("int")
+    s = _c(c)
+    clock = F.substring(s, 12, 64)
+    # extended form: separator -> 'T', decimal comma -> point
+    ext = F.when(F.length(s) > 10, F.concat(F.substring(s, 1, 10), F.lit("T"),
+                                            F.translate(clock, ",", "."))).otherwise(s)
+    has_offset = (F.length(s) > 10) & (clock.contains("+") | clock.contains("-") | clock.endswith("Z"))
+    with_offset = F.timestamp_add(
+        "MICROSECOND", F.unix_micros(ext.try_cast("timestamp")), ntz_lit(_EPOCH_NTZ))
+    extended = F.when(has_offset, with_offset).otherwise(ext.try_cast("timestamp_ntz"))
+    # basic form -> extended text
+    n = F.length(s)
+    basic_text = F.concat(
+        F.substring(s, 1, 4), F.lit("-"), F.substring(s, 5, 2), F.lit("-"), F.substring(s, 7, 2),
+        F.when(n >= 11, F.concat(F.lit("T"), F.substring(s, 10, 2))).otherwise(F.lit("")),
+        F.when(n >= 13, F.concat(F.lit(":"), F.substring(s, 12, 2))).otherwise(F.lit("")),
+        F.when(n >= 15, F.concat(F.lit(":"), F.substring(s, 14, 2))).otherwise(F.lit("")),
     )
-    signed = F.when(sign == "-", -off_secs).otherwise(off_secs)
-    shifted = F.when((off == "") | (off == "Z"), local).otherwise(
-        F.timestamp_add("SECOND", -signed, local))
-    return F.when(ok & valid_clock & (num(1) >= MIN_VALID_YEAR) & (off_secs < 86400), shifted)
+    parsed = (F.when(s.rlike(_ISO_EXTENDED), extended)
+              .when(s.rlike(_ISO_BASIC), basic_text.try_cast("timestamp_ntz")))
+    return F.when(F.substring(s, 1, 4).try_cast("int") >= MIN_VALID_YEAR, parsed)
 
 
 _INT_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"

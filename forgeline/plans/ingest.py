@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from forgeline import contracts as C
 from forgeline.functions import (
     is_blank,
+    ntz_lit,
     parse_quantity,
     parse_timestamp,
     quantity_is_integer,
@@ -136,7 +137,7 @@ def quarantine_rows(rejected: DataFrame, table: str, source_file: str, batch_id:
         row_json(cols).alias("raw_data"),
         F.lit(source_file).alias("source_file"),
         F.lit(batch_id).alias("batch_id"),
-        F.lit(quarantined_at).cast("timestamp_ntz").alias("quarantined_at"),
+        ntz_lit(quarantined_at).alias("quarantined_at"),
         *ORDER_COLS,
     )
 
@@ -144,7 +145,7 @@ def quarantine_rows(rejected: DataFrame, table: str, source_file: str, batch_id:
 def stamp_lineage(df: DataFrame, source_file: str, batch_id: str, ingested_at: _dt.datetime) -> DataFrame:
     """Lineage columns from values fixed once on the driver (identical on every retry)."""
     return df.withColumns({
-        "ingested_at": F.lit(ingested_at).cast("timestamp_ntz"),
+        "ingested_at": ntz_lit(ingested_at),
         "source_file": F.lit(source_file),
         "batch_id": F.lit(batch_id),
     })
@@ -225,7 +226,7 @@ def run_log(stats: DataFrame, batch_id: str, source_file: str, logged_at: _dt.da
         F.lit("table_ingested").alias("event"), F.col("table_name").alias("table"),
         F.lit(batch_id).alias("batch_id"), "inserted", "skipped_duplicate", "quarantined"))
     return stats.select(
-        F.lit(logged_at).cast("timestamp_ntz").alias("logged_at"),
+        ntz_lit(logged_at).alias("logged_at"),
         F.lit(batch_id).alias("batch_id"), F.lit(source_file).alias("source_file"),
         F.col("table_name"), payload.alias("event_json"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline import contracts as C
-from forgeline.functions import safe_ratio
+from forgeline.functions import ntz_lit, safe_ratio
 from forgeline.operators.iforest import isolation_forest
 from forgeline.operators.zscore import loo_zscore
 from forgeline.sources.store import TableStore
@@ -47,7 +47,7 @@ def anomaly_scores(features: DataFrame, scored_at: _dt.datetime | None = None, t
         "machine_day_key", "machine_id", "production_date", "total_quantity",
         "baseline_mean", "baseline_stddev", "baseline_z_score", "is_baseline_anomaly",
         "isolation_forest_score", "is_isolation_forest_anomaly",
-        F.lit(scored_at).cast("timestamp_ntz").alias("scored_at"),
+        ntz_lit(scored_at).alias("scored_at"),
     )
 
 

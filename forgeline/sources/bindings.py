@@ -19,6 +19,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgeline.functions.scalar import ntz_lit
+
 # Fixed lineage stamp for bound tables (deterministic, comparable with the oracle).
 BOUND_INGESTED_AT = _dt.datetime(2026, 1, 1, 0, 0, 0)
 BOUND_SOURCE = "testdata"
@@ -31,7 +33,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _lineage() -> list:
     return [
-        F.lit(BOUND_INGESTED_AT).cast("timestamp_ntz").alias("ingested_at"),
+        ntz_lit(BOUND_INGESTED_AT).alias("ingested_at"),
         F.lit(BOUND_SOURCE).alias("source_file"),
         F.lit(BOUND_BATCH).alias("batch_id"),
     ]
