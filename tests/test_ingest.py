@@ -1,0 +1,89 @@
+from conftest import write_files
+from plant_fixture import EVENTS_A, EVENTS_B, EVENTS_HEAD, FILES, FIRST_RUN, REASONS, SECOND_RUN
+from pyspark.sql import functions as F
+
+from forgeline.plans.ingest import ingest_folder
+
+TABLES = ["machines", "production_events", "quality_checks", "maintenance_events"]
+
+
+def _stats(df):
+    return {r["table_name"]: (r["inserted"], r["skipped_duplicate"], r["quarantined"]) for r in df.collect()}
+
+
+def _ingest(spark, store, folder, label="data/sample"):
+    return _stats(ingest_folder(spark, store, folder, label))
+
+
+def test_first_ingest_counters_and_reasons(spark, store, tmp_path):
+    folder = write_files(tmp_path / "in", FILES)
+    assert _ingest(spark, store, folder) == FIRST_RUN
+    q = {(r["table_name"], r["row_reference"]): r["reason"] for r in store.read("quarantine").collect()}
+    assert q == REASONS
+
+
+def test_reingest_is_idempotent(spark, store, tmp_path):
+    folder = write_files(tmp_path / "in", FILES)
+    _ingest(spark, store, folder)
+    before = {t: store.read(t).count() for t in TABLES + ["quarantine"]}
+    assert _ingest(spark, store, folder) == SECOND_RUN
+    assert {t: store.read(t).count() for t in TABLES + ["quarantine"]} == before
+
+
+def test_same_bad_row_under_another_label_is_quarantined_again(spark, store, tmp_path):
+    folder = write_files(tmp_path / "in", FILES)
+    _ingest(spark, store, folder, "airflow/2026-01-01")
+    again = _ingest(spark, store, folder, "airflow/2026-01-02")
+    assert again["production_events"] == (0, 5, 7)
+
+
+def test_first_valid_copy_wins_and_invalid_copy_does_not_shadow(spark, store, tmp_path):
+    folder = write_files(tmp_path / "in", FILES)
+    _ingest(spark, store, folder)
+    ev = {r["event_id"]: r for r in store.read("production_events").collect()}
+    assert set(ev) == {"E1", "E2", "E3", "E9"}
+    assert str(ev["E9"]["event_timestamp"]) == "2026-01-02 10:00:00"
+    assert all(r["quantity_produced"] > 0 for r in ev.values())
+
+
+def test_lineage_and_raw_json(spark, store, tmp_path):
+    folder = write_files(tmp_path / "in", FILES)
+    _ingest(spark, store, folder)
+    m = store.read("machines").collect()
+    assert {r["source_file"] for r in m} == {"data/sample"}
+    assert len({r["batch_id"] for r in m}) == 1 and all(r["ingested_at"] for r in m)
+    raw = store.read("quarantine").filter(F.col("row_reference") == "E8").first()["raw_data"]
+    assert '"event_id":"E8"' in raw and '"timestamp":"2026-01-02T09:00:00"' in raw
+    assert '"quantity_produced":"429.5"' in raw
+
+
+def test_optional_empty_values_become_null(spark, store, tmp_path):
+    folder = write_files(tmp_path / "in", FILES)
+    _ingest(spark, store, folder)
+    c1 = store.read("quality_checks").filter(F.col("check_id") == "C1").first()
+    c2 = store.read("quality_checks").filter(F.col("check_id") == "C2").first()
+    assert c1["defect_type"] is None and c2["inspector_id"] is None
+    m3 = store.read("machines").filter(F.col("machine_id") == "M003").first()
+    assert m3["machine_type"] == ""  # not an optional column: '' is kept
+
+
+def test_split_batch_equals_whole_batch(spark, tmp_path):
+    from forgeline.sources.store import TableStore
+
+    whole = TableStore(spark, str(tmp_path / "whole"))
+    parts = TableStore(spark, str(tmp_path / "parts"))
+    _ingest(spark, whole, write_files(tmp_path / "w", FILES))
+    first = dict(FILES, **{"production_events.csv": EVENTS_HEAD + EVENTS_A})
+    second = dict(FILES, **{"production_events.csv": EVENTS_HEAD + EVENTS_B})
+    _ingest(spark, parts, write_files(tmp_path / "p1", first))
+    _ingest(spark, parts, write_files(tmp_path / "p2", second))
+    for t in TABLES + ["quarantine"]:
+        cols = [c for c in whole.read(t).columns if c not in ("ingested_at", "batch_id", "quarantined_at")]
+        a = sorted(tuple(r) for r in whole.read(t).select(cols).collect())
+        b = sorted(tuple(r) for r in parts.read(t).select(cols).collect())
+        assert a == b, t
+
+
+def test_missing_folder_ingests_nothing(spark, store, tmp_path):
+    stats = _ingest(spark, store, str(tmp_path / "nothing-here"))
+    assert all(v == (0, 0, 0) for v in stats.values())
