@@ -138,3 +138,48 @@ def test_anomaly_table_and_summary(spark):
     s = score_summary(scores).first()
     assert s["machine_days_scored"] == 30 and s["isolation_forest_ran"] is True
     assert s["baseline_anomalies"] >= 1 and s["isolation_forest_anomalies"] >= 1
+
+
+def _brute_force_forest_scores(spark, df, key, features, trees, psi, seed):
+    """Single-process reference: every row's draw for every tree, the psi smallest per
+    tree, trees grown in-process, and a recursive walk per row."""
+    import numpy as np
+
+    from forgeline.operators.iforest import _uniform, grow_tree
+
+    draws = (df.select(key, *features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+             .withColumn("u", _uniform(seed, F.col("tree"), F.col(key))).toPandas())
+    pdf = df.select(key, *features).toPandas()
+    X_all = pdf[features].to_numpy(dtype=float)
+    max_depth = int(math.ceil(math.log2(max(psi, 2))))
+    depth_sum = np.zeros(len(pdf))
+    for t in range(trees):
+        sample = draws[draws["tree"] == t].sort_values(["u", key]).head(psi)
+        feat, thr, left, right, size = grow_tree(sample[features].to_numpy(dtype=float),
+                                                 np.random.default_rng([seed, t]), max_depth)
+
+        def walk(x, node=0, depth=0):
+            if feat[node] < 0:
+                return depth + float(average_path_length([size[node]])[0])
+            nxt = left[node] if x[feat[node]] <= thr[node] else right[node]
+            return walk(x, nxt, depth + 1)
+
+        depth_sum += np.array([walk(x) for x in X_all])
+    c = float(average_path_length([psi])[0])
+    scores = 0.5 - np.power(2.0, -(depth_sum / trees) / c)
+    return dict(zip(pdf[key], scores))
+
+
+def test_forest_equals_single_process_computation(spark):
+    import random
+
+    rng = random.Random(11)
+    rows = [(f"K{i}", "M1", dt.date(2026, 1, 1), rng.randint(1, 1000), 10, rng.randint(0, 10), rng.randint(0, 3),
+             rng.random()) for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    got = {r[0]: r[1] for r in isolation_forest(df, "machine_day_key", FEATURES, trees=12, max_samples=64,
+                                                seed=5).select("machine_day_key", "isolation_forest_score").collect()}
+    want = _brute_force_forest_scores(spark, df, "machine_day_key", FEATURES, 12, 64, 5)
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-12)
