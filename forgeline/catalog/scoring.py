@@ -146,12 +146,13 @@ define_cte("loo_new", _LOO_SQL.format(src="mpd_new"), ["mpd_new"])
     {_z_sql('loo_new')}""")
 def q_upsert_scores(spark, sf_dir):
     """Scores of days before Jan 15 written first, then scores of days from Jan 10 (each
-    scored within its own window) upserted: overlapping days take the newer values,
-    older days stay."""
+    scored within its own window, forest included) upserted: overlapping days take the
+    newer values, older days stay.  The forest columns have no SQL equivalent, so the
+    comparison covers the baseline columns."""
     f = features(spark, sf_dir).checkpoint(eager=True)
     store = TableStore(spark, scratch_path(spark, "scores"))
     for part in (f.filter(F.col("production_date") < F.lit(_CUT_OLD)),
                  f.filter(F.col("production_date") >= F.lit(_CUT_NEW))):
-        store.upsert(anomaly_scores(part, FIXED_SCORED_AT, min_rows=10**9),
+        store.upsert(anomaly_scores(part, FIXED_SCORED_AT),
                      "anomaly_scores", ["machine_day_key"], C.ANOMALY_SCHEMA)
     return rounded(store.read("anomaly_scores").select(*_BASELINE_COLS), _DOUBLES)
