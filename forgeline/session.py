@@ -52,7 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as
-    is.  Only when it is unset (local tests) is a private folder created.
+    is.  Only when it is unset under a ``local`` master (tests) is a private folder
+    created; a cluster without the setting is an error, because a machine-local
+    folder cannot be read back after an executor is lost.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder on shared storage")
         conf_dir = tempfile.mkdtemp(prefix="forgeline-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
