@@ -183,3 +183,39 @@ def test_forest_equals_single_process_computation(spark):
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v, abs=1e-12)
+
+
+# The sample's 15 machine-days (three days per machine) with the expected
+# leave-one-out mean, population sd, z-score (6 decimals) and flag.
+SAMPLE_GOLDEN = [
+    ("M001", 1, 6263, 4531.5, 118.5, 14.611814, True),
+    ("M001", 2, 4650, 5338.0, 925.0, -0.743784, False),
+    ("M001", 3, 4413, 5456.5, 806.5, -1.293862, False),
+    ("M002", 1, 5461, 5744.0, 229.0, -1.235808, False),
+    ("M002", 2, 5973, 5488.0, 27.0, 17.962963, True),
+    ("M002", 3, 5515, 5717.0, 256.0, -0.789062, False),
+    ("M003", 1, 4841, 4379.5, 43.5, 10.609195, True),
+    ("M003", 2, 4423, 4588.5, 252.5, -0.655446, False),
+    ("M003", 3, 4336, 4632.0, 209.0, -1.416268, False),
+    ("M004", 1, 4929, 5197.5, 27.5, -9.763636, True),
+    ("M004", 2, 5170, 5077.0, 148.0, 0.628378, False),
+    ("M004", 3, 5225, 5049.5, 120.5, 1.456432, False),
+    ("M005", 1, 6523, 5125.0, 200.0, 6.990000, True),
+    ("M005", 2, 4925, 5924.0, 599.0, -1.667780, False),
+    ("M005", 3, 5325, 5724.0, 799.0, -0.499374, False),
+]
+
+
+def test_sample_machine_days_golden_values(spark):
+    rows = []
+    for machine, day, qty, *_ in SAMPLE_GOLDEN:
+        rows += [r for r in _days(machine, [0, 0, 0]) if r[2].day == day]
+        rows[-1] = rows[-1][:3] + (qty,) + rows[-1][4:]
+    out = _baseline(spark, rows)
+    assert len(out) == 15
+    for machine, day, qty, mean, sd, z, flag in SAMPLE_GOLDEN:
+        r = out[f"{machine}_2026-01-0{day}"]
+        assert r["total_quantity"] == qty
+        assert (r["baseline_mean"], r["baseline_stddev"]) == (mean, sd)
+        assert round(r["baseline_z_score"], 6) == z and r["is_baseline_anomaly"] is flag
+    assert sum(r["is_baseline_anomaly"] for r in out.values()) == 5
