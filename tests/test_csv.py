@@ -55,3 +55,25 @@ def test_read_dataset_has_all_four_tables(spark, tmp_path):
     ds = read_dataset(spark, folder)
     assert set(ds) == {"machines", "production_events", "quality_checks", "maintenance_events"}
     assert all(df.count() == 0 for df in ds.values())
+
+
+def test_file_order_is_kept_when_files_are_split(spark, tmp_path):
+    """Single-line mode splits each file across tasks; (_file, _pos) must still follow
+    the line order within every file."""
+    files = {}
+    for f in range(3):
+        lines = "".join(f"C{f}-{i:05d},E{i % 7},2026-01-01T00:00:00,pass,,INS{i % 4}\n" for i in range(4000))
+        files[f"part{f}.csv"] = ",".join(COLS) + "\n" + lines
+    folder = write_files(tmp_path / "split", files)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_csv(spark, folder, COLS, multi_line=False)
+        assert df.rdd.getNumPartitions() > 6
+        rows = [(r["_file"], r["check_id"]) for r in df.orderBy("_file", "_pos").select("_file", "check_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 12000
+    for f in range(3):
+        ids = [c for path, c in rows if path.endswith(f"part{f}.csv")]
+        assert ids == [f"C{f}-{i:05d}" for i in range(4000)]
