@@ -1,4 +1,4 @@
-"""Catalog: CSV source/sink round trip, file-arrival streaming ingest, daily pipeline (S1-S4, S11, L2)."""
+"""Catalog: CSV source/sink round trip, file-arrival streaming ingest, daily run (S1-S4, S11, L2)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from forgeline import contracts as C
 from forgeline.catalog.base import register, with_ctes
 from forgeline.catalog.ingest import FIXED_SOURCE
-from forgeline.plans.pipeline import run_daily
+from forgeline.plans.daily import run_daily
 from forgeline.session import scratch_path
 from forgeline.sources import bindings as B
 from forgeline.sources.csv import read_csv, write_csv
@@ -44,8 +44,8 @@ def q_stream_ingest(spark, sf_dir):
     return stream_ingest(spark, store, f"{root}/drop", f"{root}/checkpoints", FIXED_SOURCE)
 
 
-@register("daily_pipeline")
-def q_daily_pipeline(spark, sf_dir) -> DataFrame:
+@register("daily_run")
+def q_daily_run(spark, sf_dir) -> DataFrame:
     """Detect, ingest, build and write the marts, run the 48 data tests, gate, score.
     The batch carries a unit outside the accepted list, so the gate blocks scoring."""
     root = scratch_path(spark, "daily")

@@ -1 +1 @@
-"""Composed models: staging -> intermediate -> marts; ingest; scoring; the daily pipeline."""
+"""Composed models: staging -> intermediate -> marts; ingest; scoring; the daily run."""

@@ -1,4 +1,4 @@
-"""The daily pipeline: detect -> ingest -> models -> data tests -> gate -> scoring."""
+"""The daily run: detect -> ingest -> models -> data tests -> gate -> scoring."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from forgeline.plans.scoring import score_anomalies
 from forgeline.plans.tests_suite import SUITE
 from forgeline.sources.store import TableStore
 
-log = logging.getLogger("forgeline.pipeline")
+log = logging.getLogger("forgeline.daily")
 
 
 def raw_from_store(store: TableStore) -> dict[str, DataFrame]:

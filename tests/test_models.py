@@ -2,7 +2,7 @@ from conftest import write_files
 from plant_fixture import DAILY, DOWNTIME, FILES, QUALITY
 
 from forgeline.plans.ingest import ingest_folder
-from forgeline.plans.pipeline import materialize_models, raw_from_store
+from forgeline.plans.daily import materialize_models, raw_from_store
 from forgeline.plans.models import build_models
 
 

@@ -22,7 +22,7 @@ from forgeline.operators.topk import count_per_key, latest_per_key
 from forgeline.operators.zscore import loo_zscore
 
 # queries whose construction writes tables or runs jobs (checked elsewhere)
-SIDE_EFFECTS = {"ingest_dataset", "ingest_rerun", "stream_ingest", "daily_pipeline", "csv_roundtrip",
+SIDE_EFFECTS = {"ingest_dataset", "ingest_rerun", "stream_ingest", "daily_run", "csv_roundtrip",
                 "isolation_forest", "anomaly_scores", "score_summary", "upsert_scores", "forest_min_rows"}
 
 

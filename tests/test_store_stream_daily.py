@@ -6,7 +6,7 @@ from plant_fixture import FILES, FIRST_RUN
 from pyspark.sql import functions as F
 
 from forgeline import contracts as C
-from forgeline.plans.pipeline import run_daily
+from forgeline.plans.daily import run_daily
 from forgeline.plans.scoring import score_anomalies
 from forgeline.streaming.arrival import stream_ingest
 
@@ -48,7 +48,7 @@ def test_stream_ingest_new_files_only_and_idempotent(spark, store, tmp_path):
     assert replay["production_events"] == (0, 5, 0) and store.read("production_events").count() == before
 
 
-def test_daily_pipeline_scores_clean_batch(spark, tmp_path):
+def test_daily_run_scores_clean_batch(spark, tmp_path):
     drop = write_files(tmp_path / "drop", FILES)
     out = run_daily(spark, drop, str(tmp_path / "store"), "2026-01-02").first()
     assert out["status"] == "scored" and out["gate_passed"] is True
@@ -58,7 +58,7 @@ def test_daily_pipeline_scores_clean_batch(spark, tmp_path):
     assert again["inserted"] == 0 and again["quarantined"] == 0 and again["machine_days_scored"] == 3
 
 
-def test_daily_pipeline_without_data(spark, tmp_path):
+def test_daily_run_without_data(spark, tmp_path):
     out = run_daily(spark, str(tmp_path / "nothing"), str(tmp_path / "store"), "2026-01-03").first()
     assert out["status"] == "no_data"
 
