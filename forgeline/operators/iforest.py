@@ -129,9 +129,9 @@ def fit_forest(df: DataFrame, key: str, features: list[str], trees: int = 100, m
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     sample = tree_samples(df, key, features, trees, psi, n, seed).checkpoint(eager=True)
-    short = [r["tree"] for r in sample.groupBy("tree").count().filter(F.col("count") < psi).collect()]
-    present = {r["tree"] for r in sample.select("tree").distinct().collect()}
-    redo = sorted(set(short) | (set(range(trees)) - present))
+    # one row per tree (at most ``trees`` rows reach the driver)
+    full = {r["tree"] for r in sample.groupBy("tree").count().filter(F.col("count") >= psi).collect()}
+    redo = sorted(set(range(trees)) - full)
     if redo:  # exact fallback for trees the pre-filter left short
         sample = sample.filter(~F.col("tree").isin(redo)).unionByName(
             tree_samples(df, key, features, trees, psi, n, seed, only_trees=redo, prefilter=False))
