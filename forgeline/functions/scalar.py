@@ -22,6 +22,8 @@ def _c(c) -> Column:
 _ISO_EXTENDED = (r"^\d{4}-\d{2}-\d{2}"
                  r"(?:[^0-9]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$")
 _ISO_BASIC = r"^\d{8}(?:T\d{2}(?:\d{2}(?:\d{2})?)?)?$"
+_CLOCK = r"^(\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?)"
+_ZONE = r"(Z|[+-]\d{2}(?::?\d{2})?)$"
 
 
 def ntz_lit(value: _dt.datetime) -> Column:
@@ -41,10 +43,15 @@ def parse_timestamp(c) -> Column:
     """
     s = _c(c)
     clock = F.substring(s, 12, 64)
-    # extended form: separator -> 'T', decimal comma -> point
+    # extended form: separator -> 'T', clock padded to HH:MM:SS (Spark needs the
+    # seconds before a zone), decimal comma -> point, zone kept as written
+    hms = F.regexp_extract(clock, _CLOCK, 1)
+    zone = F.regexp_extract(clock, _ZONE, 1)
+    padded = (F.when(F.length(hms) == 2, F.concat(hms, F.lit(":00:00")))
+              .when(F.length(hms) == 5, F.concat(hms, F.lit(":00"))).otherwise(hms))
     ext = F.when(F.length(s) > 10, F.concat(F.substring(s, 1, 10), F.lit("T"),
-                                            F.translate(clock, ",", "."))).otherwise(s)
-    has_offset = (F.length(s) > 10) & (clock.contains("+") | clock.contains("-") | clock.endswith("Z"))
+                                            F.translate(padded, ",", "."), zone)).otherwise(s)
+    has_offset = (F.length(s) > 10) & (F.length(zone) > 0)
     with_offset = F.timestamp_add(
         "MICROSECOND", F.unix_micros(ext.try_cast("timestamp")), ntz_lit(_EPOCH_NTZ))
     extended = F.when(has_offset, with_offset).otherwise(ext.try_cast("timestamp_ntz"))

@@ -127,3 +127,50 @@ def test_row_reference_natural_id_or_content_hash(spark):
     assert refs[1] != refs[3]
     again = [r[0] for r in df.select(row_reference("id", ["x", "id"])).collect()]
     assert again == refs     # key order does not matter
+
+
+def _python_rule(value):
+    """The original rule: datetime.fromisoformat, then the written year must be >= 2000;
+    an offset is normalized to UTC wall-clock time (the stored column has no zone)."""
+    try:
+        ts = dt.datetime.fromisoformat(value)
+    except (ValueError, TypeError):
+        return None
+    if ts.year < 2000:
+        return None
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return ts
+
+
+def test_parse_timestamp_matches_python_on_random_forms(spark):
+    import random
+
+    rng = random.Random(20260115)
+    dates = ["2026-01-15", "2000-01-01", "1999-12-31", "1900-06-01", "2026-02-29", "2024-02-29",
+             "2026-13-01", "2026-00-10", "2026-1-15", "12026-01-15", "2026-01", "2026"]
+    seps = ["T", " ", "x", "+"]
+    times = ["", "10", "10:30", "10:30:45", "10:30:45.5", "10:30:45.123456", "10:30:45,25", "00:00:00",
+             "23:59:59.999999", "24:00:00", "10:61:00", "7:30"]
+    offsets = ["", "", "Z", "+02:00", "-05:30", "+0200", "+02", "-00:00"]
+    values = ["20260115", "20260115T10", "20260115T1030", "20260115T103045", "19991231", "2026011",
+              "20261315", "", "not-a-date", " 2026-01-15", "2026-01-15 ", "2026/01/15", "2026-01-15T", "T10:00"]
+    for _ in range(600):
+        t = rng.choice(times)
+        v = rng.choice(dates)
+        if t:
+            v += rng.choice(seps) + t + rng.choice(offsets)
+        values.append(v)
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = {r["s"]: r["p"] for r in df.select("s", parse_timestamp("s").alias("p")).collect()}
+    mismatches = {v: (got[v], _python_rule(v)) for v in values if got[v] != _python_rule(v)}
+    assert not mismatches
+
+
+def test_parse_timestamp_documented_narrowing(spark):
+    """Forms Python accepts but the guard rejects (quarantined by design)."""
+    narrowed = ["2026-W03-4", "2026-01-15T1030", "20260115T103045+02:00", "2026-01-15T10:30:45+02:00:30",
+                "2026-01-15T10:30:45.1234567891"]
+    assert all(_python_rule(v) is not None for v in narrowed)
+    df = spark.createDataFrame([(v,) for v in narrowed], "s string")
+    assert all(r[0] is None for r in df.select(parse_timestamp("s")).collect())
