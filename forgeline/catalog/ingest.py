@@ -34,7 +34,11 @@ HISTORY_CUTOFF = _dt.datetime(2024, 1, 15)
 # Oracle CTEs: the same classification in SQL
 # ---------------------------------------------------------------------------
 _TS_OK = r"regexp_full_match({c}, '\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2}}')"
-_INT_OK = r"coalesce(regexp_full_match({c}, '\s*[+-]?\d+(_\d+)*\s*'), false)"
+# the whitespace Python's int() strips, in RE2 syntax (same set as functions.scalar)
+_WS = r"[\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WSF = _WS.replace("{", "{{").replace("}", "}}")  # braces escaped for str.format templates
+_INT_OK = "coalesce(regexp_full_match({c}, '" + _WSF + r"*[+-]?\d+(_\d+)*" + _WSF + "*'), false)"
+_STRIP = "regexp_replace({c}, '^" + _WSF + "+|" + _WSF + "+$', '', 'g')"
 
 
 def _ts_sql(c: str) -> str:
@@ -57,11 +61,11 @@ define_cte("events_parsed", f"""
            {_ts_sql('d.timestamp')} AS parsed_ts,
            {_INT_OK.format(c='d.quantity_produced')} AS qty_is_int,
            CASE WHEN {_INT_OK.format(c='d.quantity_produced')}
-                THEN try_cast(replace(trim(d.quantity_produced), '_', '') AS DECIMAL(38,0)) END
+                THEN try_cast(replace({_STRIP.format(c='d.quantity_produced')}, '_', '') AS DECIMAL(38,0)) END
                AS parsed_quantity
     FROM dirty_production_events d LEFT JOIN accepted_machines a ON d.machine_id = a.machine_id""",
            ["dirty_production_events", "accepted_machines"])
-define_cte("events_classified", """
+define_cte("events_classified", f"""
     SELECT *, CASE
         WHEN NOT fk_ok THEN 'unknown machine_id (foreign key would be violated)'
         WHEN parsed_ts IS NULL THEN 'invalid or corrupted timestamp'
@@ -71,7 +75,7 @@ define_cte("events_classified", """
         WHEN event_id IS NULL OR product_code IS NULL OR unit IS NULL OR shift IS NULL
              THEN 'missing required field' END AS reason
     FROM (SELECT *, qty_is_int AND coalesce(parsed_quantity <= 0,
-                                            trim(quantity_produced) LIKE '-%') AS nonpositive
+                                            {_STRIP.format(c='quantity_produced')} LIKE '-%') AS nonpositive
           FROM events_parsed)""", ["events_parsed"])
 define_cte("accepted_events",
            "SELECT DISTINCT event_id FROM events_classified WHERE reason IS NULL",

@@ -68,7 +68,11 @@ def parse_timestamp(c) -> Column:
     return F.when(F.substring(s, 1, 4).try_cast("int") >= MIN_VALID_YEAR, parsed)
 
 
-_INT_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
+# The characters Python's int() strips around a number (str.isspace minus
+# the four information separators U+001C-U+001F).
+PY_WHITESPACE = r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_INT_TEXT = rf"^{PY_WHITESPACE}*[+-]?\d+(_\d+)*{PY_WHITESPACE}*$"
+_EDGE_SPACE = rf"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$"
 
 
 def quantity_is_integer(c) -> Column:
@@ -76,16 +80,20 @@ def quantity_is_integer(c) -> Column:
     return F.coalesce(_c(c).rlike(_INT_TEXT), F.lit(False))
 
 
+def _stripped(c) -> Column:
+    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
+
+
 def parse_quantity(c) -> Column:
     """Integer text -> DECIMAL(38,0); NULL when not an integer or beyond 38 digits."""
-    cleaned = F.regexp_replace(F.trim(_c(c)), "_", "")
+    cleaned = F.regexp_replace(_stripped(c), "_", "")
     return F.when(quantity_is_integer(c), cleaned.try_cast("decimal(38,0)"))
 
 
 def quantity_is_nonpositive(c) -> Column:
     """For integer text: value <= 0 (also for negatives too long for DECIMAL(38,0))."""
     v = parse_quantity(c)
-    negative_text = F.trim(_c(c)).startswith("-")
+    negative_text = _stripped(c).startswith("-")
     return quantity_is_integer(c) & F.coalesce(v <= 0, negative_text)
 
 

@@ -174,3 +174,29 @@ def test_parse_timestamp_documented_narrowing(spark):
     assert all(_python_rule(v) is not None for v in narrowed)
     df = spark.createDataFrame([(v,) for v in narrowed], "s string")
     assert all(r[0] is None for r in df.select(parse_timestamp("s")).collect())
+
+
+def test_parse_quantity_matches_python_int_on_grid(spark):
+    """Signs x bodies x leading/trailing whitespace (Python's own set, incl. NBSP; the
+    information separators are not stripped) against int(); non-ASCII digits are the
+    documented narrowing."""
+    signs = ["", "+", "-", "--", "+-"]
+    bodies = ["42", "0", "007", "1_000", "1__0", "_1", "1_", "429.5", "1e3", "", "n/a", "9" * 20, "9" * 40,
+              "1 2", "0x1A"]
+    spaces = ["", " ", "\t", "\n", "\r\n", "\x0b", "\xa0", " ", "\x1f", "　"]
+    values = sorted({a + s + b + z for s in signs for b in bodies for a in spaces for z in spaces})
+
+    def expected(v):
+        try:
+            n = int(v)
+        except ValueError:
+            return (False, None, False)
+        return (True, Decimal(n) if abs(n) < 10**38 else None, n <= 0)
+
+    df = spark.createDataFrame([(v,) for v in values], "q string")
+    got = {r["q"]: (r["i"], r["p"], r["n"]) for r in df.select(
+        "q", quantity_is_integer("q").alias("i"), parse_quantity("q").alias("p"),
+        quantity_is_nonpositive("q").alias("n")).collect()}
+    assert {v: got[v] for v in values if got[v] != expected(v)} == {}
+    narrowed = spark.createDataFrame([("٤٢",), ("१२",)], "q string")
+    assert [r[0] for r in narrowed.select(quantity_is_integer("q")).collect()] == [False, False]
