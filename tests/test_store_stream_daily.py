@@ -1,5 +1,3 @@
-import os
-import shutil
 
 from conftest import write_files
 from plant_fixture import FILES, FIRST_RUN
@@ -7,6 +5,7 @@ from pyspark.sql import functions as F
 
 from forgeline import contracts as C
 from forgeline.plans.daily import run_daily
+from forgeline.sources.store import TableStore
 from forgeline.plans.scoring import score_anomalies
 from forgeline.streaming.arrival import stream_ingest
 
@@ -56,6 +55,9 @@ def test_daily_run_scores_clean_batch(spark, tmp_path):
     assert out["machine_days_scored"] == 3
     again = run_daily(spark, drop, str(tmp_path / "store"), "2026-01-02").first()
     assert again["inserted"] == 0 and again["quarantined"] == 0 and again["machine_days_scored"] == 3
+    # nothing new was inserted, so the marts were reused, not rebuilt
+    stored = TableStore(spark, str(tmp_path / "store"))
+    assert len(stored._versions("mart_production_daily")) == 1
 
 
 def test_daily_run_without_data(spark, tmp_path):
