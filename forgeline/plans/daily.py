@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from forgeline import contracts as C
 from forgeline.operators.quality import dq_gate, dq_report
 from forgeline.plans.ingest import ingest_folder
+from forgeline.plans import intermediate as I
+from forgeline.plans import marts as M
+from forgeline.plans import staging as S
 from forgeline.plans.models import MARTS, build_models
 from forgeline.plans.scoring import score_anomalies
 from forgeline.plans.tests_suite import SUITE
@@ -23,24 +26,32 @@ def raw_from_store(store: TableStore) -> dict[str, DataFrame]:
 
 
 def materialize_models(store: TableStore) -> dict[str, DataFrame]:
-    """Build the model graph from the stored raw tables and write the marts.
-
-    Staging and intermediate models stay lazy (views); the newest-check intermediate,
-    which two marts share and which shuffles the largest table, is written once and
-    read back; each mart is written as a new table version."""
+    """Build the model graph from the stored raw tables and write it.
+
+    The enriched events (events joined to their newest check and their machine, the
+    step that shuffles the two largest tables) are written once; the daily summary,
+    both event-based marts and the data tests on the enriched model read that version
+    instead of repeating the joins (Spark cannot drop a left join to a side it does
+    not know to be unique).  Staging models stay lazy, like views; each output is a
+    new table version."""
     raw = raw_from_store(store)
-    first = build_models(raw)
-    store.overwrite(first["int_latest_quality_check"], "int_latest_quality_check")
-    models = build_models(raw, latest=store.read("int_latest_quality_check"))
-    for m in MARTS:
-        store.overwrite(models[m], m)
+    store.overwrite(build_models(raw)["int_production_enriched"], "int_production_enriched")
+    enriched = store.read("int_production_enriched")
+    st = S.staging(raw)
+    store.overwrite(M.mart_production_daily(I.daily_summary_from_enriched(enriched)), "mart_production_daily")
+    store.overwrite(M.mart_quality_summary(enriched), "mart_quality_summary")
+    store.overwrite(M.mart_machine_downtime(st["stg_machines"], st["stg_maintenance_events"]),
+                    "mart_machine_downtime")
     return stored_models(store)
 
 
 def stored_models(store: TableStore) -> dict[str, DataFrame]:
-    """The model graph over the stored raw tables, with the newest-check intermediate
-    and the marts read from their current written versions."""
-    models = build_models(raw_from_store(store), latest=store.read("int_latest_quality_check"))
+    """The model graph over the stored raw tables, with the enriched events and the
+    marts read from their current written versions."""
+    raw = raw_from_store(store)
+    enriched = store.read("int_production_enriched")
+    models = {**raw, **S.staging(raw), "int_production_enriched": enriched,
+              "int_daily_machine_summary": I.daily_summary_from_enriched(enriched)}
     for m in MARTS:
         models[m] = store.read(m)
     return models
@@ -49,7 +60,7 @@ def stored_models(store: TableStore) -> dict[str, DataFrame]:
 def models_are_current(store: TableStore, inserted: int) -> bool:
     """Marts depend on the raw tables only; a run that inserted nothing (a re-run of a
     day already loaded) leaves them as they are, so the written versions are reused."""
-    return inserted == 0 and all(store.exists(t) for t in ["int_latest_quality_check", *MARTS])
+    return inserted == 0 and all(store.exists(t) for t in ["int_production_enriched", *MARTS])
 
 
 def arrived(spark: SparkSession, data_dir: str) -> bool:
