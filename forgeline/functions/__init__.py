@@ -2,6 +2,9 @@ from forgeline.functions.scalar import (  # noqa: F401
     canonical_json,
     defect_rate,
     duration_hours,
+    integer_text_nonpositive,
+    integer_text_ok,
+    integer_text_value,
     is_blank,
     machine_day_key,
     ntz_lit,
@@ -9,6 +12,7 @@ from forgeline.functions.scalar import (  # noqa: F401
     parse_timestamp,
     quantity_is_integer,
     quantity_is_nonpositive,
+    quantity_text,
     row_json,
     row_reference,
     safe_ratio,

@@ -42,18 +42,19 @@ def parse_timestamp(c) -> Column:
     giving UTC wall-clock time: ``2026-01-01T01:00:00+02:00`` -> ``2025-12-31 23:00:00``.
     """
     s = _c(c)
+    day = F.substring(s, 1, 10)
     clock = F.substring(s, 12, 64)
-    # extended form: separator -> 'T', clock padded to HH:MM:SS (Spark needs the
-    # seconds before a zone), decimal comma -> point, zone kept as written
+    # extended form: separator -> 'T', decimal comma -> point
+    ext = F.when(F.length(s) > 10, F.concat(day, F.lit("T"), F.translate(clock, ",", "."))).otherwise(s)
+    has_offset = (F.length(s) > 10) & (clock.contains("+") | clock.contains("-") | clock.endswith("Z"))
+    # with a zone, Spark needs the seconds: pad HH / HH:MM to HH:MM:SS.  Only this
+    # branch pays for the extraction (rows without a zone never evaluate it).
     hms = F.regexp_extract(clock, _CLOCK, 1)
-    zone = F.regexp_extract(clock, _ZONE, 1)
     padded = (F.when(F.length(hms) == 2, F.concat(hms, F.lit(":00:00")))
               .when(F.length(hms) == 5, F.concat(hms, F.lit(":00"))).otherwise(hms))
-    ext = F.when(F.length(s) > 10, F.concat(F.substring(s, 1, 10), F.lit("T"),
-                                            F.translate(padded, ",", "."), zone)).otherwise(s)
-    has_offset = (F.length(s) > 10) & (F.length(zone) > 0)
+    zoned = F.concat(day, F.lit("T"), F.translate(padded, ",", "."), F.regexp_extract(clock, _ZONE, 1))
     with_offset = F.timestamp_add(
-        "MICROSECOND", F.unix_micros(ext.try_cast("timestamp")), ntz_lit(_EPOCH_NTZ))
+        "MICROSECOND", F.unix_micros(zoned.try_cast("timestamp")), ntz_lit(_EPOCH_NTZ))
     extended = F.when(has_offset, with_offset).otherwise(ext.try_cast("timestamp_ntz"))
     # basic form -> extended text
     n = F.length(s)
@@ -71,30 +72,43 @@ def parse_timestamp(c) -> Column:
 # The characters Python's int() strips around a number (str.isspace minus
 # the four information separators U+001C-U+001F).
 PY_WHITESPACE = r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_INT_TEXT = rf"^{PY_WHITESPACE}*[+-]?\d+(_\d+)*{PY_WHITESPACE}*$"
 _EDGE_SPACE = rf"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$"
+_INT_CORE = r"^[+-]?\d+(_\d+)*$"
 
 
-def quantity_is_integer(c) -> Column:
-    """True when the text is an integer literal as Python's int() reads it (ASCII digits)."""
-    return F.coalesce(_c(c).rlike(_INT_TEXT), F.lit(False))
+def quantity_text(c) -> Column:
+    """The text with the whitespace int() ignores removed from both ends.  Compute it
+    once as a column when several rules read it (one regex pass per row)."""
+    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
 
 
-def _stripped(c) -> Column:
-    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
+def integer_text_ok(stripped) -> Column:
+    """Is the stripped text an integer literal as Python's int() reads it (ASCII digits)?"""
+    return F.coalesce(_c(stripped).rlike(_INT_CORE), F.lit(False))
+
+
+def integer_text_value(stripped) -> Column:
+    """Stripped integer text -> DECIMAL(38,0); NULL when not an integer or beyond 38 digits."""
+    return F.when(integer_text_ok(stripped),
+                  F.regexp_replace(_c(stripped), "_", "").try_cast("decimal(38,0)"))
+
+
+def integer_text_nonpositive(stripped) -> Column:
+    """For integer text: value <= 0 (also for negatives too long for DECIMAL(38,0))."""
+    return integer_text_ok(stripped) & F.coalesce(integer_text_value(stripped) <= 0,
+                                                  _c(stripped).startswith("-"))
+
+
+def quantity_is_integer(c) -> Column:
+    return integer_text_ok(quantity_text(c))
 
 
 def parse_quantity(c) -> Column:
-    """Integer text -> DECIMAL(38,0); NULL when not an integer or beyond 38 digits."""
-    cleaned = F.regexp_replace(_stripped(c), "_", "")
-    return F.when(quantity_is_integer(c), cleaned.try_cast("decimal(38,0)"))
+    return integer_text_value(quantity_text(c))
 
 
 def quantity_is_nonpositive(c) -> Column:
-    """For integer text: value <= 0 (also for negatives too long for DECIMAL(38,0))."""
-    v = parse_quantity(c)
-    negative_text = _stripped(c).startswith("-")
-    return quantity_is_integer(c) & F.coalesce(v <= 0, negative_text)
+    return integer_text_nonpositive(quantity_text(c))
 
 
 def is_blank(c) -> Column:

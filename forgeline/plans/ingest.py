@@ -20,10 +20,10 @@ from forgeline import contracts as C
 from forgeline.functions import (
     is_blank,
     ntz_lit,
-    parse_quantity,
+    integer_text_ok,
+    integer_text_value,
     parse_timestamp,
-    quantity_is_integer,
-    quantity_is_nonpositive,
+    quantity_text,
     row_json,
     row_reference,
 )
@@ -61,18 +61,19 @@ def classify_machines(raw: DataFrame) -> DataFrame:
 
 def classify_production_events(raw: DataFrame, known_machines: DataFrame) -> DataFrame:
     df = mark_known(raw, "machine_id", known_machines, "machine_id", "_fk_ok")
-    ts = parse_timestamp("timestamp")
-    qty = parse_quantity("quantity_produced")
-    df = df.withColumns({"_ts": ts, "_qty": qty})
+    # each parse is its own column, evaluated once per row; the rules read the results
+    df = df.withColumns({"_ts": parse_timestamp("timestamp"), "_qtext": quantity_text("quantity_produced")})
+    df = df.withColumns({"_qok": integer_text_ok("_qtext"), "_qty": integer_text_value("_qtext")})
     rules = [
         (~F.col("_fk_ok"), C.REASON_UNKNOWN_MACHINE),
         (F.col("_ts").isNull(), C.REASON_BAD_TIMESTAMP),
-        (~quantity_is_integer("quantity_produced"), C.REASON_BAD_QUANTITY),
-        (quantity_is_nonpositive("quantity_produced"), C.REASON_NONPOSITIVE_QUANTITY),
+        (~F.col("_qok"), C.REASON_BAD_QUANTITY),
+        (F.col("_qok") & F.coalesce(F.col("_qty") <= 0, F.col("_qtext").startswith("-")),
+         C.REASON_NONPOSITIVE_QUANTITY),
         (F.coalesce(F.col("_qty") > C.INT32_MAX, F.lit(True)), C.REASON_QUANTITY_RANGE),
         (_null("event_id", "product_code", "unit", "shift"), C.REASON_MISSING_REQUIRED),
     ]
-    return df.withColumn("_reason", first_failure(rules))
+    return df.withColumn("_reason", first_failure(rules)).drop("_qtext", "_qok")
 
 
 def classify_quality_checks(raw: DataFrame, known_events: DataFrame) -> DataFrame:
