@@ -170,7 +170,8 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
 
     # Materialize the classification once in the shared store: both outputs are cut
     # from the same rows, and lost executors recompute from this file, not the source.
-    stage = store.path(f"_staging/{batch_id}/{table}")
+    stage_name = f"_staging/{batch_id}-{table}"
+    stage = store.path(stage_name)
     counts = Observation(f"classified_{table}_{uuid.uuid4().hex[:6]}")
     (classified.observe(counts, F.count(F.lit(1)).alias("rows"),
                         F.count_if(F.col("_reason").isNull()).alias("valid"))
@@ -197,6 +198,8 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
         qobs, F.count(F.lit(1)).alias("n")), "quarantine")
     quarantined = qobs.get["n"]
 
+    # both outputs are committed; the staged copy of the batch is no longer read
+    store.drop(stage_name)
     stats = {"inserted": inserted, "skipped_duplicate": valid - inserted, "quarantined": quarantined}
     log.info(json.dumps({"event": "table_ingested", "table": table, "batch_id": batch_id, **stats}))
     return stats

@@ -39,6 +39,12 @@ class TableStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def drop(self, relative: str) -> None:
+        """Remove a folder under the root (staging data no longer read by anyone)."""
+        fs, p = self._fs(self.path(relative))
+        if fs.exists(p):
+            fs.delete(p, True)
+
     # -- append-only tables ---------------------------------------------------------
     def exists(self, table: str) -> bool:
         return self._exists(f"{self.path(table)}/_SUCCESS") or bool(self._versions(table))

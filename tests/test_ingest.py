@@ -1,3 +1,5 @@
+import os
+
 from conftest import write_files
 from plant_fixture import EVENTS_A, EVENTS_B, EVENTS_HEAD, FILES, FIRST_RUN, REASONS, SECOND_RUN
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ def test_first_ingest_counters_and_reasons(spark, store, tmp_path):
     assert _ingest(spark, store, folder) == FIRST_RUN
     q = {(r["table_name"], r["row_reference"]): r["reason"] for r in store.read("quarantine").collect()}
     assert q == REASONS
+    staging = store.path("_staging")  # staged batches are dropped once committed
+    assert not os.path.exists(staging) or os.listdir(staging) == []
 
 
 def test_reingest_is_idempotent(spark, store, tmp_path):
