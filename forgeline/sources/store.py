@@ -72,13 +72,27 @@ class TableStore:
         names = [d for d in self._list_dirs(self.path(table)) if d.startswith("_v")]
         return [d for d in names if self._exists(f"{self.path(table)}/{d}/_SUCCESS")]
 
-    def overwrite(self, df: DataFrame, table: str) -> str:
-        """Write ``df`` as the new current version of ``table``."""
+    def overwrite(self, df: DataFrame, table: str, keep: int = 2) -> str:
+        """Write ``df`` as the new current version of ``table``.
+
+        Once it is committed, versions older than the newest ``keep`` are deleted (the
+        previous one stays for readers that started before the switch), so a table
+        rewritten every run does not grow the store by its full size each time."""
         version = f"_v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
         target = f"{self.path(table)}/{version}"
         df.write.mode("errorifexists").parquet(target)
+        self._prune(table, keep)
         return target
 
+    def _prune(self, table: str, keep: int) -> None:
+        committed = self._versions(table)
+        if len(committed) <= keep:
+            return
+        oldest_kept = committed[-keep]
+        for d in self._list_dirs(self.path(table)):
+            if d.startswith("_v") and d < oldest_kept:  # names sort by write time
+                self.drop(f"{table}/{d}")
+
     def upsert(self, new: DataFrame, table: str, key: list[str], schema: T.StructType) -> str:
         """Rows of ``new`` replace stored rows with the same key; other stored rows stay."""
         old = self.read(table, schema)

@@ -17,6 +17,10 @@ def test_missing_table_reads_empty_and_versions_switch(spark, store):
     store.overwrite(df1, "t")
     store.overwrite(df2, "t")
     assert [tuple(r) for r in store.read("t").collect()] == [(2, "b")]
+    for i in range(3):
+        store.overwrite(spark.createDataFrame([(10 + i, "c")], "k int, v string"), "t")
+    assert [tuple(r) for r in store.read("t").collect()] == [(12, "c")]
+    assert len(store._versions("t")) == 2  # current + previous; older versions deleted
 
 
 def test_upsert_replaces_matching_keys_and_keeps_others(spark, store):
