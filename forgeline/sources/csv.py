@@ -59,7 +59,11 @@ def text_schema(header: list[str]) -> T.StructType:
 def shape_text(df: DataFrame, header: list[str], columns: list[str]) -> DataFrame:
     """Select ``columns`` by name: '' for empty fields, NULL for fields a short row lacks
     or columns the header lacks."""
-    short = F.col(_CORRUPT).isNotNull()
+    # a malformed record is short (missing trailing fields) or long (extra fields); only
+    # a short one lacks named fields.  Count its fields: commas outside quoted sections.
+    unquoted = F.regexp_replace(F.col(_CORRUPT), r'"(?:[^"]|"")*"', "")
+    n_fields = F.length(unquoted) - F.length(F.regexp_replace(unquoted, ",", "")) + 1
+    short = F.col(_CORRUPT).isNotNull() & (n_fields < len(header))
 
     def text(c):
         if c not in header:

@@ -77,3 +77,17 @@ def test_file_order_is_kept_when_files_are_split(spark, tmp_path):
     for f in range(3):
         ids = [c for path, c in rows if path.endswith(f"part{f}.csv")]
         assert ids == [f"C{f}-{i:05d}" for i in range(4000)]
+
+
+def test_long_row_keeps_named_fields(spark, tmp_path):
+    text = ("check_id,production_event_id,timestamp,result,defect_type,inspector_id\n"
+            "C1,E1,2026-01-01T00:00:00,pass,,INS1,extra,more\n"
+            "C2,E1,2026-01-01T00:00:00,fail,material,INS2\n"
+            'C3,"E,1",2026-01-01T00:00:00,fail,,"a,""b"",c",x\n'
+            'C4,"E,1","2026,01",fail\n')
+    folder = write_files(tmp_path / "in", {"c.csv": text})
+    got = _rows(read_csv(spark, f"{folder}/c.csv", COLS))
+    assert got == [("C1", "E1", "2026-01-01T00:00:00", "pass", "", "INS1"),
+                   ("C2", "E1", "2026-01-01T00:00:00", "fail", "material", "INS2"),
+                   ("C3", "E,1", "2026-01-01T00:00:00", "fail", "", 'a,"b",c'),
+                   ("C4", "E,1", "2026,01", "fail", None, None)]
