@@ -30,6 +30,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("FORGELINE_DRIVER_MEMORY", "8g"))
+        # checkpoint files of DataFrames no longer referenced are removed by the cleaner
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
