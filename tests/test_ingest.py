@@ -91,3 +91,54 @@ def test_split_batch_equals_whole_batch(spark, tmp_path):
 def test_missing_folder_ingests_nothing(spark, store, tmp_path):
     stats = _ingest(spark, store, str(tmp_path / "nothing-here"))
     assert all(v == (0, 0, 0) for v in stats.values())
+
+
+def _reference_reason(row, known):
+    """The original per-row rule chain, in Python, plus this library's range guard for
+    values the original would fail to INSERT (evaluated last)."""
+    import datetime as dt
+
+    from forgeline import contracts as C
+
+    if row["machine_id"] not in known:
+        return C.REASON_UNKNOWN_MACHINE
+    try:
+        ts = dt.datetime.fromisoformat(row["timestamp"])
+        ok_ts = ts.year >= 2000
+    except ValueError:
+        ok_ts = False
+    if not ok_ts:
+        return C.REASON_BAD_TIMESTAMP
+    try:
+        q = int(row["quantity_produced"])
+    except ValueError:
+        return C.REASON_BAD_QUANTITY
+    if q <= 0:
+        return C.REASON_NONPOSITIVE_QUANTITY
+    if q > 2**31 - 1:
+        return C.REASON_QUANTITY_RANGE
+    return None
+
+
+def test_rule_precedence_matches_reference_chain_on_random_rows(spark):
+    import random
+
+    from forgeline.plans.ingest import classify_production_events
+
+    rng = random.Random(5)
+    machines = ["M1", "M2", "M9", ""]
+    stamps = ["2026-01-15T10:30:00", "2026-01-15 10:30", "2026-01-15T10:30+02:00", "1999-12-31T23:59:59",
+              "2000-01-01T00:00:00", "1900-01-01T09:00:00", "not-a-date", "", "2026-02-30T10:00:00", "20260115",
+              "2026-01-15T10Z", "2026-13-01"]
+    quantities = ["42", " 7 ", "+5", "0", "-3", "-0", "429.5", "1e3", "n/a", "", "1_000", "\xa012　",
+                  "2147483647", "2147483648", "9" * 45, "-" + "9" * 45]
+    rows = [(f"E{i}", rng.choice(machines), rng.choice(stamps), "P", rng.choice(quantities), "units", "day",
+             "f", i) for i in range(600)]
+    cols = "event_id string, machine_id string, timestamp string, product_code string, " \
+           "quantity_produced string, unit string, shift string, _file string, _pos long"
+    raw = spark.createDataFrame(rows, cols)
+    known = spark.createDataFrame([("M1",), ("M2",)], "machine_id string")
+    got = {r["event_id"]: r["_reason"] for r in classify_production_events(raw, known).collect()}
+    names = ["event_id", "machine_id", "timestamp", "product_code", "quantity_produced"]
+    want = {r[0]: _reference_reason(dict(zip(names, r)), {"M1", "M2"}) for r in rows}
+    assert got == want
