@@ -181,3 +181,24 @@ def test_relationship_count_with_hot_orphan_value(spark):
     pdf = child.toPandas()
     known = {f"E{i}" for i in range(0, 701, 2)}
     assert got == int((~pdf["production_event_id"].isin(known)).sum())
+
+
+def test_fk_join_splits_hot_machine_partition(spark):
+    """With broadcasts off, AQE splits the partition of a machine holding a third of
+    the events (the final plan shows a skew sort-merge join)."""
+    from forgeline.operators.validate import mark_known
+
+    ev = (spark.range(300000).repartition(8)
+          .withColumn("machine_id", F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+                      .otherwise(F.concat(F.lit("M"), (F.col("id") % 5000).cast("string")))))
+    parents = spark.range(5000).select(F.concat(F.lit("M"), F.col("id").cast("string")).alias("machine_id"))
+    with forced_skew_handling(spark):
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+        out = mark_known(ev, "machine_id", parents, "machine_id", "ok")
+        rows = out.collect()
+        plan = _plan(out)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == 300000
+    assert sum(not r["ok"] for r in rows) == 100000  # the hot machine is not a known parent
