@@ -71,7 +71,7 @@ def arrived(spark: SparkSession, data_dir: str) -> bool:
 
 
 def run_daily(spark: SparkSession, data_dir: str, store_root: str, run_date: str,
-              multi_line: bool = True) -> DataFrame:
+              multi_line: bool | str = "auto") -> DataFrame:
     """One scheduled run; safe to repeat for the same date (sinks are idempotent and
     the source label is per date).  Returns one summary row."""
     store = TableStore(spark, store_root)

@@ -236,7 +236,7 @@ def run_log(stats: DataFrame, batch_id: str, source_file: str, logged_at: _dt.da
 
 
 def ingest_folder(spark: SparkSession, store: TableStore, data_dir: str, source_file: str,
-                  multi_line: bool = True) -> DataFrame:
+                  multi_line: bool | str = "auto") -> DataFrame:
     """Ingest a drop folder holding machines.csv, production_events.csv, ..."""
     from forgeline.sources.csv import read_dataset
 

@@ -24,7 +24,18 @@ def _reader(spark: SparkSession, multi_line: bool):
             .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """Does any record of the file(s) continue on the next line?
+
+    Quotes inside a field are doubled, so a physical line holds an odd number of '"'
+    exactly when a quoted field opens or closes a line break there.  One splittable
+    text scan answers it; it stops at the first such line."""
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    return not lines.filter(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool | str = "auto") -> DataFrame:
     """Read one CSV file or folder as text columns ``columns`` (by header name) plus the
     file order (``_file``, ``_pos``).  A missing or empty file yields an empty table.
 
@@ -32,20 +43,24 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: boo
     the header is read first, then the file is parsed with that header as an all-text
     schema plus a corrupt-record column that marks rows with the wrong field count.
 
-    ``multi_line`` keeps quoted newlines intact; a multi-line file is read by one task,
-    which also keeps ``_pos`` in file order.  Turn it off for large files without
-    embedded newlines to split them across tasks.
+    ``multi_line``: a file parsed in multi-line mode keeps quoted newlines intact but is
+    read by one task, however large.  ``"auto"`` (default) scans the text first and uses
+    multi-line mode only when some record really spans lines, so ordinary files, even
+    one holding most of a batch, are split across tasks.  ``_pos`` follows file order
+    in both modes.
     """
     try:
-        header = _reader(spark, multi_line).csv(path).columns
+        header = _reader(spark, True).csv(path).columns
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return _empty(spark, columns)
         raise
     if not header:  # 0-byte file: no header, no rows
         return _empty(spark, columns)
+    if multi_line == "auto":
+        multi_line = spans_lines(spark, path)
     schema = text_schema(header)
-    df = (_reader(spark, multi_line).schema(schema)
+    df = (_reader(spark, bool(multi_line)).schema(schema)
           .option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
     return with_file_order(shape_text(df, header, columns))
 
@@ -75,11 +90,11 @@ def shape_text(df: DataFrame, header: list[str], columns: list[str]) -> DataFram
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
-    """File path and a position increasing in file order (one task per multi-line file)."""
+    """File path and a position increasing in file order (split files included)."""
     return df.withColumns({"_file": F.input_file_name(), "_pos": F.monotonically_increasing_id()})
 
 
-def read_dataset(spark: SparkSession, data_dir: str, multi_line: bool = True) -> dict[str, DataFrame]:
+def read_dataset(spark: SparkSession, data_dir: str, multi_line: bool | str = "auto") -> dict[str, DataFrame]:
     """The four plant files of a drop folder as text tables."""
     base = data_dir.rstrip("/")
     return {t: read_csv(spark, f"{base}/{t}.csv", cols, multi_line) for t, cols in CSV_COLUMNS.items()}

@@ -91,3 +91,24 @@ def test_long_row_keeps_named_fields(spark, tmp_path):
                    ("C2", "E1", "2026-01-01T00:00:00", "fail", "material", "INS2"),
                    ("C3", "E,1", "2026-01-01T00:00:00", "fail", "", 'a,"b",c'),
                    ("C4", "E,1", "2026,01", "fail", None, None)]
+
+
+def test_auto_mode_splits_plain_files_and_keeps_quoted_newlines(spark, tmp_path):
+    from forgeline.sources.csv import spans_lines
+
+    plain = ",".join(COLS) + "\n" + "".join(f'C{i},E1,2026-01-01T00:00:00,pass,"a, ""b""",INS1\n' for i in range(3000))
+    multi = ",".join(COLS) + "\n" + 'C1,E1,2026-01-01T00:00:00,fail,"two\nlines",INS1\nC2,E1,t,pass,,\n'
+    folder = write_files(tmp_path / "in", {"plain.csv": plain, "multi.csv": multi})
+    assert spans_lines(spark, f"{folder}/plain.csv") is False
+    assert spans_lines(spark, f"{folder}/multi.csv") is True
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_csv(spark, f"{folder}/plain.csv", COLS)
+        assert df.rdd.getNumPartitions() > 1  # split across tasks
+        ids = [r[0] for r in df.orderBy("_file", "_pos").select("check_id").collect()]
+        got = _rows(read_csv(spark, f"{folder}/multi.csv", COLS))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert ids == [f"C{i}" for i in range(3000)]
+    assert got == [("C1", "E1", "2026-01-01T00:00:00", "fail", "two\nlines", "INS1"), ("C2", "E1", "t", "pass", "", "")]
