@@ -142,3 +142,59 @@ def test_rule_precedence_matches_reference_chain_on_random_rows(spark):
     names = ["event_id", "machine_id", "timestamp", "product_code", "quantity_produced"]
     want = {r[0]: _reference_reason(dict(zip(names, r)), {"M1", "M2"}) for r in rows}
     assert got == want
+
+
+def test_ingest_properties_on_generated_batches(spark, tmp_path):
+    """Hypothesis-generated event batches (ids from a small pool, so copies and
+    invalid-then-valid sequences occur): ingesting twice equals ingesting once, and
+    ingesting the batch in two parts (file order kept) equals ingesting it whole."""
+    import datetime as dt
+    import uuid
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from forgeline.plans.ingest import ingest_table
+    from forgeline.sources.store import TableStore
+
+    at = dt.datetime(2026, 1, 5)
+    row = st.tuples(st.sampled_from(["E1", "E2", "E3", "E4"]), st.sampled_from(["M1", "M2", "M9"]),
+                    st.sampled_from(["2026-01-01T07:00:00", "1900-01-01T07:00:00", "bad", "2026-01-02 08:30"]),
+                    st.sampled_from(["5", "0", "-2", "x", " 12 ", "7"]))
+    cols = ("event_id string, machine_id string, timestamp string, product_code string, "
+            "quantity_produced string, unit string, shift string, _file string, _pos long")
+    machines = spark.createDataFrame([("M1", "Press", "press", "2020-01-01", "m", 0),
+                                      ("M2", "Lathe", "lathe", "2020-01-01", "m", 1)],
+                                     "machine_id string, machine_name string, machine_type string, "
+                                     "install_date string, _file string, _pos long")
+
+    def fresh():
+        s = TableStore(spark, str(tmp_path / uuid.uuid4().hex))
+        ingest_table(s, "machines", machines, "gen", "b0", at)
+        return s
+
+    def events(rows, offset=0):
+        return spark.createDataFrame([(e, m, t, "P", q, "units", "day", "f", offset + i)
+                                      for i, (e, m, t, q) in enumerate(rows)], cols)
+
+    def snapshot(s):
+        ev = sorted(tuple(r) for r in s.read("production_events").select(
+            "event_id", "machine_id", "event_timestamp", "quantity_produced").collect())
+        q = sorted(tuple(r) for r in s.read("quarantine").select("table_name", "row_reference", "reason").collect())
+        return ev, q
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(row, min_size=1, max_size=12), st.integers(min_value=0, max_value=12))
+    def check(rows, k):
+        k = min(k, len(rows))
+        whole = fresh()
+        ingest_table(whole, "production_events", events(rows), "gen", "b1", at)
+        once = snapshot(whole)
+        again = ingest_table(whole, "production_events", events(rows), "gen", "b2", at)
+        assert again["inserted"] == 0 and again["quarantined"] == 0 and snapshot(whole) == once
+        split = fresh()
+        ingest_table(split, "production_events", events(rows[:k]), "gen", "b1", at)
+        ingest_table(split, "production_events", events(rows[k:], offset=k), "gen", "b2", at)
+        assert snapshot(split) == once
+
+    check()
