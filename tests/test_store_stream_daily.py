@@ -75,3 +75,16 @@ def test_gate_blocks_scoring(spark, tmp_path):
     out = run_daily(spark, write_files(tmp_path / "drop", files), str(tmp_path / "store"), "2026-01-02").first()
     assert out["status"] == "blocked_by_data_tests" and out["failed_error_tests"] == 1
     assert out["machine_days_scored"] == 0
+
+
+def test_stream_rejects_reordered_header(spark, tmp_path):
+    import pytest
+
+    from forgeline.streaming.arrival import table_stream
+
+    folder = write_files(tmp_path / "drop", {"a.csv": "result,check_id,production_event_id,timestamp,defect_type,"
+                                                      "inspector_id\npass,C1,E1,2026-01-01T00:00:00,,\n"})
+    q = (table_stream(spark, folder, "quality_checks").writeStream.trigger(availableNow=True)
+         .option("checkpointLocation", str(tmp_path / "ck")).foreachBatch(lambda b, e: b.count()).start())
+    with pytest.raises(Exception, match="does not conform to the schema"):
+        q.awaitTermination()
