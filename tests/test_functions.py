@@ -1,9 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-import pytest
-from pyspark.sql import functions as F
-
 from forgeline.functions import (
     defect_rate,
     duration_hours,

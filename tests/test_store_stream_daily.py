@@ -1,7 +1,6 @@
 
 from conftest import write_files
 from plant_fixture import FILES, FIRST_RUN
-from pyspark.sql import functions as F
 
 from forgeline import contracts as C
 from forgeline.plans.daily import run_daily
