@@ -17,6 +17,7 @@ from forgeline.functions import (
     quantity_is_nonpositive,
     row_json,
     row_reference,
+    unicode_decimal_digits,
 )
 from forgeline.operators.dedup import append_union, first_per_key, insert_if_absent
 from forgeline.operators.validate import mark_known, normalize_empty, route_quarantine, route_valid
@@ -37,8 +38,11 @@ _TS_OK = r"regexp_full_match({c}, '\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2
 # the whitespace Python's int() strips, in RE2 syntax (same set as functions.scalar)
 _WS = r"[\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _WSF = _WS.replace("{", "{{").replace("}", "}}")  # braces escaped for str.format templates
-_INT_OK = "coalesce(regexp_full_match({c}, '" + _WSF + r"*[+-]?\d+(_\d+)*" + _WSF + "*'), false)"
-_STRIP = "regexp_replace({c}, '^" + _WSF + "+|" + _WSF + "+$', '', 'g')"
+# the text as int() reads it: edge whitespace removed, every decimal digit in ASCII
+_DIGITS_FROM, _DIGITS_TO = unicode_decimal_digits()
+_STRIP = ("translate(regexp_replace({c}, '^" + _WSF + "+|" + _WSF + "+$', '', 'g'), '"
+          + _DIGITS_FROM + "', '" + _DIGITS_TO + "')")
+_INT_OK = "coalesce(regexp_full_match(" + _STRIP + r", '[+-]?\d+(_\d+)*'), false)"
 
 
 def _ts_sql(c: str) -> str:

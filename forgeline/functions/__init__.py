@@ -16,4 +16,5 @@ from forgeline.functions.scalar import (  # noqa: F401
     row_json,
     row_reference,
     safe_ratio,
+    unicode_decimal_digits,
 )

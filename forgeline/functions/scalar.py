@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -76,14 +78,29 @@ _EDGE_SPACE = rf"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$"
 _INT_CORE = r"^[+-]?\d+(_\d+)*$"
 
 
+@functools.cache
+def unicode_decimal_digits() -> tuple[str, str]:
+    """Every non-ASCII Unicode decimal digit (category Nd) and its ASCII digit, built from
+    the Unicode database behind Python's int(), which reads all of them."""
+    src, dst = [], []
+    for cp in range(0x80, 0x110000):
+        d = unicodedata.decimal(chr(cp), None)
+        if d is not None:
+            src.append(chr(cp))
+            dst.append(str(d))
+    return "".join(src), "".join(dst)
+
+
 def quantity_text(c) -> Column:
-    """The text with the whitespace int() ignores removed from both ends.  Compute it
-    once as a column when several rules read it (one regex pass per row)."""
-    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
+    """The text as int() reads it: the whitespace it ignores removed from both ends and
+    every decimal digit in ASCII.  Compute it once as a column when several rules read
+    it (one regex pass and one translate per row)."""
+    src, dst = unicode_decimal_digits()
+    return F.translate(F.regexp_replace(_c(c), _EDGE_SPACE, ""), src, dst)
 
 
 def integer_text_ok(stripped) -> Column:
-    """Is the stripped text an integer literal as Python's int() reads it (ASCII digits)?"""
+    """Is the text from ``quantity_text`` an integer literal as Python's int() reads it?"""
     return F.coalesce(_c(stripped).rlike(_INT_CORE), F.lit(False))
 
 
