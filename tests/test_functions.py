@@ -140,10 +140,7 @@ def _python_rule(value):
     return ts
 
 
-def test_parse_timestamp_matches_python_on_random_forms(spark):
-    import random
-
-    rng = random.Random(20260115)
+def test_parse_timestamp_matches_python_on_generated_forms(spark):
     dates = ["2026-01-15", "2000-01-01", "1999-12-31", "1900-06-01", "2026-02-29", "2024-02-29",
              "2026-13-01", "2026-00-10", "2026-1-15", "12026-01-15", "2026-01", "2026"]
     seps = ["T", " ", "x", "+"]
@@ -152,12 +149,7 @@ def test_parse_timestamp_matches_python_on_random_forms(spark):
     offsets = ["", "", "Z", "+02:00", "-05:30", "+0200", "+02", "-00:00"]
     values = ["20260115", "20260115T10", "20260115T1030", "20260115T103045", "19991231", "2026011",
               "20261315", "", "not-a-date", " 2026-01-15", "2026-01-15 ", "2026/01/15", "2026-01-15T", "T10:00"]
-    for _ in range(600):
-        t = rng.choice(times)
-        v = rng.choice(dates)
-        if t:
-            v += rng.choice(seps) + t + rng.choice(offsets)
-        values.append(v)
+    values += sorted({d + (s + t + o if t else "") for d in dates for s in seps for t in times for o in offsets})
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = {r["s"]: r["p"] for r in df.select("s", parse_timestamp("s").alias("p")).collect()}
     mismatches = {v: (got[v], _python_rule(v)) for v in values if got[v] != _python_rule(v)}
