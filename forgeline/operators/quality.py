@@ -93,6 +93,10 @@ def _meta(t: DQTest):
             F.lit(t.severity).alias("severity"), F.lit(",".join(t.tags)).alias("tags")]
 
 
+def _count_rows(bad: DataFrame) -> DataFrame:
+    return bad.agg(F.count(F.lit(1)).alias("violations"))
+
+
 def dq_report(tests: list[DQTest], relations: dict[str, DataFrame]) -> DataFrame:
     """Violation count per test, as one DataFrame (one Spark job).
 
@@ -118,16 +122,14 @@ def dq_report(tests: list[DQTest], relations: dict[str, DataFrame]) -> DataFrame
         parts.append(counts.select(stack.alias("r")).select("r.*"))
     for t in tests:
         if t.kind == "unique":
-            bad = dq_unique(relations[t.relation].select(t.column), t.column)
+            counted = _count_rows(dq_unique(relations[t.relation].select(t.column), t.column))
         elif t.kind == "relationships":
-            parts.append(dq_relationships_count(relations[t.relation], t.column, relations[t.to],
-                                                t.field).select(*_meta(t), "violations"))
-            continue
+            counted = dq_relationships_count(relations[t.relation], t.column, relations[t.to], t.field)
         elif t.kind == "singular":
-            bad = SINGULAR[t.name](relations[t.relation])
+            counted = _count_rows(SINGULAR[t.name](relations[t.relation]))
         else:
             continue
-        parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(*_meta(t), "violations"))
+        parts.append(counted.select(*_meta(t), "violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
