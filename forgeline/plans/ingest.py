@@ -177,26 +177,30 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
                         F.count_if(F.col("_reason").isNull()).alias("valid"))
      .write.mode("overwrite").parquet(stage))
     staged = spark.read.parquet(stage)
-    valid = counts.get["valid"]
-
-    pk = C.PRIMARY_KEY[table]
-    winners = first_per_key(staged.filter(F.col("_reason").isNull()), [pk], ORDER_COLS)
-    new_rows = insert_if_absent(winners, _parent_keys(store, table), [pk])
-    new_rows = stamp_lineage(new_rows.select(*typed_columns(table)), source_file, batch_id, loaded_at)
-    ins = Observation(f"inserted_{table}_{uuid.uuid4().hex[:6]}")
-    store.append(new_rows.observe(ins, F.count(F.lit(1)).alias("n")), table)
-    inserted = ins.get["n"]
-
-    rejected = quarantine_rows(staged.filter(F.col("_reason").isNotNull()), table, source_file,
-                               batch_id, loaded_at)
-    q_first = first_per_key(rejected, ["row_reference"], ORDER_COLS)
-    stored_q = (store.read("quarantine", C.QUARANTINE_SCHEMA)
-                .filter((F.col("table_name") == table) & (F.col("source_file") == source_file)))
-    q_new = insert_if_absent(q_first, stored_q.select(*C.QUARANTINE_KEY), C.QUARANTINE_KEY)
-    qobs = Observation(f"quarantined_{table}_{uuid.uuid4().hex[:6]}")
-    store.append(q_new.select(*C.QUARANTINE_SCHEMA.fieldNames()).observe(
-        qobs, F.count(F.lit(1)).alias("n")), "quarantine")
-    quarantined = qobs.get["n"]
+    valid, rejected_rows = counts.get["valid"], counts.get["rows"] - counts.get["valid"]
+
+    inserted = 0
+    if valid:  # an all-rejected batch never touches the stored keys
+        pk = C.PRIMARY_KEY[table]
+        winners = first_per_key(staged.filter(F.col("_reason").isNull()), [pk], ORDER_COLS)
+        new_rows = insert_if_absent(winners, _parent_keys(store, table), [pk])
+        new_rows = stamp_lineage(new_rows.select(*typed_columns(table)), source_file, batch_id, loaded_at)
+        ins = Observation(f"inserted_{table}_{uuid.uuid4().hex[:6]}")
+        store.append(new_rows.observe(ins, F.count(F.lit(1)).alias("n")), table)
+        inserted = ins.get["n"]
+
+    quarantined = 0
+    if rejected_rows:  # a clean batch never reads or writes the quarantine table
+        rejected = quarantine_rows(staged.filter(F.col("_reason").isNotNull()), table, source_file,
+                                   batch_id, loaded_at)
+        q_first = first_per_key(rejected, ["row_reference"], ORDER_COLS)
+        stored_q = (store.read("quarantine", C.QUARANTINE_SCHEMA)
+                    .filter((F.col("table_name") == table) & (F.col("source_file") == source_file)))
+        q_new = insert_if_absent(q_first, stored_q.select(*C.QUARANTINE_KEY), C.QUARANTINE_KEY)
+        qobs = Observation(f"quarantined_{table}_{uuid.uuid4().hex[:6]}")
+        store.append(q_new.select(*C.QUARANTINE_SCHEMA.fieldNames()).observe(
+            qobs, F.count(F.lit(1)).alias("n")), "quarantine")
+        quarantined = qobs.get["n"]
 
     # both outputs are committed; the staged copy of the batch is no longer read
     store.drop(stage_name)

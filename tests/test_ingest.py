@@ -154,6 +154,7 @@ def test_ingest_properties_on_generated_batches(spark, tmp_path):
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
 
+    from forgeline import contracts as C
     from forgeline.plans.ingest import ingest_table
     from forgeline.sources.store import TableStore
 
@@ -178,9 +179,10 @@ def test_ingest_properties_on_generated_batches(spark, tmp_path):
                                       for i, (e, m, t, q) in enumerate(rows)], cols)
 
     def snapshot(s):
-        ev = sorted(tuple(r) for r in s.read("production_events").select(
+        ev = sorted(tuple(r) for r in s.read("production_events", C.RAW_SCHEMAS["production_events"]).select(
             "event_id", "machine_id", "event_timestamp", "quantity_produced").collect())
-        q = sorted(tuple(r) for r in s.read("quarantine").select("table_name", "row_reference", "reason").collect())
+        q = sorted(tuple(r) for r in s.read("quarantine", C.QUARANTINE_SCHEMA).select(
+            "table_name", "row_reference", "reason").collect())
         return ev, q
 
     @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
