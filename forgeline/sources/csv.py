@@ -74,17 +74,17 @@ def text_schema(header: list[str]) -> T.StructType:
 def shape_text(df: DataFrame, header: list[str], columns: list[str]) -> DataFrame:
     """Select ``columns`` by name: '' for empty fields, NULL for fields a short row lacks
     or columns the header lacks."""
-    # a malformed record is short (missing trailing fields) or long (extra fields); only
-    # a short one lacks named fields.  Count its fields: commas outside quoted sections.
+    # a malformed record is short (missing trailing fields) or long (extra fields).  Count
+    # its fields (commas outside quoted sections): the columns at or past that count are
+    # missing; every other empty field is ''.
     unquoted = F.regexp_replace(F.col(_CORRUPT), r'"(?:[^"]|"")*"', "")
     n_fields = F.length(unquoted) - F.length(F.regexp_replace(unquoted, ",", "")) + 1
-    short = F.col(_CORRUPT).isNotNull() & (n_fields < len(header))
 
     def text(c):
         if c not in header:
             return F.lit(None).cast("string")
-        v = F.col(f"`{c}`")
-        return F.when(short & v.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(v, F.lit("")))
+        missing = F.col(_CORRUPT).isNotNull() & (n_fields <= header.index(c))
+        return F.when(missing, F.lit(None).cast("string")).otherwise(F.coalesce(F.col(f"`{c}`"), F.lit("")))
 
     return df.select(*[text(c).alias(c) for c in columns])
 
