@@ -200,3 +200,39 @@ def test_ingest_properties_on_generated_batches(spark, tmp_path):
         assert snapshot(split) == once
 
     check()
+
+
+def test_check_and_maintenance_rules_match_reference_chain(spark):
+    """Checks: FK then timestamp; maintenance: FK then both timestamps (end before start is
+    allowed), on random rows against the original chain in Python."""
+    import datetime as dt
+    import random
+
+    from forgeline import contracts as C
+    from forgeline.plans.ingest import classify_maintenance_events, classify_quality_checks
+
+    def ts_ok(v):
+        try:
+            return dt.datetime.fromisoformat(v).year >= 2000
+        except ValueError:
+            return False
+
+    rng = random.Random(9)
+    stamps = ["2026-01-15T10:30:00", "1999-12-31T23:59:59", "bad", "", "2026-01-15 10:30+01:00", "2026-02-30"]
+    checks = [(f"C{i}", rng.choice(["E1", "E2", "E9"]), rng.choice(stamps), "pass", "", "", "f", i)
+              for i in range(300)]
+    maint = [(f"T{i}", rng.choice(["M1", "M9"]), rng.choice(stamps), rng.choice(stamps), "preventive", "TEC1", "f", i)
+             for i in range(300)]
+    cdf = spark.createDataFrame(checks, "check_id string, production_event_id string, timestamp string, "
+                                        "result string, defect_type string, inspector_id string, _file string, _pos long")
+    mdf = spark.createDataFrame(maint, "maintenance_id string, machine_id string, start_time string, end_time string, "
+                                       "maintenance_type string, technician_id string, _file string, _pos long")
+    events = spark.createDataFrame([("E1",), ("E2",)], "event_id string")
+    machines = spark.createDataFrame([("M1",)], "machine_id string")
+    got_c = {r["check_id"]: r["_reason"] for r in classify_quality_checks(cdf, events).collect()}
+    got_m = {r["maintenance_id"]: r["_reason"] for r in classify_maintenance_events(mdf, machines).collect()}
+    want_c = {c[0]: (C.REASON_UNKNOWN_EVENT if c[1] not in ("E1", "E2")
+                     else None if ts_ok(c[2]) else C.REASON_BAD_TIMESTAMP) for c in checks}
+    want_m = {m[0]: (C.REASON_UNKNOWN_MACHINE if m[1] != "M1"
+                     else None if ts_ok(m[2]) and ts_ok(m[3]) else C.REASON_BAD_TIMESTAMP) for m in maint}
+    assert got_c == want_c and got_m == want_m
