@@ -236,3 +236,34 @@ def test_check_and_maintenance_rules_match_reference_chain(spark):
     want_m = {m[0]: (C.REASON_UNKNOWN_MACHINE if m[1] != "M1"
                      else None if ts_ok(m[2]) and ts_ok(m[3]) else C.REASON_BAD_TIMESTAMP) for m in maint}
     assert got_c == want_c and got_m == want_m
+
+
+def test_machine_rules_match_reference_on_random_rows(spark):
+    """Machines: id, name and install date must be non-empty (the original rule); an
+    install date no DATE column can hold is rejected after it (the original's INSERT
+    would fail).  machine_type is not checked, except that a row lacking it entirely is.
+    Dates are ones every parser agrees on; other formats are the database's business."""
+    import datetime as dt
+    import random
+
+    from forgeline import contracts as C
+    from forgeline.plans.ingest import classify_machines
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["M1", "", None]), rng.choice(["Press", "", " "]), rng.choice(["press", "", None]),
+             rng.choice(["2020-01-01", "", "2020-02-30", "not-a-date"]), "f", i)
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "machine_id string, machine_name string, machine_type string, "
+                                     "install_date string, _file string, _pos long")
+    got = [r["_reason"] for r in classify_machines(df).orderBy("_pos").collect()]
+
+    def want(mid, name, mtype, day):
+        if not mid or not name or not day:
+            return C.REASON_MISSING_REQUIRED
+        try:
+            dt.date.fromisoformat(day)
+        except ValueError:
+            return C.REASON_BAD_INSTALL_DATE
+        return C.REASON_MISSING_REQUIRED if mtype is None else None
+
+    assert got == [want(*r[:4]) for r in rows]
