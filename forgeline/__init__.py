@@ -6,6 +6,7 @@ Layers:
   operators/  reusable DataFrame -> DataFrame operators (validation, dedup, top-1, z-score, forest, DQ tests)
   plans/      the composed models: staging, intermediate, marts, ingest, scoring, daily run
   streaming/  file-arrival ingest via Structured Streaming + foreachBatch
+  catalog/    one registered query per operator key, with its DuckDB oracle SQL
 """
 
 __version__ = "0.1.0"
