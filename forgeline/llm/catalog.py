@@ -14,11 +14,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.line_templates import drop_lines
+
+    return (drop_lines(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")))
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.vafile import top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.quality_rules import judge
+
+    return (judge(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.bpe import encode_decode
+
+    return (encode_decode(table(spark, sf_dir, "documents"))
+            .select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                    F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forgeline.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_packing,)}
+QUERIES = {f.__name__: f for f in (op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op10_packing)}
 ORACLE: dict[str, str] = {}
