@@ -14,6 +14,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm import toxicity
+    from forgeline.llm.labelled import crc, fit_sample
+
+    docs, held_out = table(spark, sf_dir, "documents"), F.coalesce(crc(F.col("doc_id")) % 4 == 2, F.lit(False))
+    model = toxicity.fit(*fit_sample(docs, table(spark, sf_dir, "labels"), "toxic", crc(F.col("doc_id")) % 4 != 2))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm import latent_knn
+    from forgeline.llm.labelled import crc, fit_sample
+
+    docs, held_out = table(spark, sf_dir, "documents"), F.coalesce(crc(F.col("doc_id")) % 5 == 0, F.lit(False))
+    sample, _ = fit_sample(docs, table(spark, sf_dir, "labels"), "quality", crc(F.col("doc_id")) % 5 != 0, rows=2000)
+    return latent_knn.score(docs, latent_knn.fit(sample)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forgeline.llm.line_templates import drop_lines
 
@@ -49,5 +67,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op10_packing)}
 ORACLE: dict[str, str] = {}
