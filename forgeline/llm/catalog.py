@@ -14,6 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.substring_dedup import remove_repeats
+
+    return (remove_repeats(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forgeline.llm import toxicity
     from forgeline.llm.labelled import crc, fit_sample
@@ -67,5 +74,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op10_packing)}
 ORACLE: dict[str, str] = {}

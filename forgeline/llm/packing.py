@@ -122,7 +122,7 @@ def _pack_partition(path: str | None, length: int, most: int, end_id: int):
 
 
 def _merge(length: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         group, out = int(key[0]), []
         pdf = pdf.sort_values(["sequence_id", "offset"], kind="stable")
         left = int(pdf["length"].sum())

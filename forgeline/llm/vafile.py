@@ -95,7 +95,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     v = v.select("vec_id", "x", F.size("x").alias("dim"), deal(n_v, 1).alias("vb"), every(n_q).alias("qb"))
     q = q.dropDuplicates().select("vec_id", "x", F.size("x").alias("dim"), deal(n_q, 2).alias("qb"), every(n_v).alias("vb"))
 
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def run(key, left, right):
         rows = block_best(*_matrix(left), *_matrix(right), k) if left.num_rows and right.num_rows else []
         cols = list(zip(*rows)) if rows else [(), (), ()]
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
