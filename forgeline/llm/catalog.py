@@ -68,11 +68,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.ngram_join import join_components
+
+    return join_components(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forgeline.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing)}
 ORACLE: dict[str, str] = {}
