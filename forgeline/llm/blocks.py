@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 4 << 20
@@ -27,7 +27,10 @@ class Dealt:
         size = docs.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
         self.blocks = max(1, -(-size // block_bytes))
         self.bits = max(0, int(size // shard_bytes)).bit_length()
-        self.docs = docs.withColumn("blk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.blocks)).cast("int"))
+        self.docs = docs.withColumn("blk", self.block_of(F.xxhash64("doc_id", "text")))
+
+    def block_of(self, key: Column) -> Column:
+        return F.pmod(key, F.lit(self.blocks)).cast("int")
 
 
 def cuts(keys: np.ndarray, bits: int) -> np.ndarray:

@@ -21,6 +21,15 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents scored by how much more they look like those labelled good than like all."""
+    from forgeline.llm.lm_scoring import cross_entropy_difference
+
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    bits = [F.round(c, 6).alias(c) for c in ("target_bits", "background_bits", "score")]
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), good).select("doc_id", "n_words", *bits)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forgeline.llm import toxicity
     from forgeline.llm.labelled import crc, fit_sample
@@ -80,5 +89,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing)}
 ORACLE: dict[str, str] = {}
