@@ -41,15 +41,16 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
     lines = (docs.where("doc_id is not null").select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
              .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
              .select("doc_id", "text_key", "line_no", tokens(F.col("line")).alias("tokens")))
-    return lines.select("*", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"))
+    # one string: an array of tokens takes twice the room in a shuffle
+    return lines.select("doc_id", "text_key", "line_no", F.array_join("tokens", " ").alias("masked"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"))
 
 
 def templates(lines: DataFrame, min_share: float = MIN_SHARE, min_constant: float = MIN_CONSTANT) -> DataFrame:
     """leaf, line key and template key of each distinct line of the given leaves."""
-    distinct = lines.groupBy("leaf", "line_key").agg(F.first("tokens").alias("tokens"))
+    distinct = lines.groupBy("leaf", "line_key").agg(F.first("masked").alias("masked"))
     size = distinct.groupBy("leaf").agg(F.count("*").alias("n_lines"))
     many = size.where("n_lines > 1")
-    at = (distinct.join(many, "leaf").select("leaf", "line_key", "n_lines", F.posexplode("tokens").alias("pos", "token")))
+    at = (distinct.join(many, "leaf").select("leaf", "line_key", "n_lines", F.posexplode(F.split("masked", " ")).alias("pos", "token")))
     support = at.groupBy("leaf", "pos", "token").agg(F.count("*").alias("support"))
     constant = (F.col("support") >= 2) & (F.col("support") >= F.col("n_lines") * F.lit(min_share)) & (F.col("token") != WILDCARD)
     part = (at.join(support, ["leaf", "pos", "token"])
@@ -62,22 +63,39 @@ def templates(lines: DataFrame, min_share: float = MIN_SHARE, min_constant: floa
             .select("leaf", "line_key", F.coalesce("general", F.xxhash64(F.lit("own"), "line_key")).alias("template")))
 
 
-def drop_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE, min_constant: float = MIN_CONSTANT) -> DataFrame:
-    """doc_id, text_key, kept text, n_lines and n_dropped of every row of docs."""
-    docs = _keyed(docs)
-    lines = _lines(docs, depth)
+def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE, min_constant: float = MIN_CONSTANT) -> DataFrame:
+    """doc_id, text_key and the numbers (from 0) of the lines to drop, for the documents that have some."""
+    lines = _lines(_keyed(docs), depth)
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     # lines that share a leaf with enough others; the leaves of most prose lines hold one line
-    lines = (lines.join(leaves, "leaf").select("doc_id", "text_key", "line_no", "leaf", "tokens", F.xxhash64("tokens", F.size("tokens")).alias("line_key"))
+    lines = (lines.join(leaves, "leaf").select("doc_id", "text_key", "line_no", "leaf", "masked", F.xxhash64("masked").alias("line_key"))
              .checkpoint())
     lines = lines.join(templates(lines, min_share, min_constant), ["leaf", "line_key"]).select("doc_id", "text_key", "line_no", "leaf", "template")
     recurring = (lines.select("leaf", "template", "doc_id").distinct().groupBy("leaf", "template")
                  .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")).where(F.col("n_docs") >= min_docs))
-    dropped = (lines.join(recurring, ["leaf", "template"]).where("doc_id <> first_doc")
-               .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("dropped")))
+    return (lines.join(recurring, ["leaf", "template"]).where("doc_id <> first_doc")
+            .groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("dropped")))
+
+
+def drop_lines(docs: DataFrame, **rules) -> DataFrame:
+    """row (all columns of docs), doc_id, kept_text, n_lines and n_dropped of every row of docs."""
+    dropped = recurring_lines(docs, **rules)
+    kept = docs.select(F.struct("*").alias("row")).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text"))
+    kept = kept.withColumn("text_key", F.xxhash64("text")).join(dropped, ["doc_id", "text_key"], "left")
     every = F.split("text", "\n")
     gone = F.coalesce("dropped", F.array().cast("array<int>"))
-    return (docs.join(dropped, ["doc_id", "text_key"], "left")
-            .select("doc_id", "text_key", F.when(F.col("dropped").isNull(), F.col("text"))
-                    .otherwise(F.array_join(F.filter(every, lambda x, i: ~F.array_contains(gone, i)), "\n")).alias("kept_text"),
-                    F.size(every).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped")))
+    return kept.select("row", "doc_id", F.when(F.col("dropped").isNull(), F.col("text"))
+                       .otherwise(F.array_join(F.filter(every, lambda x, i: ~F.array_contains(gone, i)), "\n")).alias("kept_text"),
+                       F.size(every).cast("long").alias("n_lines"), F.size(gone).cast("long").alias("n_dropped"))
+
+
+def without_recurring_lines(docs: DataFrame, **rules) -> DataFrame:
+    """docs with the kept text (and its length in n_chars, where there is one); rows that had words and have none left go."""
+    kept = drop_lines(docs, **rules).where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]") | (F.col("n_dropped") == 0))
+    return with_text(kept, docs, F.when(F.col("n_dropped") == 0, F.col("row.text")).otherwise(F.col("kept_text")))
+
+
+def with_text(kept: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The columns of docs out of ``row``, with a new text and its length in n_chars."""
+    new = {"text": text, "n_chars": F.length(text)}
+    return kept.select(*((new[f.name] if f.name in new else F.col("row").getField(f.name)).cast(f.dataType).alias(f.name) for f in docs.schema))
