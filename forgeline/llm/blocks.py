@@ -20,10 +20,11 @@ SHARD_BYTES = 16 << 20
 
 
 class Dealt:
-    """docs (doc_id, text, blk), the number of blocks, and the bits of a key that name its shard."""
+    """docs (doc_id, text, blk and, if asked for, all columns as row), the number of blocks, and the bits of a key that name its shard."""
 
-    def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES):
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, row: bool = False):
+        rows = [F.struct("*").alias("row")] if row else []
+        docs = docs.select(*rows, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
         size = docs.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
         self.blocks = max(1, -(-size // block_bytes))
         self.bits = max(0, int(size // shard_bytes)).bit_length()

@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgeline.llm import oracle
+
 #: Rows of an Arrow batch: texts can be long, and a batch is held by one Python worker.
 BATCH_ROWS = "500"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -80,7 +86,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forgeline.llm.ngram_join import join_components
 
-    return join_components(table(spark, sf_dir, "documents"))
+    return join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,4 +96,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing)}
-ORACLE: dict[str, str] = {}
+ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

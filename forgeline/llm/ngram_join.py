@@ -127,7 +127,7 @@ def shared_parts(nodes: _Nodes, got: pa.Table, bits: int) -> pa.Table:
         place = np.arange(len(order)) - np.repeat(first, nodes.size)
         taken = order[(place < prefix_size(nodes.size)[node]) & shared[order]]
         prefixes.append(_lists(nodes.tokens[taken], np.bincount(node[taken], minlength=len(nodes.size))[some]))
-    weight = np.bincount(node, weights=np.log2(df), minlength=len(nodes.size))
+    weight = np.bincount(node, weights=np.log2(df), minlength=len(nodes.size)).astype(float)
     return pa.table([pa.array(np.array(nodes.node, np.int64)[some]), pa.array(nodes.size[some]), pa.array(weight[some]),
                      _lists(nodes.tokens[shared], np.bincount(node[shared], minlength=len(nodes.size))[some]), *prefixes],
                     names=["node", "size", "weight", "tokens", *(f"prefix{o}" for o in range(ORDERS))])
@@ -214,3 +214,9 @@ def join_components(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes
     known = own.join(of_node, "node", "left").join(degree, "node", "left").select("node", F.coalesce("by_link", "by_set").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return (rows.withColumn("set", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node"))).join(known.withColumnRenamed("node", "set"), "set", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id links to a smaller one; null doc_ids and texts without words stay."""
+    others = join_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(others, docs["doc_id"].cast("long") == others["doc_id"], "left_anti")

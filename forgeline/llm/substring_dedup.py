@@ -22,8 +22,11 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forgeline.llm.blocks import BLOB, BLOCK_BYTES, SHARD_BYTES, Dealt, answered, blob_table, cuts, planes, replies, unplanes
+from forgeline.llm.line_templates import with_text
 from forgeline.llm.textbatch import Batch, inside, ngrams, parse, strings, word_hashes
 
 WINDOW = 13
@@ -120,9 +123,10 @@ def locate(sequences: list[tuple], numbers: list[int], phrases: list[tuple], lea
                         yield d, end
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, kept_text (kept words joined by a space), n_words, n_removed of every row."""
-    dealt = Dealt(docs, block_bytes, shard_bytes)
+def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, row: bool = False) -> DataFrame:
+    """doc_id, kept_text (kept words joined by a space), n_words, n_removed of every row; row: all columns of docs, if asked for."""
+    dealt = Dealt(docs, block_bytes, shard_bytes, row)
+    out = T.StructType([T.StructField("row", docs.schema)] if row else []).add("doc_id", "long").add("kept_text", "string").add("n_words", "long").add("n_removed", "long")
     bits, blocks = dealt.bits, dealt.docs.groupBy("blk")
 
     def ask_anchors(key, table):
@@ -163,8 +167,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLO
         keep = np.cumsum(covered)[:-1] == 0
         kept = np.bincount(block.batch.doc[keep], minlength=len(block.batch))
         n = block.batch.n_words
-        return pa.table([table.column("doc_id"), pa.array(strings(block.batch, keep), pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(n - kept, pa.int64())],
-                        names=["doc_id", "kept_text", "n_words", "n_removed"])
+        return pa.table([*([table.column("row")] if row else []), table.column("doc_id"), pa.array(strings(block.batch, keep), pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(n - kept, pa.int64())],
+                        names=out.names)
 
     both = first.unionByName(second)
-    return blocks.cogroup(both.groupBy("blk")).applyInArrow(remove, "doc_id long, kept_text string, n_words long, n_removed long")
+    return blocks.cogroup(both.groupBy("blk")).applyInArrow(remove, out)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """docs with the kept words as text (and its length in n_chars, where there is one); rows that had words and have none left go."""
+    kept = remove_repeats(docs, row=True).where("n_removed = 0 or n_removed < n_words")
+    return with_text(kept, docs, F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("kept_text")))
