@@ -17,8 +17,12 @@ def first_per_key(df: DataFrame, key_cols: list[str], order_cols: list[str]) ->
 
 
 def insert_if_absent(new_rows: DataFrame, stored_keys: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Rows of ``new_rows`` whose key is not stored yet (anti-join on a key-only scan)."""
-    return new_rows.join(stored_keys.select(*key_cols), key_cols, "left_anti")
+    """Rows of ``new_rows`` whose key is not stored yet.
+
+    The stored keys are first cut to those of the batch: that join may broadcast the batch (by Spark's own size
+    check), so a small batch never shuffles the keys of all history."""
+    met = stored_keys.select(*key_cols).join(new_rows.select(*key_cols), key_cols, "left_semi")
+    return new_rows.join(met, key_cols, "left_anti")
 
 
 def append_union(history: DataFrame, new_rows: DataFrame) -> DataFrame:

@@ -23,9 +23,14 @@ def mark_known(df: DataFrame, fk_col: str, parent_keys: DataFrame, parent_col: s
 
     A left join against the key column keeps accepted and rejected rows in one pass.
     Stored parent keys are unique (primary key), so no de-duplication shuffle is needed;
-    pass ``parent_unique=False`` for an arbitrary key set.  Small parents are broadcast
-    by the planner's size check; large ones sort-merge (AQE splits skewed partitions).
+    pass ``parent_unique=False`` for an arbitrary key set.  The parents are first cut to
+    the keys that ``df`` names (combined before they are shuffled, so a hot key is one), a
+    join that may broadcast a small batch's keys instead of shuffling all parents.  What is
+    left is checkpointed, so that the flag's join has plain exchanges on both sides: the planner
+    broadcasts it by its size check, or AQE splits the skewed partitions of ``df``.
     """
+    named = df.select(F.col(fk_col).alias("_named")).distinct()
+    parent_keys = parent_keys.join(named, parent_keys[parent_col] == named["_named"], "left_semi").checkpoint()
     keys = parent_keys.select(F.col(parent_col).alias("_parent_key"))
     if not parent_unique:
         keys = keys.dropDuplicates(["_parent_key"])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline import contracts as C
-from forgeline.operators.quality import dq_gate, dq_report
+from forgeline.operators.quality import dq_gate, dq_report, enforce_gate
 from forgeline.plans.ingest import ingest_folder
 from forgeline.plans import intermediate as I
 from forgeline.plans import marts as M
@@ -25,23 +25,33 @@ def raw_from_store(store: TableStore) -> dict[str, DataFrame]:
     return {t: store.read(t, C.RAW_SCHEMAS[t]) for t in C.INGEST_ORDER}
 
 
+MODELS = "models"  # the enriched events and the marts switch together
+
+
+def raw_state(store: TableStore) -> dict[str, list[str]]:
+    """What the raw tables hold now: the data folders of each."""
+    return {t: store.state(t) for t in C.INGEST_ORDER}
+
+
 def materialize_models(store: TableStore) -> dict[str, DataFrame]:
-    """Build the model graph from the stored raw tables and write it.
+    """Build the model graph from the stored raw tables, write it, and commit it with the raw state it was built from.
 
     The enriched events (events joined to their newest check and their machine, the
     step that shuffles the two largest tables) are written once; the daily summary,
     both event-based marts and the data tests on the enriched model read that version
     instead of repeating the joins (Spark cannot drop a left join to a side it does
-    not know to be unique).  Staging models stay lazy, like views; each output is a
-    new table version."""
-    raw = raw_from_store(store)
-    store.overwrite(build_models(raw)["int_production_enriched"], "int_production_enriched")
-    enriched = store.read("int_production_enriched")
+    not know to be unique).  Staging models stay lazy, like views.  The commit is the last
+    write: a run that dies before it leaves the earlier models current, and the next run,
+    finding another raw state than theirs, builds anew."""
+    state, raw = raw_state(store), raw_from_store(store)
+    made = {"int_production_enriched": store.write_data(build_models(raw)["int_production_enriched"], "int_production_enriched")}
+    enriched = store.spark.read.parquet(store.path(made["int_production_enriched"]))
     st = S.staging(raw)
-    store.overwrite(M.mart_production_daily(I.daily_summary_from_enriched(enriched)), "mart_production_daily")
-    store.overwrite(M.mart_quality_summary(enriched), "mart_quality_summary")
-    store.overwrite(M.mart_machine_downtime(st["stg_machines"], st["stg_maintenance_events"]),
-                    "mart_machine_downtime")
+    for name, df in {"mart_production_daily": M.mart_production_daily(I.daily_summary_from_enriched(enriched)),
+                     "mart_quality_summary": M.mart_quality_summary(enriched),
+                     "mart_machine_downtime": M.mart_machine_downtime(st["stg_machines"], st["stg_maintenance_events"])}.items():
+        made[name] = store.write_data(df, name)
+    store.commit_group(MODELS, made, state)
     return stored_models(store)
 
 
@@ -57,10 +67,11 @@ def stored_models(store: TableStore) -> dict[str, DataFrame]:
     return models
 
 
-def models_are_current(store: TableStore, inserted: int) -> bool:
-    """Marts depend on the raw tables only; a run that inserted nothing (a re-run of a
-    day already loaded) leaves them as they are, so the written versions are reused."""
-    return inserted == 0 and all(store.exists(t) for t in ["int_production_enriched", *MARTS])
+def current_models(store: TableStore) -> dict[str, DataFrame]:
+    """The written models if they were built from the raw tables as they are, else new ones."""
+    if store.group_is_current(MODELS, ["int_production_enriched", *MARTS], raw_state(store)):
+        return stored_models(store)
+    return materialize_models(store)
 
 
 def arrived(spark: SparkSession, data_dir: str) -> bool:
@@ -70,31 +81,30 @@ def arrived(spark: SparkSession, data_dir: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+SUMMARY = ("run_date string, status string, inserted long, skipped_duplicate long, quarantined long, "
+           "failed_error_tests long, gate_passed boolean, machine_days_scored long, baseline_anomalies long, "
+           "isolation_forest_anomalies long, isolation_forest_ran boolean")
+
+
 def run_daily(spark: SparkSession, data_dir: str, store_root: str, run_date: str,
-              multi_line: bool | str = "auto") -> DataFrame:
+              multi_line: bool | str = "auto", raise_on_failed_tests: bool = True) -> DataFrame:
     """One scheduled run; safe to repeat for the same date (sinks are idempotent and
-    the source label is per date).  Returns one summary row."""
+    the source label is per date).  Returns one summary row.
+
+    Failed error-severity data tests stop the run before scoring: it raises
+    QualityGateError, or, without ``raise_on_failed_tests``, reports ``blocked_by_data_tests``."""
     store = TableStore(spark, store_root)
     if not arrived(spark, data_dir):
         log.info("no drop folder for %s at %s", run_date, data_dir)
-        return spark.createDataFrame(
-            [(run_date, "no_data", 0, 0, 0, 0, None, 0)],
-            "run_date string, status string, inserted long, skipped_duplicate long, quarantined long, "
-            "failed_error_tests long, gate_passed boolean, machine_days_scored long")
+        return spark.createDataFrame([(run_date, "no_data", 0, 0, 0, 0, None, 0, 0, 0, False)], SUMMARY)
     stats = ingest_folder(spark, store, data_dir, f"daily/{run_date}", multi_line)
     totals = stats.agg(*[F.sum(c).alias(c) for c in ("inserted", "skipped_duplicate", "quarantined")]).first()
-    models = (stored_models(store) if models_are_current(store, totals["inserted"])
-              else materialize_models(store))
-    report = dq_report(SUITE, models)
-    store.overwrite(report, "dq_report")
-    gate = dq_gate(store.read("dq_report")).first()
-    scored = 0
-    status = "blocked_by_data_tests"
+    store.overwrite(dq_report(SUITE, current_models(store)), "dq_report")
+    report = store.read("dq_report")
+    gate = (enforce_gate(report) if raise_on_failed_tests else dq_gate(report)).first()
+    scores, status = (0, 0, 0, False), "blocked_by_data_tests"
     if gate["gate_passed"]:
-        scored = score_anomalies(spark, store).first()["machine_days_scored"]
-        status = "scored"
+        scores, status = tuple(score_anomalies(spark, store).first()), "scored"
     return spark.createDataFrame(
         [(run_date, status, totals["inserted"], totals["skipped_duplicate"], totals["quarantined"],
-          gate["failed_error_tests"], gate["gate_passed"], scored)],
-        "run_date string, status string, inserted long, skipped_duplicate long, quarantined long, "
-        "failed_error_tests long, gate_passed boolean, machine_days_scored long")
+          gate["failed_error_tests"], gate["gate_passed"], *scores)], SUMMARY)

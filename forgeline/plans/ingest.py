@@ -29,6 +29,7 @@ from forgeline.functions import (
 )
 from forgeline.operators.dedup import first_per_key, insert_if_absent
 from forgeline.operators.validate import first_failure, mark_known
+from forgeline.sources.csv import EXTRA
 from forgeline.sources.store import TableStore
 
 log = logging.getLogger("forgeline.ingest")
@@ -48,7 +49,8 @@ def _null(*cols):
 # Classification: raw text columns -> typed columns + _reason (NULL = valid)
 # ---------------------------------------------------------------------------
 def classify_machines(raw: DataFrame) -> DataFrame:
-    install = F.col("install_date").try_cast("date")
+    # the cast alone would also take a year, or a month without its zero
+    install = F.when(F.col("install_date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col("install_date")).try_cast("date")
     rules = [
         (is_blank("machine_id") | is_blank("machine_name") | is_blank("install_date"),
          C.REASON_MISSING_REQUIRED),
@@ -127,6 +129,15 @@ def classify(table: str, raw: DataFrame, parents: dict[str, DataFrame]) -> DataF
     raise ValueError(table)
 
 
+def _whole_row(df: DataFrame, cols: list[str]):
+    """The original row as JSON: the contract's columns, then the file's others."""
+    row = row_json(cols)
+    if EXTRA not in df.columns:
+        return row
+    more = F.substring(F.to_json(F.col(EXTRA), {"ignoreNullFields": "false"}), 2, 2 ** 31 - 1)
+    return F.when(F.cardinality(EXTRA) > 0, F.concat(F.substring(row, F.lit(1), F.length(row) - 1), F.lit(","), more)).otherwise(row)
+
+
 def quarantine_rows(rejected: DataFrame, table: str, source_file: str, batch_id: str,
                     quarantined_at: _dt.datetime) -> DataFrame:
     """Rejected rows in quarantine layout (reference id, reason, original row as JSON)."""
@@ -135,7 +146,7 @@ def quarantine_rows(rejected: DataFrame, table: str, source_file: str, batch_id:
         F.lit(table).alias("table_name"),
         row_reference(C.PRIMARY_KEY[table], cols).alias("row_reference"),
         F.col("_reason").alias("reason"),
-        row_json(cols).alias("raw_data"),
+        _whole_row(rejected, cols).alias("raw_data"),
         F.lit(source_file).alias("source_file"),
         F.lit(batch_id).alias("batch_id"),
         ntz_lit(quarantined_at).alias("quarantined_at"),
@@ -186,7 +197,7 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
         new_rows = insert_if_absent(winners, _parent_keys(store, table), [pk])
         new_rows = stamp_lineage(new_rows.select(*typed_columns(table)), source_file, batch_id, loaded_at)
         ins = Observation(f"inserted_{table}_{uuid.uuid4().hex[:6]}")
-        store.append(new_rows.observe(ins, F.count(F.lit(1)).alias("n")), table)
+        store.append(new_rows.observe(ins, F.count(F.lit(1)).alias("n")), table, lambda: ins.get["n"])
         inserted = ins.get["n"]
 
     quarantined = 0
@@ -199,7 +210,7 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
         q_new = insert_if_absent(q_first, stored_q.select(*C.QUARANTINE_KEY), C.QUARANTINE_KEY)
         qobs = Observation(f"quarantined_{table}_{uuid.uuid4().hex[:6]}")
         store.append(q_new.select(*C.QUARANTINE_SCHEMA.fieldNames()).observe(
-            qobs, F.count(F.lit(1)).alias("n")), "quarantine")
+            qobs, F.count(F.lit(1)).alias("n")), "quarantine", lambda: qobs.get["n"])
         quarantined = qobs.get["n"]
 
     # both outputs are committed; the staged copy of the batch is no longer read
@@ -217,14 +228,21 @@ def ingest_dataset(store: TableStore, tables: dict[str, DataFrame], source_file:
     batch_id = batch_id or str(uuid.uuid4())
     loaded_at = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     log.info(json.dumps({"event": "ingest_batch_started", "batch_id": batch_id, "source_file": source_file}))
-    rows = []
-    for table in C.INGEST_ORDER:
-        if table not in tables:
-            continue
-        s = ingest_table(store, table, tables[table], source_file, batch_id, loaded_at)
-        rows.append((table, s["inserted"], s["skipped_duplicate"], s["quarantined"]))
+    store.drop("_staging")  # what a batch that failed left behind
+    done = [(t, ingest_table(store, t, tables[t], source_file, batch_id, loaded_at)) for t in C.INGEST_ORDER if t in tables]
+    return log_stats(store, done, batch_id, source_file, loaded_at)
+
+
+def log_stats(store: TableStore, done: list[tuple[str, dict]], batch_id: str, source_file: str, loaded_at: _dt.datetime) -> DataFrame:
+    """The counters as a DataFrame; appended to the run log, with one event for the finished batch."""
+    rows = [(t, s["inserted"], s["skipped_duplicate"], s["quarantined"]) for t, s in done]
     stats = store.spark.createDataFrame(rows, C.STATS_SCHEMA)
-    store.append(run_log(stats, batch_id, source_file, loaded_at), "run_log")
+    finished = {"event": "ingest_batch_finished", "batch_id": batch_id, "source_file": source_file, **{t: s for t, s in done}}
+    log.info(json.dumps(finished))
+    whole = store.spark.createDataFrame([(json.dumps(finished),)], "event_json string").select(
+        ntz_lit(loaded_at).alias("logged_at"), F.lit(batch_id).alias("batch_id"), F.lit(source_file).alias("source_file"),
+        F.lit(None).cast("string").alias("table_name"), "event_json")
+    store.append(run_log(stats, batch_id, source_file, loaded_at).unionByName(whole), "run_log")
     return stats
 
 

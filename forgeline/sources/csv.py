@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 from forgeline.contracts import CSV_COLUMNS
 
 _CORRUPT = "_corrupt_record"
+EXTRA = "_extra"  # fields of a row beyond the wanted columns, by header name
 
 
 def _empty(spark: SparkSession, columns: list[str]) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns]
-                          + [T.StructField("_file", T.StringType(), True),
+                          + [T.StructField(EXTRA, T.MapType(T.StringType(), T.StringType()), True),
+                             T.StructField("_file", T.StringType(), True),
                              T.StructField("_pos", T.LongType(), True)])
     return spark.createDataFrame([], schema)
 
@@ -24,45 +26,53 @@ def _reader(spark: SparkSession, multi_line: bool):
             .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
 
 
-def spans_lines(spark: SparkSession, path: str) -> bool:
-    """Does any record of the file(s) continue on the next line?
+def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Each non-empty file: its first line, and whether some record of it spans lines.
 
     Quotes inside a field are doubled, so a physical line holds an odd number of '"'
-    exactly when a quoted field opens or closes a line break there.  One splittable
-    text scan answers it; it stops at the first such line."""
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
+    exactly when a quoted field opens or closes a line break there.  One splittable text scan
+    answers it for every file."""
+    line = F.monotonically_increasing_id()
+    odd = (F.length("value") - F.length(F.translate("value", '"', ""))) % 2 == 1
+    return (spark.read.text(paths).select(F.input_file_name().alias("file"), line.alias("line"), "value")
+            .groupBy("file").agg(F.min(F.struct("line", "value"))["value"].alias("first"), F.max(odd).alias("spans")))
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool | str = "auto") -> DataFrame:
-    """Read one CSV file or folder as text columns ``columns`` (by header name) plus the
-    file order (``_file``, ``_pos``).  A missing or empty file yields an empty table.
+def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool | str = "auto") -> DataFrame:
+    """Read CSV files or folders as text columns ``columns`` (by each file's own header) plus the
+    other columns (``_extra``) and the file order (``_file``, ``_pos``).  A missing or empty file
+    yields an empty table.
 
     Empty fields read as '' and only fields missing from a short row read as NULL:
-    the header is read first, then the file is parsed with that header as an all-text
+    files are grouped by header, then parsed with that header as an all-text
     schema plus a corrupt-record column that marks rows with the wrong field count.
 
     ``multi_line``: a file parsed in multi-line mode keeps quoted newlines intact but is
-    read by one task, however large.  ``"auto"`` (default) scans the text first and uses
-    multi-line mode only when some record really spans lines, so ordinary files, even
-    one holding most of a batch, are split across tasks.  ``_pos`` follows file order
-    in both modes.
+    read by one task, however large.  ``"auto"`` (default) uses it only for the files
+    in which some record really spans lines; all others are split across tasks.
+    ``_pos`` follows file order in both modes.
     """
     try:
-        header = _reader(spark, True).csv(path).columns
+        files = _files(spark, path).collect()  # a row per file
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return _empty(spark, columns)
         raise
-    if not header:  # 0-byte file: no header, no rows
-        return _empty(spark, columns)
-    if multi_line == "auto":
-        multi_line = spans_lines(spark, path)
-    schema = text_schema(header)
-    df = (_reader(spark, bool(multi_line)).schema(schema)
-          .option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
-    return with_file_order(shape_text(df, header, columns))
+    groups: dict[tuple, list[str]] = {}
+    headers: dict[tuple[str, bool], tuple[str, ...]] = {}
+    for f in sorted(files):
+        key = (f["first"], f["first"].count('"') % 2 == 1)
+        if key[1] or key not in headers:  # a header that spans lines is read from each file
+            headers[key] = tuple(_reader(spark, True).csv(f["file"]).columns)
+        parsed = f["spans"] if multi_line == "auto" else bool(multi_line)
+        groups.setdefault((headers[key], parsed), []).append(f["file"])
+    out = None
+    for (header, parsed), names in groups.items():
+        df = (_reader(spark, parsed).schema(text_schema(list(header)))
+              .option("columnNameOfCorruptRecord", _CORRUPT).csv(names))
+        df = with_file_order(shape_text(df, list(header), columns))
+        out = df if out is None else out.unionByName(df)
+    return _empty(spark, columns) if out is None else out
 
 
 def text_schema(header: list[str]) -> T.StructType:
@@ -73,12 +83,13 @@ def text_schema(header: list[str]) -> T.StructType:
 
 def shape_text(df: DataFrame, header: list[str], columns: list[str]) -> DataFrame:
     """Select ``columns`` by name: '' for empty fields, NULL for fields a short row lacks
-    or columns the header lacks."""
+    or columns the header lacks; the header's other columns go to ``_extra`` (NULL if there are none)."""
     # a malformed record is short (missing trailing fields) or long (extra fields).  Count
     # its fields (commas outside quoted sections): the columns at or past that count are
-    # missing; every other empty field is ''.
-    unquoted = F.regexp_replace(F.col(_CORRUPT), r'"(?:[^"]|"")*"', "")
-    n_fields = F.length(unquoted) - F.length(F.regexp_replace(unquoted, ",", "")) + 1
+    # missing; every other empty field is ''.  Doubled quotes are adjacent sections; the
+    # possessive pattern does not recurse on long fields.
+    unquoted = F.regexp_replace(F.col(_CORRUPT), r'"[^"]*+"', "")
+    n_fields = F.length(unquoted) - F.length(F.translate(unquoted, ",", "")) + 1
 
     def text(c):
         if c not in header:
@@ -86,7 +97,9 @@ def shape_text(df: DataFrame, header: list[str], columns: list[str]) -> DataFram
         missing = F.col(_CORRUPT).isNotNull() & (n_fields <= header.index(c))
         return F.when(missing, F.lit(None).cast("string")).otherwise(F.coalesce(F.col(f"`{c}`"), F.lit("")))
 
-    return df.select(*[text(c).alias(c) for c in columns])
+    others = [c for c in header if c not in columns]
+    extra = F.create_map(*[x for c in others for x in (F.lit(c), text(c))]) if others else F.lit(None)
+    return df.select(*[text(c).alias(c) for c in columns], extra.cast("map<string,string>").alias(EXTRA))
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
@@ -100,7 +113,6 @@ def read_dataset(spark: SparkSession, data_dir: str, multi_line: bool | str = "a
     return {t: read_csv(spark, f"{base}/{t}.csv", cols, multi_line) for t, cols in CSV_COLUMNS.items()}
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header CSV export.  ``single_file`` coalesces to one part file (small tables only)."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """Header CSV export, a part file for each partition."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

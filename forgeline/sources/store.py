@@ -1,15 +1,22 @@
 """Parquet table store under one shared root folder.
 
-* Raw and quarantine tables are append-only folders (insert-if-absent sinks).
-* Model outputs and scores are versioned: each overwrite or upsert writes a complete
-  new version folder and readers take the newest committed one, so a table is never
-  overwritten while it is being read and a failed write leaves the old version live.
+Every write goes to a fresh data folder of its table, and becomes visible when a manifest naming the table's folders is
+committed: a small file written under a temporary name and renamed.  Readers take the newest manifest, so a
+half-written or failed write is never seen, whether or not the file committer leaves marker files.
+
+* Append-only tables (raw, quarantine, run log): the new manifest names the old folders and the new one.
+* Versioned tables (reports, scores): the new manifest names the new folder only.
+* Groups: several tables that switch together, with the state of the tables they were built from.
+
+One writer at a time is assumed for a table or group.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -26,36 +33,88 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return fs.exists(p)
-
-    def _list_dirs(self, path: str) -> list[str]:
+    def _names(self, path: str) -> list[str]:
         fs, p = self._fs(path)
-        if not fs.exists(p):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def drop(self, relative: str) -> None:
-        """Remove a folder under the root (staging data no longer read by anyone)."""
+        """Remove a folder under the root (data no longer read by anyone)."""
         fs, p = self._fs(self.path(relative))
         if fs.exists(p):
             fs.delete(p, True)
 
-    # -- append-only tables ---------------------------------------------------------
+    # -- manifests ----------------------------------------------------------------------
+    @staticmethod
+    def _fresh(after: str = "") -> str:
+        """A name that sorts after every earlier one."""
+        now = max(int(time.time() * 1000), int(after[:15] or 0) + 1)
+        return f"{now:015d}-{uuid.uuid4().hex[:8]}"
+
+    def _manifests(self, where: str) -> list[str]:
+        return [n for n in self._names(f"{self.path(where)}/_commits") if n.endswith(".json") and not n.startswith(".")]
+
+    def _load(self, where: str, name: str) -> dict:
+        fs, p = self._fs(f"{self.path(where)}/_commits/{name}")
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _newest(self, where: str) -> dict | None:
+        names = self._manifests(where)
+        return self._load(where, names[-1]) if names else None
+
+    def _commit(self, where: str, content: dict) -> None:
+        folder = f"{self.path(where)}/_commits"
+        name = self._fresh((self._manifests(where) or [""])[-1])
+        fs, tmp = self._fs(f"{folder}/.{name}.tmp")
+        out = fs.create(tmp)
+        try:
+            out.write(bytearray(json.dumps(content).encode()))
+        finally:
+            out.close()
+        if not fs.rename(tmp, self._fs(f"{folder}/{name}.json")[1]):
+            raise OSError(f"could not commit {folder}/{name}.json")
+
+    def _prune(self, where: str, tables: list[str], keep: int) -> None:
+        """Delete manifests before the newest ``keep``, and the data folders that none of those names."""
+        names = self._manifests(where)
+        kept = [self._load(where, n) for n in names[-keep:]]
+        used = {f for m in kept for f in m["folders"]}
+        for n in names[:-keep]:
+            self.drop(f"{where}/_commits/{n}")
+        for table in tables:
+            for d in self._names(self.path(table)):
+                if d.startswith("_d") and f"{table}/{d}" not in used:
+                    self.drop(f"{table}/{d}")
+
+    # -- reading ----------------------------------------------------------------------
+    def state(self, table: str) -> list[str]:
+        """The data folders of the table's current content; equal states hold equal rows."""
+        return (self._newest(table) or {"folders": []})["folders"]
+
+    def _folders(self, table: str) -> list[str]:
+        own = self.state(table)
+        if own:
+            return own
+        for group in self._names(f"{self.root}/_groups"):
+            made = (self._newest(f"_groups/{group}") or {}).get("outputs", {})
+            if table in made:
+                return [made[table]]
+        return []
+
     def exists(self, table: str) -> bool:
-        return self._exists(f"{self.path(table)}/_SUCCESS") or bool(self._versions(table))
+        return bool(self._folders(table))
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Current content of a table; an absent table is empty (with ``schema``)."""
-        versions = self._versions(table)
-        if versions:
-            return self.spark.read.parquet(f"{self.path(table)}/{versions[-1]}")
-        if self._exists(f"{self.path(table)}/_SUCCESS"):
-            return self.spark.read.parquet(self.path(table))
+        folders = self._folders(table)
+        if folders:
+            return self.spark.read.parquet(*[self.path(f) for f in folders])
         if schema is None:
             raise FileNotFoundError(f"table {table} does not exist under {self.root}")
         return self.spark.createDataFrame([], schema)
@@ -64,13 +123,20 @@ class TableStore:
         """Key-only scan (column pruning reads just these columns)."""
         return self.read(table, schema).select(*cols)
 
-    def append(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(self.path(table))
-
-    # -- versioned tables -------------------------------------------------------------
-    def _versions(self, table: str) -> list[str]:
-        names = [d for d in self._list_dirs(self.path(table)) if d.startswith("_v")]
-        return [d for d in names if self._exists(f"{self.path(table)}/{d}/_SUCCESS")]
+    # -- writing ----------------------------------------------------------------------
+    def write_data(self, df: DataFrame, table: str) -> str:
+        """Write a data folder that no reader sees until a manifest names it."""
+        folder = f"{table}/_d{self._fresh()}"
+        df.write.mode("errorifexists").parquet(self.path(folder))
+        return folder
+
+    def append(self, df: DataFrame, table: str, rows: Callable[[], int] | None = None) -> None:
+        """Add rows to a table.  ``rows`` tells, after the write, how many there were: none changes nothing."""
+        folder = self.write_data(df, table)
+        if rows is not None and not rows():
+            self.drop(folder)
+        else:
+            self._commit(table, {"folders": [*self.state(table), folder]})
 
     def overwrite(self, df: DataFrame, table: str, keep: int = 2) -> str:
         """Write ``df`` as the new current version of ``table``.
@@ -78,23 +144,35 @@ class TableStore:
         Once it is committed, versions older than the newest ``keep`` are deleted (the
         previous one stays for readers that started before the switch), so a table
         rewritten every run does not grow the store by its full size each time."""
-        version = f"_v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-        target = f"{self.path(table)}/{version}"
-        df.write.mode("errorifexists").parquet(target)
-        self._prune(table, keep)
-        return target
-
-    def _prune(self, table: str, keep: int) -> None:
-        committed = self._versions(table)
-        if len(committed) <= keep:
-            return
-        oldest_kept = committed[-keep]
-        for d in self._list_dirs(self.path(table)):
-            if d.startswith("_v") and d < oldest_kept:  # names sort by write time
-                self.drop(f"{table}/{d}")
+        folder = self.write_data(df, table)
+        self._commit(table, {"folders": [folder]})
+        self._prune(table, [table], keep)
+        return self.path(folder)
+
+    def versions(self, table: str) -> list[str]:
+        """The data folders that are on disk."""
+        return [d for d in self._names(self.path(table)) if d.startswith("_d")]
 
     def upsert(self, new: DataFrame, table: str, key: list[str], schema: T.StructType) -> str:
-        """Rows of ``new`` replace stored rows with the same key; other stored rows stay."""
+        """Rows of ``new`` replace stored rows with the same key; other stored rows stay.
+
+        ``new`` is written first, so it is computed once for both of its uses."""
         old = self.read(table, schema)
-        merged = old.join(new.select(*key), key, "left_anti").unionByName(new.select(*old.columns))
-        return self.overwrite(merged, table)
+        staged = self.write_data(new.select(*old.columns), f"_staging/{table}")
+        new = self.spark.read.parquet(self.path(staged))
+        merged = old.join(new.select(*key), key, "left_anti").unionByName(new)
+        path = self.overwrite(merged, table)
+        self.drop(staged)
+        return path
+
+    # -- tables that switch together -------------------------------------------------------
+    def commit_group(self, group: str, outputs: dict[str, str], built_from: dict[str, list[str]], keep: int = 2) -> None:
+        """Make the written folders of several tables current at once."""
+        where = f"_groups/{group}"
+        self._commit(where, {"outputs": outputs, "folders": list(outputs.values()), "built_from": built_from})
+        self._prune(where, list(outputs), keep)
+
+    def group_is_current(self, group: str, tables: list[str], built_from: dict[str, list[str]]) -> bool:
+        """Were these tables last built, together, from exactly this state?"""
+        last = self._newest(f"_groups/{group}")
+        return bool(last) and last["built_from"] == built_from and set(tables) <= set(last["outputs"])

@@ -17,26 +17,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline import contracts as C
-from forgeline.plans.ingest import ingest_table
-from forgeline.sources.csv import _CORRUPT, shape_text, text_schema, with_file_order
+from forgeline.plans.ingest import ingest_table, log_stats
+from forgeline.sources.csv import read_csv
 from forgeline.sources.store import TableStore
 
 
-def table_stream(spark: SparkSession, folder: str, table: str, multi_line: bool = True) -> DataFrame:
-    """Streaming text rows of one table.  Files must carry the standard header; it is
-    checked against the expected names (``enforceSchema=false``) rather than bound by
-    position silently."""
-    cols = C.CSV_COLUMNS[table]
-    return (spark.readStream.schema(text_schema(cols))
-            .option("header", True).option("enforceSchema", False).option("escape", '"')
-            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", _CORRUPT)
-            .csv(folder))
+FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
+def new_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream of files in a folder, by path (their content is not read here)."""
+    return (spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", 1000).load(folder).select("path"))
 
 
 def stream_ingest(spark: SparkSession, store: TableStore, drop_root: str, checkpoint_root: str,
-                  source_file: str, tables: list[str] | None = None, multi_line: bool = True) -> DataFrame:
-    """Process every file not yet seen; return counters per table for this run."""
+                  source_file: str, tables: list[str] | None = None, multi_line: bool | str = "auto") -> DataFrame:
+    """Process every file not yet seen; return counters per table for this run.
+
+    Files are read as in a batch: columns by each file's own header, in multi-line mode only
+    where a record spans lines.  Batch ids hold the query's id, so they differ between checkpoints."""
     drop_root, checkpoint_root = drop_root.rstrip("/"), checkpoint_root.rstrip("/")
     run_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     rows = []
@@ -44,12 +43,14 @@ def stream_ingest(spark: SparkSession, store: TableStore, drop_root: str, checkp
         cols = C.CSV_COLUMNS[table]
 
         def handle(batch: DataFrame, epoch_id: int, table=table, cols=cols) -> None:
-            shaped = with_file_order(shape_text(batch, cols, cols))
-            stats = ingest_table(store, table, shaped, source_file,
-                                 f"stream-{table}-{epoch_id}", run_at)
+            paths = [r["path"] for r in batch.collect()]  # of one trigger, at most maxFilesPerTrigger
+            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            batch_id = f"stream-{table}-{query}-{epoch_id}"
+            stats = ingest_table(store, table, read_csv(batch.sparkSession, paths, cols, multi_line), source_file, batch_id, run_at)
+            log_stats(store, [(table, stats)], batch_id, source_file, run_at)
             rows.append((table, epoch_id, stats["inserted"], stats["skipped_duplicate"], stats["quarantined"]))
 
-        q = (table_stream(spark, f"{drop_root}/{table}", table, multi_line).writeStream
+        q = (new_files(spark, f"{drop_root}/{table}").writeStream
              .trigger(availableNow=True)
              .option("checkpointLocation", f"{checkpoint_root}/{table}")
              .foreachBatch(handle).start())

@@ -1,12 +1,12 @@
 from conftest import write_files
 
-from forgeline.sources.csv import read_csv, read_dataset, write_csv
+from forgeline.sources.csv import _files, read_csv, read_dataset, write_csv
 
 COLS = ["check_id", "production_event_id", "timestamp", "result", "defect_type", "inspector_id"]
 
 
 def _rows(df):
-    return [tuple(r) for r in df.drop("_file", "_pos").collect()]
+    return [tuple(r) for r in df.drop("_file", "_pos", "_extra").collect()]
 
 
 def test_missing_and_empty_files_are_empty_tables(spark, tmp_path):
@@ -45,7 +45,7 @@ def test_file_order_is_kept(spark, tmp_path):
 def test_write_then_read_round_trip(spark, tmp_path):
     rows = [("C1", "E1", "t", "pass", "", "INS1"), ("C2", "E2", "t", "fail", 'say "hi"', "")]
     df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in COLS))
-    write_csv(df, str(tmp_path / "out.csv"), single_file=True)
+    write_csv(df, str(tmp_path / "out.csv"))
     back = read_csv(spark, str(tmp_path / "out.csv"), COLS)
     assert sorted(_rows(back)) == sorted(rows)
 
@@ -94,16 +94,16 @@ def test_long_row_keeps_named_fields(spark, tmp_path):
 
 
 def test_auto_mode_splits_plain_files_and_keeps_quoted_newlines(spark, tmp_path):
-    from forgeline.sources.csv import spans_lines
-
     plain = ",".join(COLS) + "\n" + "".join(f'C{i},E1,2026-01-01T00:00:00,pass,"a, ""b""",INS1\n' for i in range(3000))
     multi = ",".join(COLS) + "\n" + 'C1,E1,2026-01-01T00:00:00,fail,"two\nlines",INS1\nC2,E1,t,pass,,\n'
     folder = write_files(tmp_path / "in", {"plain.csv": plain, "multi.csv": multi})
-    assert spans_lines(spark, f"{folder}/plain.csv") is False
-    assert spans_lines(spark, f"{folder}/multi.csv") is True
+    spans = {r["file"].rsplit("/", 1)[-1]: r["spans"] for r in _files(spark, folder).collect()}
+    assert spans == {"plain.csv": False, "multi.csv": True}
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
     try:
+        both = read_csv(spark, folder, COLS)
+        assert both.rdd.getNumPartitions() > 2 and both.count() == 3002  # only the one file is not split
         df = read_csv(spark, f"{folder}/plain.csv", COLS)
         assert df.rdd.getNumPartitions() > 1  # split across tasks
         ids = [r[0] for r in df.orderBy("_file", "_pos").select("check_id").collect()]
@@ -137,5 +137,34 @@ def test_matches_python_dictreader_on_random_text(spark, tmp_path):
     folder = write_files(tmp_path / "in", {"c.csv": text})
     want = [tuple(r.get(c) for c in COLS) for r in csv.DictReader(io.StringIO(text, newline=""))]
     got = [tuple(r) for r in read_csv(spark, f"{folder}/c.csv", COLS).orderBy("_file", "_pos")
-           .drop("_file", "_pos").collect()]
+           .drop("_file", "_pos", "_extra").collect()]
     assert got == want
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    other = [*reversed(COLS), "shift_lead"]
+    folder = write_files(tmp_path / "in", {
+        "a.csv": ",".join(COLS) + "\nC1,E1,t1,pass,,INS1\n", "b.csv": ",".join(other) + "\nINS2,scratch,fail,t2,E2,C2,ann\n", "c.csv": "",
+        "d.csv": "check_id,\"pro\nduct\"\nC3,x\n"})
+    got = {r["check_id"]: r for r in read_csv(spark, folder, COLS).collect()}
+    assert tuple(got["C1"])[:6] == ("C1", "E1", "t1", "pass", "", "INS1") and got["C1"]["_extra"] is None
+    assert tuple(got["C2"])[:6] == ("C2", "E2", "t2", "fail", "scratch", "INS2") and got["C2"]["_extra"] == {"shift_lead": "ann"}
+    assert got["C3"]["result"] is None and got["C3"]["_extra"] == {"pro\nduct": "x"}
+
+
+def test_long_quoted_field_in_a_short_row(spark, tmp_path):
+    long = "x" * 1_000_000 + ',""' + "y" * 1000
+    folder = write_files(tmp_path / "in", {"c.csv": ",".join(COLS) + f'\nC1,"{long}",t\n'})
+    row = read_csv(spark, f"{folder}/c.csv", COLS).first()
+    assert row["production_event_id"] == long.replace('""', '"') and row["timestamp"] == "t" and row["result"] is None
+
+
+def test_quarantine_keeps_the_whole_row(spark, store, tmp_path):
+    import json
+
+    from forgeline.plans.ingest import ingest_folder
+
+    folder = write_files(tmp_path / "in", {"machines.csv": "site,machine_id,machine_name,machine_type,install_date\nnorth,M1,,press,2020-01-01\n"})
+    ingest_folder(spark, store, folder, "x")
+    raw = json.loads(store.read("quarantine").first()["raw_data"])
+    assert raw == {"machine_id": "M1", "machine_name": "", "machine_type": "press", "install_date": "2020-01-01", "site": "north"}
