@@ -54,20 +54,20 @@ STG_SQL = {
 }
 
 MODEL_SQL = {
-    "quality_ranked": """
-        SELECT *,
-               row_number() OVER (PARTITION BY production_event_id
-                                  ORDER BY check_timestamp DESC, check_id DESC) AS check_rank,
-               count(*) OVER (PARTITION BY production_event_id) AS check_count_for_event
-        FROM stg_quality_checks""",
+    "newest_check": """
+        SELECT production_event_id, n_checks, c.check_id, c.check_timestamp, c.result, c.defect_type
+        FROM (SELECT production_event_id, count(*) AS n_checks,
+                     list({'check_id': check_id, 'check_timestamp': check_timestamp, 'result': result, 'defect_type': defect_type}
+                          ORDER BY check_timestamp DESC, check_id DESC)[1] AS c
+              FROM stg_quality_checks GROUP BY production_event_id)""",
     "int_production_enriched": """
         SELECT p.event_id, p.machine_id, m.machine_type, p.production_date, p.product_code,
                p.quantity_produced, p.unit, p.has_unit_inconsistency, p.shift, q.check_id,
                q.result AS quality_result, q.defect_type,
-               coalesce(q.check_count_for_event, 0) > 1 AS has_duplicate_quality_checks
+               coalesce(q.n_checks, 0) > 1 AS has_duplicate_quality_checks
         FROM stg_production_events p
         LEFT JOIN stg_machines m ON p.machine_id = m.machine_id
-        LEFT JOIN (SELECT * FROM quality_ranked WHERE check_rank = 1) q
+        LEFT JOIN newest_check q
                ON q.production_event_id = p.event_id""",
     "int_daily_machine_summary": """
         SELECT machine_id || '_' || CAST(production_date AS VARCHAR) AS machine_day_key,
@@ -115,13 +115,13 @@ MODEL_SQL = {
 _CTE_ORDER = ["machines", "production_events", "quality_checks", "maintenance_events",
               "dirty_production_events",
               "stg_machines", "stg_production_events", "stg_quality_checks", "stg_maintenance_events",
-              "quality_ranked", "int_production_enriched", "int_daily_machine_summary",
+              "newest_check", "int_production_enriched", "int_daily_machine_summary",
               "mart_production_daily", "mart_quality_summary", "mart_machine_downtime"]
 _CTE_DEPS = {
     "stg_machines": ["machines"], "stg_production_events": ["production_events"],
     "stg_quality_checks": ["quality_checks"], "stg_maintenance_events": ["maintenance_events"],
-    "quality_ranked": ["stg_quality_checks"],
-    "int_production_enriched": ["stg_production_events", "stg_machines", "quality_ranked"],
+    "newest_check": ["stg_quality_checks"],
+    "int_production_enriched": ["stg_production_events", "stg_machines", "newest_check"],
     "int_daily_machine_summary": ["int_production_enriched"],
     "mart_production_daily": ["int_daily_machine_summary"],
     "mart_quality_summary": ["int_production_enriched"],

@@ -17,7 +17,6 @@ from forgeline.functions import (
     quantity_is_nonpositive,
     row_json,
     row_reference,
-    unicode_decimal_digits,
 )
 from forgeline.operators.dedup import append_union, first_per_key, insert_if_absent
 from forgeline.operators.validate import mark_known, normalize_empty, route_quarantine, route_valid
@@ -39,7 +38,8 @@ _TS_OK = r"regexp_full_match({c}, '\d{{4}}-\d{{2}}-\d{{2}}T\d{{2}}:\d{{2}}:\d{{2
 _WS = r"[\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _WSF = _WS.replace("{", "{{").replace("}", "}}")  # braces escaped for str.format templates
 # the text as int() reads it: edge whitespace removed, every decimal digit in ASCII
-_DIGITS_FROM, _DIGITS_TO = unicode_decimal_digits()
+_DIGITS = [c for c in map(chr, range(0x80, 0x110000)) if c.isdecimal()]
+_DIGITS_FROM, _DIGITS_TO = "".join(_DIGITS), "".join(str(int(c)) for c in _DIGITS)
 _STRIP = ("translate(regexp_replace({c}, '^" + _WSF + "+|" + _WSF + "+$', '', 'g'), '"
           + _DIGITS_FROM + "', '" + _DIGITS_TO + "')")
 _INT_OK = "coalesce(regexp_full_match(" + _STRIP + r", '[+-]?\d+(_\d+)*'), false)"
@@ -54,7 +54,7 @@ define_cte("machines_classified", """
     SELECT *, CASE
         WHEN coalesce(machine_id, '') = '' OR coalesce(machine_name, '') = ''
              OR coalesce(install_date, '') = '' THEN 'missing required field'
-        WHEN try_cast(install_date AS DATE) IS NULL THEN 'invalid install_date'
+        WHEN NOT regexp_full_match(install_date, '\d{4}-\d{2}-\d{2}') OR try_cast(install_date AS DATE) IS NULL THEN 'invalid install_date'
         WHEN machine_type IS NULL THEN 'missing required field' END AS reason
     FROM machines_text""", ["machines_text"])
 define_cte("accepted_machines",
@@ -352,11 +352,15 @@ def batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected rows by their quarantine reference.  The grouping combines map-side, so a
     key repeated many times reaches the shuffle once per map task, and no Expand
     (as two DISTINCT aggregates would plan) doubles the rows."""
-    parts = []
-    for table, df in [("machines", machines_classified(spark, sf_dir)),
-                      ("production_events", events_classified(spark, sf_dir)),
-                      ("quality_checks", checks_classified(spark, sf_dir)),
-                      ("maintenance_events", maintenance_classified(spark, sf_dir))]:
+    text, parts = _text(spark, sf_dir), []
+    # parents are classified once; their accepted keys serve every child
+    machines = G.classify_machines(text["machines"]).checkpoint()
+    known_machines = route_valid(machines).select("machine_id")
+    events = G.classify_production_events(text["production_events"], known_machines).checkpoint()
+    known_events = route_valid(events).select("event_id").distinct()
+    for table, df in [("machines", machines), ("production_events", events),
+                      ("quality_checks", G.classify_quality_checks(text["quality_checks"], known_events)),
+                      ("maintenance_events", G.classify_maintenance_events(text["maintenance_events"], known_machines))]:
         pk = C.PRIMARY_KEY[table]
         ok = F.col("_reason").isNull()
         ref = row_reference(pk, C.CSV_COLUMNS[table])

@@ -55,9 +55,9 @@ def q_mart_rename(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # §2.4 joins, §2.5 aggregations, §2.6 windows
 # ---------------------------------------------------------------------------
-@register("latest_check", with_ctes("quality_ranked") + """
-    SELECT production_event_id, check_id, check_timestamp, result, defect_type, check_count_for_event
-    FROM quality_ranked WHERE check_rank = 1""")
+@register("latest_check", with_ctes("newest_check") + """
+    SELECT production_event_id, check_id, check_timestamp, result, defect_type, n_checks
+    FROM newest_check""")
 def q_latest_check(spark, sf_dir):
     return _latest(staged(spark, sf_dir))
 
@@ -110,14 +110,14 @@ def q_join_event_machine(spark, sf_dir):
         "event_id", "machine_id", "machine_type")
 
 
-@register("join_event_latest_check", with_ctes("stg_production_events", "quality_ranked") + """
-    SELECT p.event_id, q.check_id, q.result AS quality_result, q.check_count_for_event
+@register("join_event_latest_check", with_ctes("stg_production_events", "newest_check") + """
+    SELECT p.event_id, q.check_id, q.result AS quality_result, q.n_checks
     FROM stg_production_events p
-    LEFT JOIN (SELECT * FROM quality_ranked WHERE check_rank = 1) q ON q.production_event_id = p.event_id""")
+    LEFT JOIN newest_check q ON q.production_event_id = p.event_id""")
 def q_join_event_latest_check(spark, sf_dir):
     st = staged(spark, sf_dir)
     chk = _latest(st).select(F.col("production_event_id").alias("event_id"), "check_id",
-                             F.col("result").alias("quality_result"), "check_count_for_event")
+                             F.col("result").alias("quality_result"), "n_checks")
     return st["stg_production_events"].select("event_id").join(chk, "event_id", "left")
 
 
@@ -125,9 +125,13 @@ def q_join_event_latest_check(spark, sf_dir):
     SELECT m.machine_id, x.maintenance_id, x.end_time
     FROM stg_machines m LEFT JOIN stg_maintenance_events x ON m.machine_id = x.machine_id""")
 def q_join_machine_maintenance(spark, sf_dir):
+    """An inner join, whose hot side AQE may split (it cannot split the right side of a left join), and the
+    machines without maintenance."""
     st = staged(spark, sf_dir)
-    return st["stg_machines"].select("machine_id").join(
-        st["stg_maintenance_events"].select("machine_id", "maintenance_id", "end_time"), "machine_id", "left")
+    machines = st["stg_machines"].select("machine_id")
+    done = st["stg_maintenance_events"].select("machine_id", "maintenance_id", "end_time")
+    none = machines.join(done.select("machine_id"), "machine_id", "left_anti")
+    return machines.join(done, "machine_id").unionByName(none, allowMissingColumns=True)
 
 
 @register("count_filter", with_ctes("int_production_enriched") + """
@@ -160,16 +164,18 @@ def q_defect_rate(spark, sf_dir):
                                                   "defect_rate")
 
 
-@register("check_count", with_ctes("quality_ranked") + """
-    SELECT check_id, production_event_id, check_count_for_event FROM quality_ranked""")
+@register("check_count", with_ctes("stg_quality_checks") + """
+    SELECT c.check_id, c.production_event_id,
+           (SELECT count(*) FROM stg_quality_checks o WHERE o.production_event_id IS NOT DISTINCT FROM c.production_event_id) AS n_checks
+    FROM stg_quality_checks c""")
 def q_check_count(spark, sf_dir):
     chk = staged(spark, sf_dir)["stg_quality_checks"].select("check_id", "production_event_id")
-    return count_per_key(chk, "production_event_id", "check_count_for_event").select(
-        "check_id", "production_event_id", "check_count_for_event")
+    return count_per_key(chk, "production_event_id", "n_checks").select(
+        "check_id", "production_event_id", "n_checks")
 
 
-@register("topk_per_group", with_ctes("quality_ranked") + """
-    SELECT production_event_id, check_id, check_rank AS rank FROM quality_ranked WHERE check_rank = 1""")
+@register("topk_per_group", with_ctes("newest_check") + """
+    SELECT production_event_id, check_id, 1 AS rank FROM newest_check""")
 def q_topk_per_group(spark, sf_dir):
     chk = staged(spark, sf_dir)["stg_quality_checks"]
     return top_k_per_group(chk, ["production_event_id"],

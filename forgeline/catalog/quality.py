@@ -50,18 +50,25 @@ def q_dq_accepted_values(spark, sf_dir):
         "event_id", F.col("_pos").cast("int").alias("ord"), "unit")
 
 
-@register("dq_defect_rate_bounds", with_ctes("mart_production_daily") + """
-    SELECT production_day_id, machine_id, defect_rate FROM mart_production_daily
+# the marts' own rates and totals are always in bounds, so these two tests get marts with planted violations
+_PLANTED_RATE = "CASE WHEN event_count % 3 = 0 THEN defect_rate + 1.5 WHEN event_count % 3 = 1 THEN -0.25 ELSE defect_rate END"
+_PLANTED_TOTAL = "CASE WHEN total_quantity % 4 = 0 THEN 0 WHEN total_quantity % 4 = 1 THEN -total_quantity ELSE total_quantity END"
+
+
+@register("dq_defect_rate_bounds", with_ctes("mart_production_daily") + f"""
+    SELECT * FROM (SELECT production_day_id, machine_id, {_PLANTED_RATE} AS defect_rate FROM mart_production_daily)
     WHERE defect_rate IS NOT NULL AND (defect_rate < 0 OR defect_rate > 1)""")
 def q_dq_defect_rate_bounds(spark, sf_dir):
-    return Q.dq_defect_rate_bounds(relations(spark, sf_dir)["mart_production_daily"])
+    mart = relations(spark, sf_dir)["mart_production_daily"]
+    return Q.dq_defect_rate_bounds(mart.withColumn("defect_rate", F.expr(_PLANTED_RATE)))
 
 
-@register("dq_positive_total", with_ctes("mart_production_daily") + """
-    SELECT production_day_id, machine_id, total_quantity FROM mart_production_daily
+@register("dq_positive_total", with_ctes("mart_production_daily") + f"""
+    SELECT * FROM (SELECT production_day_id, machine_id, {_PLANTED_TOTAL} AS total_quantity FROM mart_production_daily)
     WHERE total_quantity <= 0""")
 def q_dq_positive_total(spark, sf_dir):
-    return Q.dq_positive_total(relations(spark, sf_dir)["mart_production_daily"])
+    mart = relations(spark, sf_dir)["mart_production_daily"]
+    return Q.dq_positive_total(mart.withColumn("total_quantity", F.expr(_PLANTED_TOTAL)))
 
 
 def _report_sql() -> str:

@@ -33,14 +33,14 @@ def features(spark, sf_dir):
     return machine_day_features(production_daily(spark, sf_dir))
 
 
+# each row's own frame of the group's other rows
 _LOO_SQL = """
     SELECT production_day_id AS machine_day_key, machine_id, production_date,
-           CAST(total_quantity AS BIGINT) AS x,
-           count(*) OVER w - 1 AS k,
-           CAST(sum(total_quantity) OVER w AS HUGEINT) - total_quantity AS p,
-           CAST(sum(CAST(total_quantity AS HUGEINT) * total_quantity) OVER w AS HUGEINT)
-             - CAST(total_quantity AS HUGEINT) * total_quantity AS q
-    FROM {src} WINDOW w AS (PARTITION BY machine_id)"""
+           CAST(total_quantity AS BIGINT) AS x, count(*) OVER w AS k,
+           CAST(coalesce(sum(total_quantity) OVER w, 0) AS HUGEINT) AS p,
+           CAST(coalesce(sum(CAST(total_quantity AS HUGEINT) * total_quantity) OVER w, 0) AS HUGEINT) AS q
+    FROM {src}
+    WINDOW w AS (PARTITION BY machine_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING EXCLUDE CURRENT ROW)"""
 
 
 def _z_sql(src_cte: str) -> str:

@@ -33,6 +33,7 @@ def ntz_lit(value: _dt.datetime) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
+_PLAIN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}$"
 _EPOCH_NTZ = _dt.datetime(1970, 1, 1)
 
 
@@ -66,7 +67,9 @@ def parse_timestamp(c) -> Column:
         F.when(n >= 13, F.concat(F.lit(":"), F.substring(s, 12, 2))).otherwise(F.lit("")),
         F.when(n >= 15, F.concat(F.lit(":"), F.substring(s, 14, 2))).otherwise(F.lit("")),
     )
-    parsed = (F.when(s.rlike(_ISO_EXTENDED), extended)
+    # the plainest form, by far the most common, needs no rewriting: the cast alone decides
+    parsed = (F.when(s.rlike(_PLAIN), s.try_cast("timestamp_ntz"))
+              .when(s.rlike(_ISO_EXTENDED), extended)
               .when(s.rlike(_ISO_BASIC), basic_text.try_cast("timestamp_ntz")))
     return F.when(F.substring(s, 1, 4).try_cast("int") >= MIN_VALID_YEAR, parsed)
 

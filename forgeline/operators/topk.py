@@ -42,6 +42,8 @@ def top_k_per_group(df: DataFrame, partition_by: list[str], order_by: list, k: i
 def count_per_key(df: DataFrame, key: str, alias: str) -> DataFrame:
     """``count(*) over (partition by key)`` on every row, as a partial aggregate joined
     back: hot keys are pre-counted map-side, and the join back is split by AQE when a
-    key's rows are skewed, instead of one task buffering a whole key's window."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(alias))
-    return df.join(counts, key)
+    key's rows are skewed, instead of one task buffering a whole key's window.  The counts
+    are checkpointed, as AQE splits a join only where both sides are plain exchanges.
+    A NULL key is a key like others."""
+    counts = df.groupBy(F.col(key).alias("_counted_key")).agg(F.count(F.lit(1)).alias(alias)).checkpoint()
+    return df.join(counts, df[key].eqNullSafe(counts["_counted_key"])).drop("_counted_key")

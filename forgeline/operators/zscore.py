@@ -13,16 +13,17 @@ def loo_frame(df: DataFrame, group: str, value: str) -> DataFrame:
 
     Group totals (n, S1, S2) come from one partial aggregate; each row then subtracts
     itself.  Integer values give exact sums (DECIMAL(38,0)).  The totals are one row
-    per group and are joined back (broadcast when the planner's size check allows)."""
+    per group and are joined back (broadcast when the planner's size check allows).  Rows
+    with a NULL group are each other's peers."""
     x = F.col(value).cast(_EXACT)
-    totals = df.groupBy(group).agg(
+    totals = df.groupBy(F.col(group).alias("_group")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(x).alias("_s1"), F.sum(x * x).alias("_s2"))
-    return (df.join(totals, group)
+    return (df.join(totals, df[group].eqNullSafe(totals["_group"]))
             .withColumns({
                 "peer_count": F.col("_n") - 1,
                 "peer_sum": F.col("_s1") - x,
                 "peer_sum_sq": F.col("_s2") - x * x,
-            }).drop("_n", "_s1", "_s2"))
+            }).drop("_group", "_n", "_s1", "_s2"))
 
 
 def loo_zscore(df: DataFrame, group: str, value: str, threshold: float = 2.5,

@@ -16,7 +16,7 @@ def latest_quality_check(stg_checks: DataFrame) -> DataFrame:
         stg_checks, "production_event_id",
         order_by=["check_timestamp", "check_id"],
         carry=["result", "defect_type"],
-        count_alias="check_count_for_event",
+        count_alias="n_checks",
     )
 
 
@@ -24,12 +24,12 @@ def events_with_check(stg_events: DataFrame, latest: DataFrame) -> DataFrame:
     """Each production event with its newest check (left join, 1:0..1)."""
     chk = latest.select(
         F.col("production_event_id").alias("event_id"), "check_id",
-        F.col("result").alias("quality_result"), "defect_type", "check_count_for_event",
+        F.col("result").alias("quality_result"), "defect_type", "n_checks",
     )
     return (stg_events.join(chk, "event_id", "left")
             .withColumn("has_duplicate_quality_checks",
-                        F.coalesce(F.col("check_count_for_event"), F.lit(0)) > 1)
-            .drop("check_count_for_event"))
+                        F.coalesce(F.col("n_checks"), F.lit(0)) > 1)
+            .drop("n_checks"))
 
 
 def int_production_enriched(stg_events: DataFrame, stg_machines: DataFrame,

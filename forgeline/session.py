@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,8 +47,9 @@ def pin_session(spark: SparkSession) -> None:
     for k, v in SESSION_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings are left as the cluster has them
-            pass
+        except Exception:  # other settings may be left as the cluster has them; results depend on these two
+            if k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+                raise
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -64,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # local-cluster has executors of its own
             raise RuntimeError("spark.checkpoint.dir must name a folder on shared storage")
         conf_dir = tempfile.mkdtemp(prefix="forgeline-ckpt-")
     sc.setCheckpointDir(conf_dir)

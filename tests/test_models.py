@@ -47,4 +47,4 @@ def test_tie_on_timestamp_broken_by_check_id(spark):
     df = spark.createDataFrame(rows, "check_id string, production_event_id string, check_timestamp timestamp_ntz, "
                                      "result string, defect_type string")
     r = latest_quality_check(df).first()
-    assert (r["check_id"], r["result"], r["check_count_for_event"]) == ("C3", "fail", 3)
+    assert (r["check_id"], r["result"], r["n_checks"]) == ("C3", "fail", 3)
