@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from forgeline import registry
-from forgeline.operators.dedup import first_per_key
+from forgeline.operators.dedup import first_per_key, insert_if_absent
 from forgeline.operators.quality import dq_relationships_count
 from forgeline.operators.topk import count_per_key, latest_per_key
-from forgeline.operators.zscore import loo_zscore
+from forgeline.operators.validate import mark_known
+from forgeline.operators.zscore import loo_frame, loo_zscore
 
 # queries whose construction writes tables or runs jobs (checked elsewhere)
-SIDE_EFFECTS = {"ingest_dataset", "ingest_rerun", "stream_ingest", "daily_run", "csv_roundtrip",
+SIDE_EFFECTS = {"ingest_dataset", "ingest_rerun", "stream_ingest", "daily_run", "daily_run_scored", "csv_roundtrip",
                 "isolation_forest", "anomaly_scores", "score_summary", "upsert_scores", "forest_min_rows"}
 
 
@@ -186,8 +187,6 @@ def test_relationship_count_with_hot_orphan_value(spark):
 def test_fk_join_splits_hot_machine_partition(spark):
     """With broadcasts off, AQE splits the partition of a machine holding a third of
     the events (the final plan shows a skew sort-merge join)."""
-    from forgeline.operators.validate import mark_known
-
     ev = (spark.range(300000).repartition(8)
           .withColumn("machine_id", F.when(F.col("id") % 3 == 0, F.lit("HOT"))
                       .otherwise(F.concat(F.lit("M"), (F.col("id") % 5000).cast("string")))))
@@ -202,3 +201,67 @@ def test_fk_join_splits_hot_machine_partition(spark):
     assert "SortMergeJoin(skew=true)" in plan
     assert len(rows) == 300000
     assert sum(not r["ok"] for r in rows) == 100000  # the hot machine is not a known parent
+
+
+def _hot(spark, n=300000):
+    return (spark.range(n).repartition(8)
+            .withColumn("k", F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("M"), (F.col("id") % 5000).cast("string")))))
+
+
+@contextlib.contextmanager
+def small_skew_thresholds(spark):
+    with forced_skew_handling(spark):
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+        yield
+
+
+def test_count_per_key_splits_the_hot_key(spark):
+    with small_skew_thresholds(spark):
+        out = count_per_key(_hot(spark), "k", "n")
+        hot = [r["n"] for r in out.collect() if r["k"] == "HOT"]
+        plan = _plan(out)
+    assert hot == [100000] * 100000 and "SortMergeJoin(skew=true)" in plan
+
+
+def test_machine_maintenance_join_splits_the_hot_machine(spark):
+    """The shape of join_machine_maintenance: an inner join plus the machines without a match."""
+    done, machines = _hot(spark), spark.range(4000).select(F.concat(F.lit("M"), F.col("id").cast("string")).alias("k")).union(
+        spark.createDataFrame([("HOT",), ("NONE",)], "k string"))
+    with small_skew_thresholds(spark):
+        inner = machines.join(done, "k")
+        out = inner.unionByName(machines.join(done.select("k"), "k", "left_anti"), allowMissingColumns=True)
+        rows = out.groupBy((F.col("k") == "HOT").alias("hot"), F.col("id").isNull().alias("none")).count().collect()
+        inner.collect()
+        plan = _plan(inner)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert {(r["hot"], r["none"]): r["count"] for r in rows}[(True, False)] == 100000
+
+
+def test_null_keys_are_kept(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 5), (None, 3), (None, 4), (None, 8), ("b", 2)], "k string, x int")
+    assert sorted(r["n"] for r in count_per_key(df, "k", "n").collect()) == [1, 2, 2, 3, 3, 3]
+    got = sorted((r["x"], r["peer_count"], int(r["peer_sum"])) for r in loo_frame(df, "k", "x").collect())
+    assert got == [(1, 1, 5), (2, 0, 0), (3, 2, 12), (4, 2, 11), (5, 1, 1), (8, 2, 7)]
+    assert loo_zscore(df, "k", "x").count() == 6
+
+
+def test_a_small_batch_does_not_shuffle_history(spark, tmp_path):
+    """Only the batch fits the broadcast threshold: the stored keys are scanned, never exchanged."""
+    spark.range(400000).selectExpr("concat('K', id) AS key").write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    spark.range(399900, 400100).selectExpr("concat('K', id) AS key", "id").write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        new = insert_if_absent(batch, stored, ["key"])
+        assert new.count() == 100
+        assert sum(r["ok"] for r in mark_known(batch, "key", stored, "key", "ok").collect()) == 100
+        plan = _plan(new)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    below = plan[plan.index("LeftSemi"):]  # from the join that cuts the stored keys down to their scan
+    assert "BroadcastHashJoin" in plan[:plan.index("LeftSemi")].splitlines()[-1]
+    assert "hashpartitioning" not in below[:below.index("/stored")]
