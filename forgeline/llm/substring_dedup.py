@@ -6,8 +6,9 @@ a document with a smaller doc_id is a repeat; the words that repeats cover are r
 1. Candidates: every window has an anchor, the least hash of the ANCHOR-word sequences in it.  Equal windows have
    equal anchors, so only windows whose anchor occurs in two documents can repeat.
 2. Confirmation: candidate windows are compared by 96 bits over all blocks; each gets the smallest doc_id that has it.
-3. Location: the confirmed phrases that a block needs are compiled into Aho-Corasick automata over its word numbers,
-   a bounded number of phrases to an automaton, and all documents of the block are streamed through them.
+3. Location: the maximal runs of confirmed windows that a block's documents repeat are its passages.  They are compiled
+   into Aho-Corasick automata, a bounded number of words to an automaton, and all documents of the block are
+   streamed through them.  An occurrence counts if a document before its own has each of the passage's windows.
 
 Null texts have no words.  Rows with a null doc_id have no place in the order: nothing is removed from them, and they
 are no earlier document for others.  Rows with equal doc_id are not earlier than each other.
@@ -31,7 +32,8 @@ from forgeline.llm.textbatch import Batch, inside, ngrams, parse, strings, word_
 
 WINDOW = 13
 ANCHOR = 5
-PHRASES = 40_000  # of one automaton
+PASSAGE_WORDS = 100_000  # in one automaton, but for a single longer passage
+SYMBOLS = 3       # letters that spell a word
 
 
 class _Block:
@@ -66,7 +68,7 @@ class _Block:
         return keys, low != high, which
 
     def candidates(self, got: dict[int, bytes], bits: int):
-        """Distinct candidate windows: 96-bit keys in order, smallest and largest doc_id, and a place of each."""
+        """Distinct candidate windows: 96-bit keys in order and the smallest doc_id; then all places, and the key that is at each."""
         keys, recurs, which = self.anchor_keys()
         edge = cuts(keys, bits)
         for s, raw in got.items():
@@ -77,10 +79,10 @@ class _Block:
         b = (ngrams(self.hashes, self.window, seed=77)[at] >> np.uint64(32)).astype(np.uint32)
         order = np.lexsort((b, a))
         a, b, at, doc = a[order], b[order], at[order], doc[order]
-        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))) if len(a) else np.zeros(0, np.int64)
+        new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
         low = np.minimum.reduceat(doc, first) if len(first) else doc
-        high = np.maximum.reduceat(doc, first) if len(first) else doc
-        return a[first], b[first], low, high, at[first]
+        return a[first], b[first], low, at, np.cumsum(new) - 1
 
 
 def _any(blobs: list[bytes]) -> list[bytes]:
@@ -109,18 +111,47 @@ def _least(blobs: list[bytes]) -> list[bytes]:
     return out
 
 
-def locate(sequences: list[tuple], numbers: list[int], phrases: list[tuple], least: list[int], window: int, most: int = PHRASES) -> Iterator[tuple[int, int]]:
-    """(document, last word) of each occurrence of a phrase that a smaller doc_id has, by automata of at most ``most`` phrases."""
-    for lo in range(0, len(phrases), most):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for i, p in enumerate(phrases[lo:lo + most], lo):
-            automaton.add_word(p, i)
+def passages(word: np.ndarray, at: np.ndarray, least: np.ndarray, doc: np.ndarray, window: int) -> tuple[list[np.ndarray], list[int]]:
+    """The distinct maximal runs of windows that an earlier document has, as word numbers, and the last of the first documents
+    that have their windows.  at, least, doc: of each candidate window the place, the first document and the own one."""
+    some = least < doc
+    order = np.argsort(at[some])
+    at, least = at[some][order], least[some][order]
+    start = np.flatnonzero(np.concatenate(([True], np.diff(at) != 1))) if len(at) else np.zeros(0, np.int64)
+    latest = np.maximum.reduceat(least, start).tolist() if len(at) else []
+    last = np.concatenate((start[1:], [len(at)])) - 1 if len(at) else start
+    found: dict[bytes, tuple[np.ndarray, int]] = {}
+    for lo, hi, g in zip(at[start].tolist(), (at[last] + window).tolist(), latest):
+        p = word[lo:hi]
+        found[p.tobytes()] = (p, g)
+    return [p for p, _ in found.values()], [g for _, g in found.values()]
+
+
+def locate(word: np.ndarray, first: np.ndarray, numbers: list, phrases: list[np.ndarray], latest: list[int], most: int = PASSAGE_WORDS) -> Iterator[tuple[int, int, int]]:
+    """(document, first word, word after) of each occurrence of a passage in a document after ``latest``, by automata of about ``most`` words.
+
+    word: word numbers of all documents, from first[d] to first[d + 1]; phrases: word numbers of each passage.  A word is
+    spelled with SYMBOLS letters, of another alphabet for each place, as an automaton is slow at states with many ways on.
+    """
+    size = np.cumsum([len(p) for p in phrases])
+    cuts_at = [0, *(np.flatnonzero(np.diff(size // most)) + 1).tolist(), len(phrases)]
+    for lo, hi in zip(cuts_at[:-1], cuts_at[1:]):
+        used = np.unique(np.concatenate(phrases[lo:hi]))
+        base = int(np.ceil((len(used) + 1) ** (1 / SYMBOLS))) + 1
+        digits = np.arange(1, len(used) + 1)[:, None] // base ** np.arange(SYMBOLS) % base
+        spelling = np.zeros((int(word.max()) + 1, SYMBOLS), "<u4")  # 0: a word of no passage
+        spelling[used] = 0x100 + base * np.arange(SYMBOLS) + digits
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i in range(lo, hi):
+            automaton.add_word(spelling[phrases[i]].tobytes().decode("utf-32-le"), i)
         automaton.make_automaton()
-        for d, (words, number) in enumerate(zip(sequences, numbers)):
-            if number is not None and len(words) >= window:
-                for end, i in automaton.iter(words):
-                    if least[i] < number:
-                        yield d, end
+        for d, number in enumerate(numbers):
+            if number is not None:
+                text = spelling[word[first[d]:first[d + 1]]].tobytes().decode("utf-32-le")
+                for end, i in automaton.iter(text):
+                    if latest[i] < number:
+                        after = (end + 1) // SYMBOLS
+                        yield d, after - len(phrases[i]), after
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, row: bool = False) -> DataFrame:
@@ -148,22 +179,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLO
 
     def remove(key, table, got):
         block = _Block(table, window)
-        a, _, low, high, at = block.candidates(replies(got, 1), bits)
+        a, _, low, at, key_at = block.candidates(replies(got, 1), bits)
         edge = cuts(a, bits)
         for s, raw in replies(got, 2).items():
             i, j = edge[s], edge[s + 1]
             less = np.unpackbits(np.frombuffer(raw, np.uint8), count=j - i).astype(bool)
             low[i:j][less] = unplanes(raw[-(-(j - i) // 8):], int(less.sum()), "<i8")
-        needed = low < high  # some document of the block repeats it
         _, word = np.unique(block.hashes, return_inverse=True)
+        first = block.batch.first
         covered = np.zeros(len(block.hashes) + 1, np.int64)
-        if needed.any():
-            phrases = list(map(tuple, np.lib.stride_tricks.sliding_window_view(word, window)[at[needed]].tolist()))
-            first_word = block.batch.first
-            sequences = [tuple(word[i:j].tolist()) for i, j in zip(first_word[:-1], first_word[1:])]
-            hits = np.array([first_word[d] + end for d, end in locate(sequences, block.ids, phrases, low[needed].tolist(), window)], np.int64)
-            np.add.at(covered, hits - window + 1, 1)
-            np.add.at(covered, hits + 1, -1)
+        phrases, latest = passages(word, at, low[key_at], block.numbers[block.batch.doc[at]], window)
+        if phrases:
+            hits = np.array([(first[d] + i, first[d] + j) for d, i, j in locate(word, first, block.ids, phrases, latest)], np.int64)
+            np.add.at(covered, hits[:, 0], 1)
+            np.add.at(covered, hits[:, 1], -1)
         keep = np.cumsum(covered)[:-1] == 0
         kept = np.bincount(block.batch.doc[keep], minlength=len(block.batch))
         n = block.batch.n_words

@@ -30,12 +30,20 @@ def test_substring_dedup_keeps_columns(corpus, corpus_rows):
     assert Counter((r["doc_id"], len(brute.words(r["text"]))) for r in got.collect()) == want
 
 
-def test_automata_are_split(corpus_rows):
+def test_automata_are_split():
     word = np.array([1, 2, 3, 4, 5, 1, 2, 3, 4, 5, 9], np.int64)
-    phrases = np.array([[1, 2, 3], [2, 3, 4], [3, 4, 5]])
-    for most in (1, 2, 20):
-        hits = sorted(substring_dedup.locate(word, np.array([0, 5, 11]), [7, 8], phrases, np.array([1, 7, 8]), most))
-        assert hits == [(0, 2), (1, 2), (1, 3)]
+    phrases = [np.array(p) for p in ([1, 2, 3], [2, 3, 4], [3, 4, 5], [1, 2, 3, 4, 5])]
+    for most in (1, 4, 100):
+        hits = sorted(substring_dedup.locate(word, np.array([0, 5, 11]), [7, 8], phrases, [1, 7, 8, 9], most))
+        assert hits == [(0, 0, 3), (1, 0, 3), (1, 1, 4)]
+
+
+def test_a_run_that_earlier_documents_hold_in_parts(spark):
+    """Each window of the last text is in an earlier one, but no earlier one holds the whole; repeats within a text are none."""
+    w = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(w[:30])), (2, " ".join(["x"] * 40)), (3, " ".join(w[18:60])), (4, " ".join(w)), (0, " ".join(w[5:25])), (5, " ".join(["x"] * 15))]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=300).collect()
+    assert sorted((r["doc_id"], r["kept_text"]) for r in got) == sorted((d, " ".join(k)) for d, k, _, _ in brute.remove_repeats(rows))
 
 
 @pytest.mark.parametrize("block_bytes,shard_bytes", [(1 << 22, 1 << 24), (3000, 9000)])
