@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from forgeline.llm import catalog
-from forgeline.session import scratch_path
+from forgeline.session import drop_scratch, scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = catalog.table(spark, sf_dir, "documents")
+    docs, last = catalog.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            drop_scratch(spark, last)  # read by no later stage
+        last = path
     return docs
