@@ -21,7 +21,7 @@ from forgeline.functions import (
 from forgeline.operators.dedup import append_union, first_per_key, insert_if_absent
 from forgeline.operators.validate import mark_known, normalize_empty, route_quarantine, route_valid
 from forgeline.plans import ingest as G
-from forgeline.session import scratch_path
+from forgeline.session import drop_scratch, scratch_path
 from forgeline.sources import bindings as B
 from forgeline.sources.store import TableStore
 
@@ -50,7 +50,7 @@ def _ts_sql(c: str) -> str:
             f"THEN try_cast({c} AS TIMESTAMP) END")
 
 
-define_cte("machines_classified", """
+define_cte("machines_classified", r"""
     SELECT *, CASE
         WHEN coalesce(machine_id, '') = '' OR coalesce(machine_name, '') = ''
              OR coalesce(install_date, '') = '' THEN 'missing required field'
@@ -405,7 +405,9 @@ def _ingest_into(spark, sf_dir, store) -> DataFrame:
 def q_ingest_dataset(spark, sf_dir):
     """Full ingest of the four tables into a fresh store under the shared checkpoint folder."""
     store = TableStore(spark, scratch_path(spark, "ingest"))
-    return _ingest_into(spark, sf_dir, store)
+    stats = _ingest_into(spark, sf_dir, store)
+    drop_scratch(spark, store.root)
+    return stats
 
 
 @register("ingest_rerun", with_ctes("batch_stats") + """
@@ -416,7 +418,9 @@ def q_ingest_rerun(spark, sf_dir):
     """The same batch ingested twice: the second run inserts and quarantines nothing."""
     store = TableStore(spark, scratch_path(spark, "ingest-rerun"))
     _ingest_into(spark, sf_dir, store)
-    return _ingest_into(spark, sf_dir, store)
+    stats = _ingest_into(spark, sf_dir, store)
+    drop_scratch(spark, store.root)
+    return stats
 
 
 # J4 / J5: membership as semi- and anti-joins over the clean bindings

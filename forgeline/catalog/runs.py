@@ -9,7 +9,7 @@ from forgeline import contracts as C
 from forgeline.catalog.base import define_cte, register, with_ctes
 from forgeline.catalog.ingest import FIXED_SOURCE
 from forgeline.plans.daily import run_daily
-from forgeline.session import scratch_path
+from forgeline.session import drop_scratch, scratch_path
 from forgeline.sources import bindings as B
 from forgeline.sources.csv import read_csv, write_csv
 from forgeline.sources.store import TableStore
@@ -44,7 +44,9 @@ def q_stream_ingest(spark, sf_dir):
     root = scratch_path(spark, "stream")
     export_text_batch(spark, sf_dir, f"{root}/drop", per_table_dirs=True)
     store = TableStore(spark, f"{root}/store")
-    return stream_ingest(spark, store, f"{root}/drop", f"{root}/checkpoints", FIXED_SOURCE)
+    stats = stream_ingest(spark, store, f"{root}/drop", f"{root}/checkpoints", FIXED_SOURCE)
+    drop_scratch(spark, root)
+    return stats
 
 
 _TOTALS = "CAST(sum(inserted) AS BIGINT) AS inserted, CAST(sum(skipped_duplicate) AS BIGINT) AS skipped_duplicate, CAST(sum(quarantined) AS BIGINT) AS quarantined"
@@ -69,7 +71,9 @@ def q_daily_run(spark, sf_dir) -> DataFrame:
     The batch carries a unit outside the accepted list, so the gate blocks scoring."""
     root = scratch_path(spark, "daily")
     export_text_batch(spark, sf_dir, f"{root}/drop")
-    return run_daily(spark, f"{root}/drop", f"{root}/store", "2024-01-31", raise_on_failed_tests=False)
+    out = run_daily(spark, f"{root}/drop", f"{root}/store", "2024-01-31", raise_on_failed_tests=False)
+    drop_scratch(spark, root)  # the summary is a row of its own
+    return out
 
 
 @register("daily_run_scored", with_ctes("batch_stats", "winner_peers") + f"""
@@ -83,4 +87,6 @@ def q_daily_run_scored(spark, sf_dir) -> DataFrame:
     """The same batch with accepted units only: it passes the gate and is scored.  (The forest's flags have no SQL form.)"""
     root = scratch_path(spark, "daily")
     export_text_batch(spark, sf_dir, f"{root}/drop", unit="units")
-    return run_daily(spark, f"{root}/drop", f"{root}/store", "2024-01-31").drop("isolation_forest_anomalies")
+    out = run_daily(spark, f"{root}/drop", f"{root}/store", "2024-01-31").drop("isolation_forest_anomalies")
+    drop_scratch(spark, root)
+    return out
