@@ -133,8 +133,10 @@ def shared_parts(nodes: _Nodes, got: pa.Table, bits: int) -> pa.Table:
                     names=["node", "size", "weight", "tokens", *(f"prefix{o}" for o in range(ORDERS))])
 
 
-def _may_link(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _may_link(a: str, b: str) -> Column:
+    """Can two nodes reach the threshold?  Only tokens that some other node has can be common to both."""
+    both = F.least(F.col(f"{a}shared"), F.col(f"{b}shared"))
+    return both * 100 >= (F.col(f"{a}size") + F.col(f"{b}size") - both) * PERCENT
 
 
 def linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -152,19 +154,19 @@ def linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def link_components(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links found, node and component of every linked node) of nodes with their shared tokens and prefixes."""
-    at = nodes.select("node", "size", "weight", F.explode("prefix0").alias("token"))
-    lead = at.groupBy("token").agg(F.max(F.struct("weight", "node", "size")).alias("lead"), F.count("*").alias("n")).where("n > 1").select("token", "lead").checkpoint()
-    pairs = (at.join(lead, "token").where(F.col("lead.node") != F.col("node")).where(_may_link(F.col("lead.size"), F.col("size")))
+    at = nodes.select("node", "size", F.size("tokens").alias("shared"), "weight", F.explode("prefix0").alias("token"))
+    lead = at.groupBy("token").agg(F.max(F.struct("weight", "node", "size", "shared")).alias("lead"), F.count("*").alias("n")).where("n > 1").select("token", "lead").checkpoint()
+    pairs = (at.join(lead, "token").where(F.col("lead.node") != F.col("node")).where(_may_link("lead.", ""))
              .select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct())
     links = linked(pairs, nodes).checkpoint()
     found = components(links)
     # tokens whose nodes still lie in several components: every pair across them is to be compared
     at = (at.join(lead.select("token"), "token").join(found, "node", "left")
-          .select("token", "node", "size", F.coalesce("component", "node").alias("component")))
+          .select("token", "node", "size", "shared", F.coalesce("component", "node").alias("component")))
     open_tokens = at.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("token").checkpoint()
     across = at.join(open_tokens, "token").checkpoint()
-    other = across.select("token", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_component"))
-    rest = (across.join(other, "token").where("component <> b_component and node < b").where(_may_link(F.col("size"), F.col("b_size")))
+    other = across.select("token", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("shared").alias("b_shared"), F.col("component").alias("b_component"))
+    rest = (across.join(other, "token").where("component <> b_component and node < b").where(_may_link("", "b_"))
             .select(F.col("node").alias("a"), "b").distinct())
     more = linked(rest, nodes).checkpoint()
     if not more.isEmpty():
