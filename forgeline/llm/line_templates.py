@@ -2,9 +2,12 @@
 
 Each line with a word is cut into tokens; tokens with a digit, an @ or :// become the wildcard.  The tree has a
 level for the token count and one for each of the leading tokens; a leaf holds the lines that agree in all
-of these.  Within a leaf, a token stays constant when enough of the leaf's distinct lines have it at that
-position, and becomes the wildcard otherwise; a line of which less than half would stay constant is its own
-template.  Support is counted over the whole leaf, so the templates do not depend on an arrival order.
+of these.  A token's support is the number of the leaf's distinct lines that have it at that position.  A line needs
+half of its tokens, and one beyond the leading ones, with a support of two or more; the weakest of the best-supported ones
+it needs bounds how many lines are like it.  Its tokens with at least MIN_SHARE of that support stay constant, the others
+become the wildcard, so other lines of a leaf do not change a template, however many.  A template that less than
+MIN_SHARE of that many lines have is a chance meeting of common tokens; its lines, and those without enough constants,
+are templates of their own.  Nothing depends on an arrival order.
 
 A template that occurs in min_docs documents or more is recurring: its lines are dropped from every document but
 the one with the smallest doc_id.  Lines without a word are kept, and so are the lines of rows with a null doc_id,
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 DEPTH = 3
 MIN_DOCS = 10
-MIN_SHARE = 0.1      # of a leaf's distinct lines that have a constant token
+MIN_SHARE = 0.1      # of the similar lines that have a constant token
 MIN_CONSTANT = 0.5   # of a template's tokens
 WILDCARD = "<*>"
 
@@ -45,20 +48,26 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
     return lines.select("doc_id", "text_key", "line_no", F.array_join("tokens", " ").alias("masked"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"))
 
 
-def templates(lines: DataFrame, min_share: float = MIN_SHARE, min_constant: float = MIN_CONSTANT) -> DataFrame:
+def templates(lines: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, min_constant: float = MIN_CONSTANT) -> DataFrame:
     """leaf, line key and template key of each distinct line of the given leaves."""
     distinct = lines.groupBy("leaf", "line_key").agg(F.first("masked").alias("masked"))
     size = distinct.groupBy("leaf").agg(F.count("*").alias("n_lines"))
     many = size.where("n_lines > 1")
-    at = (distinct.join(many, "leaf").select("leaf", "line_key", "n_lines", F.posexplode(F.split("masked", " ")).alias("pos", "token")))
+    at = (distinct.join(many, "leaf").select("leaf", "line_key", F.posexplode(F.split("masked", " ")).alias("pos", "token")))
     support = at.groupBy("leaf", "pos", "token").agg(F.count("*").alias("support"))
-    constant = (F.col("support") >= 2) & (F.col("support") >= F.col("n_lines") * F.lit(min_share)) & (F.col("token") != WILDCARD)
     part = (at.join(support, ["leaf", "pos", "token"])
-            .select("leaf", "line_key", constant.cast("int").alias("constant"),
-                    F.struct("pos", F.when(constant, F.col("token")).otherwise(WILDCARD).alias("token")).alias("part")))
-    shaped = part.groupBy("leaf", "line_key").agg(F.sum("constant").alias("constants"), F.array_sort(F.collect_list("part")).alias("parts"))
-    general = F.col("constants") >= F.size("parts") * F.lit(min_constant)
-    found = shaped.where(general).select("leaf", "line_key", F.xxhash64(F.lit("general"), F.col("parts.token")).alias("general"))
+            .select("leaf", "line_key", F.struct("pos", "token", F.when((F.col("support") >= 2) & (F.col("token") != WILDCARD), F.col("support")).alias("support")).alias("part")))
+    shaped = part.groupBy("leaf", "line_key").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    leading = F.size(F.filter("parts", lambda x: (x["pos"] < depth) & x["support"].isNotNull()))
+    beyond = F.sort_array(F.transform(F.filter("parts", lambda x: (x["pos"] >= depth) & x["support"].isNotNull()), lambda x: x["support"]), asc=False)
+    needed = F.greatest(F.lit(1), F.ceil(F.size("parts") * F.lit(min_constant)).cast("int") - leading)
+    # support of the weakest token that the line needs: no more lines than these agree with it in enough tokens
+    shaped = shaped.withColumn("alike", F.get(beyond, needed - 1)).where("alike is not null")
+    stays = lambda x: (x["pos"] < depth) | (x["support"] >= F.col("alike") * F.lit(min_share))
+    shape = F.transform("parts", lambda x: F.when(x["support"].isNotNull() & stays(x), x["token"]).otherwise(WILDCARD))
+    found = shaped.select("leaf", "line_key", "alike", F.xxhash64(F.lit("general"), shape).alias("general")).checkpoint()
+    chance = (found.groupBy("leaf", "general", "alike").agg(F.count("*").alias("n")).where(F.col("n") < F.col("alike") * F.lit(min_share)).select("leaf", "general"))
+    found = found.join(chance, ["leaf", "general"], "left_anti").select("leaf", "line_key", "general")
     return (distinct.select("leaf", "line_key").join(found, ["leaf", "line_key"], "left")
             .select("leaf", "line_key", F.coalesce("general", F.xxhash64(F.lit("own"), "line_key")).alias("template")))
 
@@ -70,7 +79,7 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
     # lines that share a leaf with enough others; the leaves of most prose lines hold one line
     lines = (lines.join(leaves, "leaf").select("doc_id", "text_key", "line_no", "leaf", "masked", F.xxhash64("masked").alias("line_key"))
              .checkpoint())
-    lines = lines.join(templates(lines, min_share, min_constant), ["leaf", "line_key"]).select("doc_id", "text_key", "line_no", "leaf", "template")
+    lines = lines.join(templates(lines, depth, min_share, min_constant), ["leaf", "line_key"]).select("doc_id", "text_key", "line_no", "leaf", "template")
     recurring = (lines.select("leaf", "template", "doc_id").distinct().groupBy("leaf", "template")
                  .agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")).where(F.col("n_docs") >= min_docs))
     return (lines.join(recurring, ["leaf", "template"]).where("doc_id <> first_doc")

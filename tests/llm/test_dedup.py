@@ -1,5 +1,6 @@
 """Substring dedup, n-gram join and line dedup against brute force."""
 
+import random
 from collections import Counter
 
 import brute
@@ -94,6 +95,29 @@ def test_line_dedup_generalises(spark):
     assert got == {i: int(i > 0) for i in range(12)}
 
 
+@pytest.mark.parametrize("others", [0, 500, 5000])
+def test_line_dedup_in_a_crowded_leaf(spark, others):
+    """A template with a variable name, beside many times its lines in the same leaf."""
+    rng = random.Random(others)
+    name = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    lines = [f"Read more from {name(i)} on our daily news site" for i in range(40)]
+    # other lines share common words by chance; a second template shares a token with the first
+    lines += [" ".join(["Read more from", *(rng.choice(["of", "on", "the"]) if rng.random() < 0.2 else name(rng.randrange(10**5)) for _ in range(6))]) for _ in range(others)]
+    lines += [f"Read more from {name(i)} on a big farm today" for i in range(others // 10)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["n_dropped"] for r in line_templates.drop_lines(docs).collect()}
+    assert [got[i] for i in range(40)] == [0] + [1] * 39
+    assert not any(got[i] for i in range(40, 40 + others))
+    assert sum(got[i] for i in range(40 + others, len(lines))) == max(0, others // 10 - 1)
+
+
+def test_line_dedup_needs_more_than_the_leading_tokens(spark):
+    words = "ann bob cid dot eve flo gus hal ivy jon kay lou".split()
+    lines = [f"It was the {w}" for w in words] + [f"It was the {w} x{chr(97 + i)} y{w}" for i, w in enumerate(words)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert not any(r["n_dropped"] for r in line_templates.drop_lines(docs).collect())
+
+
 def test_line_dedup_keeps_columns(corpus, corpus_rows):
     got = line_templates.without_recurring_lines(corpus)
     assert got.schema.names == corpus.schema.names
