@@ -89,11 +89,18 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def ngram_join_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of links of each document's set in op9_ngram_join, whose SQL has the components only."""
+    from forgeline.llm.ngram_join import join_components
+
+    return join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "n_links")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forgeline.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing, ngram_join_links)}
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

@@ -10,8 +10,10 @@ are compared.
 whose prefix holds unshared tokens only (the rarest come first) has no partner.  3. Of every other node the shared
 tokens and the prefixes are kept.  4. All nodes with a token in the first order's prefix are compared with one of
 them, its leader; links make components.  5. While some token's nodes lie in different components, the nodes outside
-the leader's component are compared with all nodes of other components.  So pairs within a component are never all
-listed, and no link between components is lost.
+the leader's component are compared with all nodes of other components.  So no link between components is lost, and
+pairs within a component are not needed for it.  6. A link's ends lie in one component, so the links of a node are counted
+there: components are dealt into chunks, and every two chunks of one are compared whole, by products of their incidence
+matrices.  Only counts leave a task, but the work grows with the square of a component's different texts.
 
 Null and empty texts have no tokens and link with nothing.  Rows with a null doc_id are left out of the links.
 Rows are told apart by their sets: those with equal doc_id and other texts share the component of either.
@@ -31,6 +33,9 @@ from forgeline.llm.textbatch import inside, mix64, ngrams, parse, word_hashes
 N = 5
 PERCENT = 80
 ORDERS = 3
+CHUNK_NODES = 512        # of a component, compared at once with another chunk
+CHUNK_TOKENS = 2_000_000
+_COLUMNS = 2048          # of the incidence matrices held at once
 _KEY_BYTES = 5  # of a token's hash, beside its shard, in frequency questions: a clash only makes a token look less rare
 
 
@@ -152,8 +157,8 @@ def linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .where(both * 100 >= (F.col("a_size") + F.col("b_size") - both) * PERCENT).select("a", "b"))
 
 
-def link_components(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links found, node and component of every linked node) of nodes with their shared tokens and prefixes."""
+def link_components(nodes: DataFrame) -> DataFrame:
+    """node and component of every linked node, of nodes with their shared tokens and prefixes."""
     at = nodes.select("node", "size", F.size("tokens").alias("shared"), "weight", F.explode("prefix0").alias("token"))
     lead = at.groupBy("token").agg(F.max(F.struct("weight", "node", "size", "shared")).alias("lead"), F.count("*").alias("n")).where("n > 1").select("token", "lead").checkpoint()
     pairs = (at.join(lead, "token").where(F.col("lead.node") != F.col("node")).where(_may_link("lead.", ""))
@@ -170,13 +175,53 @@ def link_components(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
             .select(F.col("node").alias("a"), "b").distinct())
     more = linked(rest, nodes).checkpoint()
     if not more.isEmpty():
-        links = links.unionByName(more).distinct().checkpoint()
-        found = components(links)
-    return links, found
-
-
-def join_components(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and the number of links of its set, for every row."""
+        found = components(links.unionByName(more).distinct().checkpoint())
+    return found
+
+
+def _chunk_links(key, table):
+    """node, n_links: the links between two chunks of a component, or within one."""
+    chunk, size, node = (table.column(c).to_numpy() for c in ("chunk", "size", "node"))
+    tokens = table.column("tokens").combine_chunks()
+    value = tokens.flatten().to_numpy()
+    row = np.repeat(np.arange(len(node)), np.diff(tokens.offsets.to_numpy()))
+    _, column, times = np.unique(value, return_inverse=True, return_counts=True)
+    some = times[column] > 1
+    row, column = row[some], np.unique(column[some], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    a, b = np.flatnonzero(chunk == key[1].as_py()), np.flatnonzero(chunk == key[2].as_py())
+    place = np.zeros(len(node), np.int64)
+    place[a], place[b] = np.arange(len(a)), np.arange(len(b))
+    in_a, in_b = chunk[row] == key[1].as_py(), chunk[row] == key[2].as_py()
+    common = np.zeros((len(a), len(b)), np.float32)  # exact: no set has 2^24 tokens
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        own = slice(*np.searchsorted(column, (lo, lo + _COLUMNS)))
+        left, right = np.zeros((len(a), _COLUMNS), np.float32), np.zeros((len(b), _COLUMNS), np.float32)
+        for held, side in ((left, in_a[own]), (right, in_b[own])):
+            held[place[row[own][side]], column[own][side] - lo] = 1
+        common += left @ right.T
+    both = common.astype(np.int64)
+    link = (both * 100 >= (size[a][:, None] + size[b][None, :] - both) * PERCENT) & (node[a][:, None] != node[b][None, :])
+    out = [(node[a], link.sum(axis=1))] + ([(node[b], link.sum(axis=0))] if key[1] != key[2] else [])
+    return pa.table([pa.array(np.concatenate([x[i] for x in out]).astype(np.int64)) for i in (0, 1)], names=["node", "n_links"])
+
+
+def link_counts(nodes: DataFrame, found: DataFrame, chunk_nodes: int = CHUNK_NODES, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+    """node and the exact number of other nodes it links with, of every node of a component."""
+    held = nodes.select("node", "size", "tokens").join(found, "node")
+    chunks = (held.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.size("tokens")).alias("n_tokens"))
+              .select("component", F.ceil(F.greatest(F.col("n") / chunk_nodes, F.col("n_tokens") / chunk_tokens)).cast("int").alias("chunks")))
+    dealt = (held.join(chunks, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
+    low, high = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
+    return (dealt.select("component", low, high, "chunk", "node", "size", "tokens").groupBy("component", "low", "high")
+            .applyInArrow(_chunk_links, "node long, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links")))
+
+
+def join_components(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, counted: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and, if counted, the exact number of other sets
+    that its set links with (n_links), for every row."""
     dealt = Dealt(docs, block_bytes, shard_bytes)
     bits = dealt.bits
 
@@ -207,18 +252,20 @@ def join_components(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes
     frequencies = answered(blocks.cogroup(wanted.groupBy("blk")).applyInArrow(ask, BLOB), 1, _frequencies(bits))
     both = wanted.unionByName(frequencies.withColumn("doc_id", F.lit(None).cast("long")).withColumn("node", F.lit(None).cast("long")))
     nodes = blocks.cogroup(both.groupBy("blk")).applyInArrow(gather, _SHARED).dropDuplicates(["node"]).checkpoint()
-    links, found = link_components(nodes)
-    degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links")))
+    found = link_components(nodes)
     member = (usable.select("node", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
     least = member.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = found.join(least, "component").select("node", F.col("component_id").alias("by_link"))
     own = usable.groupBy("node").agg(F.min("doc_id").alias("by_set"))
-    known = own.join(of_node, "node", "left").join(degree, "node", "left").select("node", F.coalesce("by_link", "by_set").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    known = own.join(of_node, "node", "left").select("node", F.coalesce("by_link", "by_set").alias("component_id"))
+    if counted:
+        known = known.join(link_counts(nodes, found).checkpoint(), "node", "left")
+    n_links = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if counted else []
     return (rows.withColumn("set", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node"))).join(known.withColumnRenamed("node", "set"), "set", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *n_links))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs without the rows whose doc_id links to a smaller one; null doc_ids and texts without words stay."""
-    others = join_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    others = join_components(docs, counted=False).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(others, docs["doc_id"].cast("long") == others["doc_id"], "left_anti")

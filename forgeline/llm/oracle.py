@@ -57,4 +57,12 @@ SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS comp
 FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
-SQL = {"op1_substring_dedup": OP1, "op5_line_dedup": OP5, "op6_exact_topk": OP6, "op9_ngram_join": OP9}
+OP9_LINKS = OP9[:OP9.index("e2 AS")].replace("WITH RECURSIVE", "WITH") + """
+k AS (SELECT doc_id, list(sh ORDER BY sh) AS own FROM s GROUP BY 1),
+e2 AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, count(DISTINCT kb.own) FILTER (kb.own <> ka.own) AS n_links
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k ka ON ka.doc_id = d.doc_id LEFT JOIN e2 ON e2.a = d.doc_id LEFT JOIN k kb ON kb.doc_id = e2.b
+GROUP BY d.doc_id
+"""
+
+SQL = {"op1_substring_dedup": OP1, "op5_line_dedup": OP5, "op6_exact_topk": OP6, "op9_ngram_join": OP9, "ngram_join_links": OP9_LINKS}

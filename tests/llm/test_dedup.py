@@ -72,6 +72,20 @@ def test_ngram_join_star_of_near_copies(spark):
     assert sum(c == 0 for _, c in want) > 50
 
 
+@pytest.mark.parametrize("chunk_nodes", [512, 7])
+def test_ngram_join_counts_every_link(spark, monkeypatch, corpus, corpus_rows, chunk_nodes):
+    monkeypatch.setattr(ngram_join.link_counts, "__defaults__", (chunk_nodes, 2_000_000))
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1:])) for i in range(40)] + [(40, " ".join(["x0", *base[1:]])), (41, "alone here with a few words")]
+    for docs, pairs in ((spark.createDataFrame(rows, "doc_id long, text string"), rows), (corpus, rows_of(corpus_rows))):
+        sets = [brute.shingles(t) if d is not None else frozenset() for d, t in pairs]
+        others = set(sets) - {frozenset()}
+        links = {s: sum(s != x and 100 * len(s & x) >= 80 * len(s | x) for x in others) for s in others}
+        got = ngram_join.join_components(docs, 4000, 9000).collect()
+        assert Counter((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got) == Counter((d, len(brute.shingles(t)), links.get(s, 0)) for (d, t), s in zip(pairs, sets))
+    assert len(rows) == 42
+
+
 def test_one_of_each(corpus, corpus_rows):
     got = ngram_join.one_of_each(corpus)
     assert got.schema.names == corpus.schema.names
