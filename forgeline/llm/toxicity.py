@@ -1,11 +1,12 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are built from labelled text: one of ordinary text, and one of the same text with the
-passages that mark toxic documents.  Passages are the runs of byte n-grams that are far more frequent in toxic
-documents than in others; the longest-lived cores of them are kept, so that ordinary text gains nothing from the
-toxic dictionary.  A document is cut into windows of a few words, every window is compressed with either
-dictionary, and the differences of the lengths (largest ones, share above the noise) are turned into a score by
-a logistic regression on labelled documents that the dictionaries have not seen.
+Separate zstandard dictionaries are built from the labelled toxic and from the labelled ordinary texts: runs of words
+from all over them, drawn by hash.  In addition, ordinary dictionaries are compared with the same and the
+passages that mark toxic documents: the runs of byte n-grams that are far more frequent in toxic documents than in
+others, of which the longest-lived cores are kept, so that ordinary text gains nothing from them.  A document is cut
+into windows of a few words, every window is compressed with the dictionaries, and the differences of the lengths
+(largest ones, share above the noise; of either kind) are turned into a score by a logistic regression on labelled
+documents that the dictionaries have not seen.
 
 The fit takes at most FIT_ROWS labelled documents of each class, those of the smallest hashes, of at most
 FIT_BYTES bytes each; its labels' whole-table shares set the score's level.  Scoring covers every
@@ -15,6 +16,7 @@ score.  Null labels and null doc_ids take no part in the fit.  With one class on
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -27,7 +29,8 @@ from pyspark.sql import functions as F
 WINDOW = 6
 GRAMS = (5, 7, 9)  # bytes of the n-grams, a word's edges included
 BASE_BYTES = 40_000
-PAIRS = 2  # of dictionaries, with other ordinary text each; their gains are averaged
+DRAWN = 12  # words of a run
+PAIRS = 2  # of dictionaries with passages, with other ordinary text each; their gains are averaged
 LEVEL = 3
 THRESHOLD = 0.3
 _TRIM = b".,!?;:"
@@ -96,19 +99,22 @@ def _lengths(c: zstandard.ZstdCompressor, parts: list[bytes]) -> np.ndarray:
     return np.array([len(x) for x in out], np.int64)
 
 
-def differences(pairs: list, texts: list[bytes], most: int = 65536) -> np.ndarray:
-    """Per text: largest, second and third largest gain of the toxic dictionaries, log of the gains over 4, share of such windows.
+def differences(groups: list[list], texts: list[bytes], most: int = 65536) -> np.ndarray:
+    """Per text and group: largest, second and third largest gain of the toxic dictionaries, log of the gains over 4, share of such windows.
 
-    pairs: (ordinary, toxic) compressors.  Half a window's gain is that of the two windows that hold it: a marking passage shows in both.
+    groups: of (ordinary, toxic) compressors, whose gains are averaged.  Half a window's gain is that of the two windows that hold it: a
+    marking passage shows in both.
     """
-    out = np.zeros((len(texts), 5))
+    out = np.zeros((len(texts), 5 * len(groups)))
+    tools = {id(c): c for pairs in groups for pair in pairs for c in pair}
     held: list[bytes] = []
     where: list[int] = []
     gains: list[np.ndarray] = []
 
     def flush():
         if held:
-            gains.append(np.mean([_lengths(o, held) - _lengths(t, held) for o, t in pairs], axis=0))
+            size = {k: _lengths(c, held) for k, c in tools.items()}
+            gains.append(np.column_stack([np.mean([size[id(o)] - size[id(t)] for o, t in pairs], axis=0) for pairs in groups]))
             held.clear()
 
     for i, t in enumerate(texts):
@@ -120,18 +126,19 @@ def differences(pairs: list, texts: list[bytes], most: int = 65536) -> np.ndarra
                 flush()
     flush()
     if where:
-        gain, doc = np.concatenate(gains), np.array(where)
+        every, doc = np.concatenate(gains), np.array(where)
         both = doc[1:] == doc[:-1]  # a text with words has two windows at least
-        gain, doc = (gain[1:] + gain[:-1])[both], doc[1:][both]
-        order = np.lexsort((-gain, doc))
-        gain, doc = gain[order], doc[order]
+        every, doc = (every[1:] + every[:-1])[both], doc[1:][both]
         first = np.searchsorted(doc, np.arange(len(texts) + 1))
         n = np.diff(first)
-        for j in range(3):
-            has = n > j
-            out[has, j] = np.maximum(gain[first[:-1][has] + j], 0)
-        over = np.bincount(doc, weights=np.maximum(gain - 4, 0), minlength=len(texts))
-        out[:, 3], out[:, 4] = np.log1p(over), over / np.maximum(n, 1)
+        for g in range(len(groups)):
+            gain, own = every[:, g], out[:, 5 * g:5 * g + 5]
+            gain = gain[np.lexsort((-gain, doc))]
+            for j in range(3):
+                has = n > j
+                own[has, j] = np.maximum(gain[first[:-1][has] + j], 0)
+            over = np.bincount(doc, weights=np.maximum(gain - 4, 0), minlength=len(texts))
+            own[:, 3], own[:, 4] = np.log1p(over), over / np.maximum(n, 1)
     return out
 
 
@@ -152,18 +159,19 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.
 
 @dataclass
 class Model:
-    dictionaries: list[tuple[bytes, bytes]]  # (ordinary, toxic)
+    dictionaries: list[list[tuple[bytes, bytes]]]  # groups of (ordinary, toxic)
     weights: np.ndarray
     share: float
 
-    def compressors(self) -> list:
-        return [(_compressor(o), _compressor(t)) for o, t in self.dictionaries]
+    def compressors(self) -> list[list]:
+        made = {d: _compressor(d) for group in self.dictionaries for pair in group for d in pair}
+        return [[(made[o], made[t]) for o, t in group] for group in self.dictionaries]
 
 
-def _ordinary_text(texts: list[bytes], part: int, size: int) -> bytes:
-    """The part-th few words of every text."""
-    each = max(1, size // max(1, 6 * len(texts))) + 1
-    return b" ".join(b" ".join(words(t)[each * part:each * (part + 1)]) for t in texts)[:size]
+def _drawn_text(texts: list[bytes], part: int, size: int) -> bytes:
+    """Runs of words from all over the texts, those of the smallest hashes; other ones for every part."""
+    runs = {b" ".join(ws[i:i + DRAWN]) for ws in map(words, texts) for i in range(0, len(ws), DRAWN)}
+    return b" ".join(sorted(runs, key=lambda r: (zlib.crc32(r, 0x51 + part), r))[:size // 2])[:size]
 
 
 def fit(sample: list[tuple[bytes, int]], share: float, base_bytes: int = BASE_BYTES) -> Model:
@@ -174,12 +182,11 @@ def fit(sample: list[tuple[bytes, int]], share: float, base_bytes: int = BASE_BY
     if not toxic or not ordinary or not 0 < y.sum() < len(y):
         return Model([], np.zeros(0), share)
     passages = b"".join(marking_passages(toxic, ordinary))
-    pairs = []
-    for i in range(PAIRS):
-        base = _ordinary_text(ordinary, i, base_bytes)
-        tail = base[:64] or b" " * 64  # zstandard does not index a dictionary's last bytes
-        pairs.append((base + tail, base + passages + tail))
-    model = Model(pairs, np.zeros(0), share)
+    bases = [_drawn_text(ordinary, i, base_bytes) for i in range(PAIRS)]
+    tails = [base[:64] or b" " * 64 for base in bases]  # zstandard does not index a dictionary's last bytes
+    apart = _drawn_text(toxic, 0, base_bytes)
+    model = Model([[(base + tail, base + passages + tail) for base, tail in zip(bases, tails)],
+                   [(bases[0] + tails[0], apart + (apart[:64] or tails[0]))]], np.zeros(0), share)
     x = differences(model.compressors(), [t for t, _ in rest])
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     model.weights = logistic(x, y, weight)

@@ -93,6 +93,17 @@ def test_toxicity_held_out(spark):
     assert accuracy(held, {d: x for d, _, x, _ in rows}) > 0.93
 
 
+def test_toxicity_has_a_dictionary_of_toxic_text():
+    """Its runs come from all over the toxic texts, those of the ordinary ones from all over the ordinary texts."""
+    sample = [(t.encode(), x) for _, t, x, _ in labelled_texts(150)]
+    (ordinary, toxic), = toxicity.fit(sample, 0.2).dictionaries[1]
+    learn = [s for i, s in enumerate(sample) if i % 3]
+    for dictionary, label in ((ordinary, 0), (toxic, 1)):
+        own = [t.lower().split() for t, y in learn if y == label]
+        late = [b" ".join(w[i:i + 12]) in dictionary for w in own for i in range(24, len(w) - 12, 12)]
+        assert sum(late) > 100 and any(late[-30:])
+
+
 def test_toxicity_without_classes(spark, nothing):
     model = toxicity.fit([(b"a b c", 0)] * 5, 0.25)
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
