@@ -37,6 +37,20 @@ def q_csv_roundtrip(spark, sf_dir):
     return back.drop("_file", "_pos", "_extra")
 
 
+def _register_roundtrip(name: str, table: str, cte: str) -> None:
+    @register(name, with_ctes(cte) + f"SELECT {', '.join(C.CSV_COLUMNS[table])} FROM {cte}")
+    def query(spark, sf_dir):
+        root = export_text_batch(spark, sf_dir, scratch_path(spark, "csv"))
+        return read_csv(spark, f"{root}/{table}.csv", C.CSV_COLUMNS[table]).drop("_file", "_pos", "_extra")
+    query.__name__ = f"q_{name}"
+    query.__doc__ = f"The {table} table exported as CSV and read back by header name."
+
+
+_register_roundtrip("csv_roundtrip_machines", "machines", "machines_text")
+_register_roundtrip("csv_roundtrip_events", "production_events", "dirty_production_events")
+_register_roundtrip("csv_roundtrip_maintenance", "maintenance_events", "maintenance_text")
+
+
 @register("stream_ingest", with_ctes("batch_stats") + "SELECT * FROM batch_stats")
 def q_stream_ingest(spark, sf_dir):
     """Files dropped per table, picked up by file streams (availableNow), ingested in

@@ -21,3 +21,10 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     res = compare(registry.QUERIES[name](spark, SF_SMALL), con, registry.ORACLE[name])
     assert res["schema_match"] and res["rows_match"] and res["values_match"], res
+
+
+@pytest.mark.parametrize("table", ["machines", "events", "maintenance"])
+def test_csv_roundtrip_of_every_table(spark, con, table):
+    name = f"csv_roundtrip_{table}"
+    res = compare(registry.QUERIES[name](spark, SF_SMALL), con, registry.ORACLE[name])
+    assert res["schema_match"] and res["rows_match"] and res["values_match"], res
