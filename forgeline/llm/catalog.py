@@ -102,5 +102,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing, ngram_join_links)}
+def op11_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.bag_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing, op11_bag_search, ngram_join_links)}
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

@@ -65,4 +65,24 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k ka ON ka.doc_id = d.doc_
 GROUP BY d.doc_id
 """
 
-SQL = {"op1_substring_dedup": OP1, "op5_line_dedup": OP5, "op6_exact_topk": OP6, "op9_ngram_join": OP9, "ngram_join_links": OP9_LINKS}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(column: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_terms('text')} AS ws FROM documents),
+t AS (SELECT count(*) FILTER (len(ws) > 0)::BIGINT AS big_n, sum(len(ws))::BIGINT AS l FROM d),
+tf AS (SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(ws) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY 1),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, t),
+m AS (SELECT row, doc_id, 10 + (90 * len(ws)::BIGINT * big_n) // l AS m FROM d, t WHERE len(ws) > 0),
+i AS (SELECT DISTINCT item, item_id, term FROM (SELECT row_number() OVER () AS item, item_id, unnest({_terms('text')}) AS term FROM benchmark)),
+s AS (SELECT item, item_id, doc_id, row, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM i JOIN tf USING (term) JOIN w USING (term) JOIN m USING (row) GROUP BY ALL HAVING score > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM s QUALIFY rank <= 10
+"""
+
+SQL = {"op1_substring_dedup": OP1, "op5_line_dedup": OP5, "op6_exact_topk": OP6, "op9_ngram_join": OP9, "ngram_join_links": OP9_LINKS, "op11_bag_search": OP11}

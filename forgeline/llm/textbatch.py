@@ -77,12 +77,12 @@ def utf8(col) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def parse(col, lower: bool = False) -> Batch:
-    """Split every text of a column into words; lower: A-Z become a-z first."""
+def parse(col, lower: bool = False, gap: np.ndarray = _WS) -> Batch:
+    """Split every text of a column into words, maximal runs of bytes that are no gap; lower: A-Z become a-z first."""
     data, offsets = utf8(col)
     if lower:
         data = _LOWER[data]
-    word = ~_WS[data]
+    word = ~gap[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     before = np.concatenate(([True], ~word[:-1])) if len(word) else word
