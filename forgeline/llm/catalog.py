@@ -108,5 +108,19 @@ def op11_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing, op11_bag_search, ngram_join_links)}
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.secret_scan import KINDS, find_secrets, written
+
+    count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i]}")
+    return (find_secrets(table(spark, sf_dir, "documents"))
+            .select("doc_id", count(0), count(1), count(2), F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.llm.prefix_trie import trie
+
+    return trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_line_dedup, op6_exact_topk, op7_quality_rules, op8_bpe, op9_ngram_join, op10_packing, op11_bag_search, op12_secret_scan, op13_prefix_trie, ngram_join_links)}
 ORACLE = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

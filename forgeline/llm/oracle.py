@@ -85,4 +85,68 @@ s AS (SELECT item, item_id, doc_id, row, sum(w * ((1000000000 * tf) // (1000 * t
 SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM s QUALIFY rank <= 10
 """
 
-SQL = {"op1_substring_dedup": OP1, "op5_line_dedup": OP5, "op6_exact_topk": OP6, "op9_ngram_join": OP9, "ngram_join_links": OP9_LINKS, "op11_bag_search": OP11}
+
+
+def _op12() -> str:
+    from forgeline.llm import secret_scan as scan
+
+    k = len(scan.ALPHABET)
+
+    def spans(kind: int, pattern: str, group: int, least: int) -> str:
+        p = pattern.replace("'", "''")
+        return f"""SELECT row, start, {kind} AS kind, start + size AS stop, value FROM (
+            SELECT row, unnest(range(1, len(ms) + 1)) AS i, ms[i] AS m, length(m) AS size, vs[i] AS value,
+                   (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start
+            FROM (SELECT row, regexp_extract_all(text, '{p}') AS ms, regexp_extract_all(text, '{p}', {group}) AS vs, regexp_split_to_array(text, '{p}') AS gaps FROM d))
+            WHERE length(value) >= {least}"""
+
+    rules = " UNION ALL ".join(spans(i, *rule) for i, rule in enumerate(scan.RULES.values()))
+    listed = ("string_agg(CASE kind " + " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(scan.KINDS))
+              + " END || ':' || start || ':' || stop, ',' ORDER BY start, kind)")
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({rules}),
+tokens AS (SELECT * FROM ({spans(len(scan.RULES), scan.TOKEN, 1, scan.TOKEN_CHARS)}) t
+           WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.row = t.row AND b.start < t.stop AND t.start < b.stop)),
+c AS (SELECT row, start, value, random, x.i AS i, instr('{scan.ALPHABET}', x.a) AS a, instr('{scan.ALPHABET}', x.b) AS b FROM (
+      SELECT *, unnest(list_transform(range(1, length(value)), lambda i: {{'i': i, 'a': value[i], 'b': value[i + 1]}})) AS x
+      FROM (SELECT row, start, value, true AS random FROM base UNION ALL SELECT row, start, value, false FROM tokens))),
+n AS (SELECT a, b, count(*) FILTER (random) AS r, count(*) FILTER (NOT random) AS o FROM c WHERE a > 0 AND b > 0 GROUP BY ALL),
+n1 AS (SELECT a, sum(r) AS r, sum(o) AS o FROM n GROUP BY 1),
+ratio AS (SELECT n.a, n.b, floor(1000.0::DOUBLE * ln(((n.r + 1)::DOUBLE / (n1.r + {k})::DOUBLE) / ((n.o + 1)::DOUBLE / (n1.o + {k})::DOUBLE)))::BIGINT AS ratio
+          FROM n JOIN n1 USING (a)),
+added AS (SELECT row, start, {len(scan.RULES)} AS kind, start + length(value) AS stop FROM c JOIN ratio USING (a, b) WHERE NOT random
+          GROUP BY row, start, value HAVING sum(ratio) >= {scan.MIN_RATIO}),
+b2 AS (SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, {listed} AS listed FROM base GROUP BY row),
+s2 AS (SELECT row, {listed} AS listed FROM (SELECT row, start, kind, stop FROM base UNION ALL SELECT * FROM added) GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(b2.listed, '')) AS base_sha256, coalesce(s2.listed, '') AS spans
+FROM d LEFT JOIN b2 USING (row) LEFT JOIN s2 USING (row)
+"""
+
+
+#: crc32 of a decimal number's text, bit by bit
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT)),
+    lambda x, y: list_reduce(list_prepend(xor(x, y), range(8)), lambda u, v: xor(u >> 1, 3988292384 * (u & 1)))))"""
+
+OP13 = f"""
+WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+                  {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said FROM conversations WHERE conv_id IS NOT NULL),
+g AS (SELECT conv_id, list(said ORDER BY place) AS own FROM o GROUP BY 1),
+h AS (SELECT conv_id, own, {_CRC.replace('c::', 'conv_id::')} % 9 AS h FROM g),
+b AS (SELECT h.conv_id, list_concat(coalesce(d.own[1:h.h], []), h.own[h.h + 1:]) AS said FROM h LEFT JOIN g d ON d.conv_id = h.conv_id - h.conv_id % 5),
+p AS (SELECT conv_id AS member, len(said) AS turns, unnest(range(len(said) + 1)) AS depth, said FROM b),
+n AS (SELECT depth, said[1:depth] AS way, min(member) AS conv_id, count(*) AS n_convs,
+             coalesce(string_agg(member::VARCHAR, ',' ORDER BY member) FILTER (turns = depth), '') AS ended,
+             (count(*) - 1) * coalesce(max(octet_length(encode(said[depth].text))), 0) AS saved FROM p GROUP BY ALL),
+m AS (SELECT p.member, n.depth, n.conv_id FROM p JOIN n ON n.depth = p.depth AND n.way = p.said[1:p.depth]),
+k AS (SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, n.ended, n.saved
+      FROM n LEFT JOIN m up ON up.member = n.conv_id AND up.depth = n.depth - 1),
+c AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM k WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT k.*, coalesce(n_children, 0) AS n_children FROM k LEFT JOIN c USING (conv_id, depth)),
+t AS (SELECT m.conv_id, m.depth, count(*) FILTER (f.n_children = 0) AS n_leaves, sum(f.saved)::BIGINT AS saved_tokens
+      FROM f JOIN m ON m.member = f.conv_id AND m.depth <= f.depth GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ended) AS ends_sha256 FROM f JOIN t USING (conv_id, depth)
+"""
+
+SQL = {"op1_substring_dedup": OP1, "op5_line_dedup": OP5, "op6_exact_topk": OP6, "op9_ngram_join": OP9, "ngram_join_links": OP9_LINKS, "op11_bag_search": OP11, "op12_secret_scan": _op12(), "op13_prefix_trie": OP13}
