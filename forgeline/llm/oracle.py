@@ -65,6 +65,8 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k ka ON ka.doc_id = d.doc_
 GROUP BY d.doc_id
 """
 
+OP9 = f"WITH comp AS ({OP9}), links AS ({OP9_LINKS}) SELECT doc_id, comp.n_shingles, component_id, n_links FROM comp JOIN links USING (doc_id)"
+
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -112,9 +114,12 @@ c AS (SELECT row, start, value, random, x.i AS i, instr('{scan.ALPHABET}', x.a)
       SELECT *, unnest(list_transform(range(1, length(value)), lambda i: {{'i': i, 'a': value[i], 'b': value[i + 1]}})) AS x
       FROM (SELECT row, start, value, true AS random FROM base UNION ALL SELECT row, start, value, false FROM tokens))),
 n AS (SELECT a, b, count(*) FILTER (random) AS r, count(*) FILTER (NOT random) AS o FROM c WHERE a > 0 AND b > 0 GROUP BY ALL),
-n1 AS (SELECT a, sum(r) AS r, sum(o) AS o FROM n GROUP BY 1),
-ratio AS (SELECT n.a, n.b, floor(1000.0::DOUBLE * ln(((n.r + 1)::DOUBLE / (n1.r + {k})::DOUBLE) / ((n.o + 1)::DOUBLE / (n1.o + {k})::DOUBLE)))::BIGINT AS ratio
-          FROM n JOIN n1 USING (a)),
+na AS (SELECT a, sum(r)::DOUBLE AS r, sum(o)::DOUBLE AS o FROM n GROUP BY 1),
+nb AS (SELECT b, sum(r) + 1 AS r, sum(o) + 1 AS o FROM n GROUP BY 1),
+nn AS (SELECT sum(r) + {k} AS r, sum(o) + {k} AS o FROM n),
+p AS (SELECT n.a, n.b, (n.r::DOUBLE + {scan.PULL}::DOUBLE * (nb.r::DOUBLE / nn.r::DOUBLE)) / (na.r + {scan.PULL}::DOUBLE) AS r,
+             (n.o::DOUBLE + {scan.PULL}::DOUBLE * (nb.o::DOUBLE / nn.o::DOUBLE)) / (na.o + {scan.PULL}::DOUBLE) AS o FROM n JOIN na USING (a) JOIN nb USING (b), nn),
+ratio AS (SELECT a, b, floor(1000.0::DOUBLE * ln(r / o))::BIGINT AS ratio FROM p),
 added AS (SELECT row, start, {len(scan.RULES)} AS kind, start + length(value) AS stop FROM c JOIN ratio USING (a, b) WHERE NOT random
           GROUP BY row, start, value HAVING sum(ratio) >= {scan.MIN_RATIO}),
 b2 AS (SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, {listed} AS listed FROM base GROUP BY row),

@@ -39,6 +39,7 @@ TOKEN_CHARS = 16
 TOKEN = f"([A-Za-z0-9+/_=-]{{{TOKEN_CHARS},}})"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 MIN_RATIO = 12_000  # thousandths of a nat
+PULL = 10.0
 _PART = 256
 
 
@@ -131,17 +132,24 @@ def _pairs(token: Column) -> Column:
 
 
 def ratios(samples: DataFrame) -> list[int]:
-    """ln(P(b | a, random) / P(b | a, ordinary)) of every two characters, in thousandths, rounded down."""
-    k = len(ALPHABET)
-    label = F.col("random")
-    pairs = samples.select(label.alias("random"), F.explode(_pairs(F.col("token"))).alias("cell")).groupBy("cell").agg(
-        F.count(F.when(label, 1)).alias("r"), F.count(F.when(~label, 1)).alias("o"))
+    """ln(P(b | a, random) / P(b | a, ordinary)) of every two characters, in thousandths, rounded down.
+
+    P(b | a) = (n(ab) + PULL * q(b)) / (n(a) + PULL), drawn towards q(b) = (n(b) + 1) / (n + K), the share of b after any character.
+    """
+    k, label = len(ALPHABET), F.col("random")
+    count = (F.count(F.when(label, 1)).alias("r"), F.count(F.when(~label, 1)).alias("o"))
+    pairs = samples.select(label.alias("random"), F.explode(_pairs(F.col("token"))).alias("cell")).groupBy("cell").agg(*count)
     cells = samples.sparkSession.range(1, k * k + 1).select(F.col("id").cast("int").alias("cell"))
-    table = cells.join(F.broadcast(pairs), "cell", "left").select("cell", F.floor((F.col("cell") - 1) / k).alias("a"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("r", "o")))
-    of = table.groupBy("a").agg(F.sum("r").alias("all_r"), F.sum("o").alias("all_o"))
-    p = lambda n, of_all: (F.col(n) + 1).cast("double") / (F.col(of_all) + k).cast("double")
-    ratio = F.floor(F.lit(1000.0) * F.ln(p("r", "all_r") / p("o", "all_o"))).cast("long")
-    got = table.join(F.broadcast(of), "a").select("cell", ratio.alias("ratio")).collect()  # a row for a cell of the fixed alphabet
+    table = (cells.join(F.broadcast(pairs), "cell", "left")  # a row for a cell of the fixed alphabet, here and below
+             .select("cell", F.floor((F.col("cell") - 1) / k).alias("a"), ((F.col("cell") - 1) % k).alias("b"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("r", "o"))))
+    of = lambda key, end: table.groupBy(*key).agg(F.sum("r").alias(f"r{end}"), F.sum("o").alias(f"o{end}"))
+    table = table.join(F.broadcast(of(["a"], "_a")), "a").join(F.broadcast(of(["b"], "_b")), "b").join(F.broadcast(of([], "_all")), F.col("cell") > 0)
+
+    def p(n: str) -> Column:
+        share = (F.col(f"{n}_b") + 1).cast("double") / (F.col(f"{n}_all") + k).cast("double")
+        return (F.col(n).cast("double") + F.lit(PULL) * share) / (F.col(f"{n}_a").cast("double") + F.lit(PULL))
+
+    got = table.select("cell", F.floor(F.lit(1000.0) * F.ln(p("r") / p("o"))).cast("long").alias("ratio")).collect()
     return [r["ratio"] for r in sorted(got, key=lambda r: r["cell"])]
 
 
