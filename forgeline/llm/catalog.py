@@ -86,11 +86,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forgeline.llm.ngram_join import join_components
 
-    return join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def ngram_join_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The number of links of each document's set in op9_ngram_join, whose SQL has the components only."""
+    """The number of links of each document's set, as op9_ngram_join returns it beside the components."""
     from forgeline.llm.ngram_join import join_components
 
     return join_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "n_links")

@@ -9,9 +9,9 @@ are compared.
 1. Equal sets become one node.  2. Blocks of documents ask shards for their tokens' document frequencies.  A node
 whose prefix holds unshared tokens only (the rarest come first) has no partner.  3. Of every other node the shared
 tokens and the prefixes are kept.  4. All nodes with a token in the first order's prefix are compared with one of
-them, its leader; links make components.  5. While some token's nodes lie in different components, the nodes outside
-the leader's component are compared with all nodes of other components.  So no link between components is lost, and
-pairs within a component are not needed for it.  6. A link's ends lie in one component, so the links of a node are counted
+them, its leader; links make components.  5. While some token's nodes lie in different components, its nodes are compared
+across components; the join that meets them already leaves out pairs whose sketches differ in more places than linked
+sets can.  So no link between components is lost, and pairs within a component are not needed for it.  6. A link's ends lie in one component, so the links of a node are counted
 there: components are dealt into chunks, and every two chunks of one are compared whole, by products of their incidence
 matrices.  Only counts leave a task, but the work grows with the square of a component's different texts.
 
@@ -35,6 +35,7 @@ PERCENT = 80
 ORDERS = 3
 CHUNK_NODES = 512        # of a component, compared at once with another chunk
 CHUNK_TOKENS = 2_000_000
+SKETCH = 16              # longs of a node's sketch: the parity of its shared tokens in each of 64 * SKETCH places
 _COLUMNS = 2048          # of the incidence matrices held at once
 _KEY_BYTES = 5  # of a token's hash, beside its shard, in frequency questions: a clash only makes a token look less rare
 
@@ -107,15 +108,24 @@ class _Nodes:
 
 
 _ASK = BLOB + ", doc_id long, node long"
-_SHARED = "node long, size long, weight double, tokens array<long>, " + ", ".join(f"prefix{o} array<long>" for o in range(ORDERS))
+_SHARED = "node long, size long, weight double, sketch array<long>, tokens array<long>, " + ", ".join(f"prefix{o} array<long>" for o in range(ORDERS))
 
 
 def _lists(values: np.ndarray, count: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))), pa.int32()), pa.array(values.view(np.int64)))
 
 
+def _sketches(tokens: np.ndarray, node: np.ndarray, n: int) -> pa.Array:
+    """For each of n nodes, whether an odd number of its tokens fall into a place, for 64 * SKETCH places."""
+    place = (mix64(tokens ^ np.uint64(0x5EED)) % np.uint64(64 * SKETCH)).astype(np.int64)
+    at, times = np.unique(node * (64 * SKETCH) + place, return_counts=True)
+    bits = np.zeros((n, 64 * SKETCH), np.uint8)
+    bits.ravel()[at[times % 2 == 1]] = 1
+    return _lists(np.packbits(bits, axis=1).view(np.uint64).ravel(), np.full(n, SKETCH))
+
+
 def shared_parts(nodes: _Nodes, got: pa.Table, bits: int) -> pa.Table:
-    """Of each node that may have a partner: its size, the weight and list of its shared tokens, and their prefixes under each order."""
+    """Of each node that may have a partner: its size, the weight, sketch and list of its shared tokens, and their prefixes under each order."""
     keys, which, _ = nodes.distinct()
     edge = cuts(keys, bits)
     df = np.ones(len(keys), np.uint8)
@@ -133,46 +143,71 @@ def shared_parts(nodes: _Nodes, got: pa.Table, bits: int) -> pa.Table:
         taken = order[(place < prefix_size(nodes.size)[node]) & shared[order]]
         prefixes.append(_lists(nodes.tokens[taken], np.bincount(node[taken], minlength=len(nodes.size))[some]))
     weight = np.bincount(node, weights=np.log2(df), minlength=len(nodes.size)).astype(float)
+    held = np.cumsum(some) - 1
     return pa.table([pa.array(np.array(nodes.node, np.int64)[some]), pa.array(nodes.size[some]), pa.array(weight[some]),
-                     _lists(nodes.tokens[shared], np.bincount(node[shared], minlength=len(nodes.size))[some]), *prefixes],
-                    names=["node", "size", "weight", "tokens", *(f"prefix{o}" for o in range(ORDERS))])
+                     _sketches(nodes.tokens[shared], held[node[shared]], int(some.sum())), _lists(nodes.tokens[shared], np.bincount(node[shared], minlength=len(nodes.size))[some]), *prefixes],
+                    names=["node", "size", "weight", "sketch", "tokens", *(f"prefix{o}" for o in range(ORDERS))])
 
 
 def _may_link(a: str, b: str) -> Column:
     """Can two nodes reach the threshold?  Only tokens that some other node has can be common to both."""
-    both = F.least(F.col(f"{a}shared"), F.col(f"{b}shared"))
-    return both * 100 >= (F.col(f"{a}size") + F.col(f"{b}size") - both) * PERCENT
+    return _reach(F.least(F.col(f"{a}shared"), F.col(f"{b}shared")), F.col(f"{a}size"), F.col(f"{b}size"))
+
+
+def _reach(both: Column, a_size: Column, b_size: Column) -> Column:
+    """Does a number of common tokens reach the threshold?"""
+    return both * 100 >= (a_size + b_size - both) * PERCENT
+
+
+def _alike(a: str, b: str) -> Column:
+    """Can two nodes reach the threshold by their sketches?  Each place that differs holds a shared token that only one of them has."""
+    apart = sum((F.bit_count(F.col(f"{a}sketch")[i].bitwiseXOR(F.col(f"{b}sketch")[i])) for i in range(SKETCH)), F.lit(0))
+    both = F.floor((F.col(f"{a}shared") + F.col(f"{b}shared") - apart) / 2)
+    return _reach(both, F.col(f"{a}size"), F.col(f"{b}size"))
+
+
+def _prefixes_meet(order: int) -> Column:
+    """Do the prefixes under an order hold enough common tokens?
+
+    The prefix that ends first in the order holds all common tokens up to its end, so those beyond the
+    prefixes' own common ones are at most what the longer rest of the two holds.
+    """
+    rest = lambda size: F.ceil(size * PERCENT / 100) - 1  # noqa: E731  (tokens after the prefix)
+    both = F.size(F.array_intersect(f"a_prefix{order}", f"b_prefix{order}"))
+    return (both > 0) & _reach(both + F.greatest(rest(F.col("a_size")), rest(F.col("b_size"))), F.col("a_size"), F.col("b_size"))
 
 
 def linked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that meet in all orders' prefixes and whose sets reach the threshold."""
-    more = [f"prefix{o}" for o in range(1, ORDERS)]
     side = lambda x, cols: nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in cols))
-    met = pairs.join(side("a", more), "a").join(side("b", more), "b")
-    for c in more:
-        met = met.where(F.arrays_overlap(f"a_{c}", f"b_{c}"))
+    prefixes = ["size", *(f"prefix{o}" for o in range(ORDERS))]
+    met = pairs.join(side("a", prefixes), "a").join(side("b", prefixes), "b")
+    for o in range(ORDERS):
+        met = met.where(_prefixes_meet(o))
     sets = ["size", "tokens"]
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
     return (met.select("a", "b").join(side("a", sets), "a").join(side("b", sets), "b")
-            .where(both * 100 >= (F.col("a_size") + F.col("b_size") - both) * PERCENT).select("a", "b"))
+            .where(_reach(both, F.col("a_size"), F.col("b_size"))).select("a", "b"))
 
 
 def link_components(nodes: DataFrame) -> DataFrame:
-    """node and component of every linked node, of nodes with their shared tokens and prefixes."""
-    at = nodes.select("node", "size", F.size("tokens").alias("shared"), "weight", F.explode("prefix0").alias("token"))
-    lead = at.groupBy("token").agg(F.max(F.struct("weight", "node", "size", "shared")).alias("lead"), F.count("*").alias("n")).where("n > 1").select("token", "lead").checkpoint()
-    pairs = (at.join(lead, "token").where(F.col("lead.node") != F.col("node")).where(_may_link("lead.", ""))
+    """node and component of every linked node, of nodes with their shared tokens, sketches and prefixes."""
+    at = nodes.select("node", "size", F.size("tokens").alias("shared"), "weight", "sketch", F.explode("prefix0").alias("token"))
+    lead = (at.groupBy("token").agg(F.max(F.struct("weight", "node", "size", "shared")).alias("lead"), F.count("*").alias("n"))
+            .where("n > 1").select("token", "lead").checkpoint())
+    pairs = (at.drop("sketch").join(lead, "token").where(F.col("lead.node") != F.col("node")).where(_may_link("lead.", ""))
              .select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct())
     links = linked(pairs, nodes).checkpoint()
     found = components(links)
-    # tokens whose nodes still lie in several components: every pair across them is to be compared
-    at = (at.join(lead.select("token"), "token").join(found, "node", "left")
-          .select("token", "node", "size", "shared", F.coalesce("component", "node").alias("component")))
-    open_tokens = at.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("token").checkpoint()
-    across = at.join(open_tokens, "token").checkpoint()
-    other = across.select("token", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("shared").alias("b_shared"), F.col("component").alias("b_component"))
-    rest = (across.join(other, "token").where("component <> b_component and node < b").where(_may_link("", "b_"))
-            .select(F.col("node").alias("a"), "b").distinct())
+    # tokens whose nodes still lie in several components: every pair across them that may link is to be compared
+    of = at.select("token", "node").join(lead.select("token"), "token").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_tokens = of.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("token").checkpoint()
+    across = (at.join(open_tokens, "token").join(found, "node", "left")
+              .select("token", "node", "size", "shared", "sketch", F.coalesce("component", "node").alias("component")).checkpoint())
+    other = across.select("token", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "shared", "sketch", "component")))
+    apart = (F.col("component") != F.col("b_component")) & (F.col("node") < F.col("b_node"))
+    rest = (across.join(other, (across["token"] == other["token"]) & apart & _may_link("", "b_") & _alike("", "b_"))
+            .select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct())
     more = linked(rest, nodes).checkpoint()
     if not more.isEmpty():
         found = components(links.unionByName(more).distinct().checkpoint())

@@ -43,7 +43,7 @@ def test_stages_return_documents(spark):
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.sql(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     want, got = con.sql(entry.oracle_sql()[name]).df(), entry.queries()[name](spark, SMALL).toPandas()
     assert sorted(want.columns) == sorted(got.columns) and want.dtypes.to_dict() == got[want.columns].dtypes.to_dict()
@@ -53,7 +53,7 @@ def test_against_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_texts_are_shuffled_once(spark):
