@@ -23,11 +23,17 @@ u AS (SELECT DISTINCT leaf, toks FROM c),
 n AS (SELECT leaf, count(*) AS n_lines FROM u GROUP BY leaf),
 p AS (SELECT leaf, toks, n_lines, unnest(range(1, len(toks) + 1)) AS pos FROM u JOIN n USING (leaf) WHERE n_lines > 1),
 s AS (SELECT leaf, pos, toks[pos] AS tok, count(*) AS support FROM p GROUP BY ALL),
-g AS (SELECT p.leaf, p.toks, list(CASE WHEN support >= 2 AND support >= 0.1 * n_lines AND s.tok <> '<*>' THEN s.tok ELSE '<*>' END ORDER BY p.pos) AS shape,
-             sum(CASE WHEN support >= 2 AND support >= 0.1 * n_lines AND s.tok <> '<*>' THEN 1 ELSE 0 END) AS constants
+q AS (SELECT p.leaf, p.toks, list({{'pos': p.pos, 'tok': s.tok, 'sup': CASE WHEN support >= 2 AND s.tok <> '<*>' THEN support END}} ORDER BY p.pos) AS parts
       FROM p JOIN s ON p.leaf = s.leaf AND p.pos = s.pos AND p.toks[p.pos] = s.tok GROUP BY p.leaf, p.toks),
-m AS (SELECT u.leaf, u.toks, CASE WHEN constants >= 0.5 * len(u.toks) THEN {{'general': true, 'shape': shape}} ELSE {{'general': false, 'shape': u.toks}} END AS template
-      FROM u LEFT JOIN g ON u.leaf = g.leaf AND u.toks = g.toks),
+a AS (SELECT leaf, toks, parts, list_reverse_sort(list_transform(list_filter(parts, lambda x: x.pos > 3 AND x.sup IS NOT NULL), lambda x: x.sup)) AS beyond,
+             len(list_filter(parts, lambda x: x.pos <= 3 AND x.sup IS NOT NULL)) AS n_lead FROM q),
+b AS (SELECT *, beyond[greatest(1, ceil(0.5::DOUBLE * len(parts))::BIGINT - n_lead)] AS alike FROM a),
+g AS (SELECT leaf, toks, alike, list_transform(parts, lambda x: CASE WHEN x.sup IS NOT NULL AND (x.pos <= 3 OR x.sup >= alike * 0.1::DOUBLE) THEN x.tok ELSE '<*>' END) AS shape
+      FROM b WHERE alike IS NOT NULL),
+chance AS (SELECT DISTINCT leaf, shape FROM (SELECT leaf, shape, alike, count(*) AS n FROM g GROUP BY ALL) WHERE n < alike * 0.1::DOUBLE),
+ok AS (SELECT g.leaf, g.toks, g.shape FROM g LEFT JOIN chance c ON c.leaf = g.leaf AND c.shape = g.shape WHERE c.leaf IS NULL),
+m AS (SELECT u.leaf, u.toks, CASE WHEN ok.shape IS NOT NULL THEN {{'general': true, 'shape': ok.shape}} ELSE {{'general': false, 'shape': u.toks}} END AS template
+      FROM u LEFT JOIN ok ON u.leaf = ok.leaf AND u.toks = ok.toks),
 cm AS (SELECT c.doc_id, c.i, c.leaf, m.template FROM c JOIN m ON c.leaf = m.leaf AND c.toks = m.toks),
 r AS (SELECT leaf, template, min(doc_id) AS first FROM cm GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
 x AS (SELECT doc_id, list(i) AS gone FROM cm JOIN r USING (leaf, template) WHERE doc_id <> first GROUP BY doc_id)

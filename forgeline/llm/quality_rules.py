@@ -6,8 +6,13 @@ follow the corpus.  A document is rejected when, for every language, its Jensen-
 reference is above the threshold in either histogram.  A histogram is only judged on documents long enough
 for it (minimum-length guards); shorter ones pass that test.
 
+Reference languages are those of COMMON and every other value of lang that min_docs documents or more have (the
+max_languages most frequent of them); their common words are learnt, the most frequent ones of their documents that pass
+the base rules.  A document of a rarer language, for which there is no reference, is judged by the base rules
+alone; one without a language by the nearest reference.
+
 Null and empty texts have no words and fail the base rules.  Equal rows get equal verdicts.  Only the
-reference counts (languages x bins) reach the driver.
+learnt words and the reference counts (languages x bins) reach the driver.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgeline.llm.textbatch import _LOWER, Batch, inside, mix64, ngrams, parse, word_hashes
@@ -42,6 +47,9 @@ class Rules:
     words_distance: float = 0.28   # and of common words
     min_chars: int = 200           # guards: characters and words that a histogram needs to be judged
     min_hist_words: int = 100
+    min_docs: int = 20             # of a language outside COMMON, to be a reference
+    max_languages: int = 500       # of those
+    common_words: int = 30         # learnt for each
 
 
 def _class_table() -> np.ndarray:
@@ -58,30 +66,33 @@ def _class_table() -> np.ndarray:
 _CLASS = _class_table()
 
 
-def common_table() -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of all common words, and the words in that order."""
-    words = sorted({w for ws in COMMON.values() for w in ws.split()})
-    h = word_hashes(parse(pa.array([" ".join(words)])))
-    order = np.argsort(h)
-    return h[order], np.array(words, dtype=object)[order]
+class Words:
+    """The common words of each reference language, by hash."""
+
+    def __init__(self, common: dict[str, str]):
+        words = sorted({w for ws in common.values() for w in ws.split(" ")})
+        h = word_hashes(parse(pa.array([" ".join(words)])))
+        order = np.argsort(h)
+        self.table, names = h[order], np.array(words, dtype=object)[order]
+        self.own = {lang: np.flatnonzero(np.isin(names, ws.split(" "))) for lang, ws in common.items()}
+
+    def count(self, b: Batch) -> np.ndarray:
+        """How often each text has each common word."""
+        n, size = len(b), len(self.table)
+        h = word_hashes(replace(b, data=_LOWER[b.data]))
+        at = np.minimum(np.searchsorted(self.table, h), size - 1)
+        known = self.table[at] == h
+        return np.bincount(b.doc[known] * size + at[known], minlength=n * size).reshape(n, size)
 
 
-def histograms(b: Batch) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def histograms(b: Batch, words: Words) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Character classes of each text; for each language its common words' counts and, last, all others'."""
     n = len(b)
     size = np.diff(b.offsets)
     doc = np.repeat(np.arange(n), size)
     chars = np.bincount(doc * _CLASSES + _CLASS[b.data], minlength=n * _CLASSES).reshape(n, _CLASSES)[:, :10]
-    table, names = common_table()
-    h = word_hashes(replace(b, data=_LOWER[b.data]))
-    at = np.minimum(np.searchsorted(table, h), len(table) - 1)
-    known = table[at] == h
-    seen = np.bincount(b.doc[known] * len(table) + at[known], minlength=n * len(table)).reshape(n, len(table))
-    words = {}
-    for lang, ws in COMMON.items():
-        own = seen[:, np.isin(names, ws.split())]
-        words[lang] = np.column_stack([own, b.n_words - own.sum(axis=1)])
-    return chars, words
+    seen = words.count(b)
+    return chars, {lang: np.column_stack([seen[:, own], b.n_words - seen[:, own].sum(axis=1)]) for lang, own in words.own.items()}
 
 
 def distance(rows: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -125,45 +136,82 @@ def base_failed(c: dict[str, np.ndarray], rules: Rules) -> np.ndarray:
     return (c["n_words"] < rules.min_words) | (100 * c["n_repeat_words"] > rules.max_repeat_pct * c["n_words"])
 
 
-def _sums(rules: Rules):
+def _text_and_lang(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+
+
+def _word_counts(rules: Rules):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            b = parse(batch.column("text"))
+            good = ~base_failed(base_counts(b), rules)
+            seen: Counter = Counter()
+            for i, lang in enumerate(batch.column("lang").to_pylist()):
+                if good[i]:
+                    seen.update((lang, w) for w in _LOWER[np.frombuffer(b.text(i), np.uint8)].tobytes().split())
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.binary()),
+                                              pa.array(list(seen.values()), pa.int64())], names=["lang", "word", "n"])
+    return run
+
+
+def common_words(docs: DataFrame, rules: Rules = Rules()) -> dict[str, str]:
+    """The common words of every reference language: COMMON, and those learnt for other languages of the corpus."""
+    docs = _text_and_lang(docs)
+    others = [r["lang"] for r in docs.where(F.col("lang").isNotNull() & ~F.col("lang").isin(*COMMON)).groupBy("lang").agg(F.count("*").alias("n"))
+              .where(F.col("n") >= rules.min_docs).orderBy(F.desc("n"), "lang").limit(rules.max_languages).collect()]
+    if not others:
+        return COMMON
+    counts = (docs.where(F.col("lang").isin(*others)).mapInArrow(_word_counts(rules), "lang string, word binary, n long")
+              .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    most = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    learnt: dict[str, list[str]] = {}
+    for r in counts.withColumn("at", F.row_number().over(most)).where(F.col("at") <= rules.common_words).collect():
+        learnt.setdefault(r["lang"], []).append(bytes(r["word"]).decode())
+    return COMMON | {lang: " ".join(sorted(ws)) for lang, ws in learnt.items()}
+
+
+def _sums(words: Words, rules: Rules):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             b = parse(batch.column("text"))
-            chars, words = histograms(b)
+            chars, common = histograms(b, words)
             good = ~base_failed(base_counts(b), rules)
             lang = np.array(batch.column("lang").to_pylist(), dtype=object)
-            for name in COMMON:
+            for name in common:
                 if (own := good & (lang == name)).any():
-                    total[name] = total.get(name, 0) + np.concatenate([chars[own].sum(axis=0), words[name][own].sum(axis=0)])
+                    total[name] = total.get(name, 0) + np.concatenate([chars[own].sum(axis=0), common[name][own].sum(axis=0)])
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.string()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.int64()))], names=["lang", "counts"])
     return run
 
 
-def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, np.ndarray]:
+class References:
     """Summed character-class and common-word counts of each reference language over all documents that pass the base rules."""
-    text, lang = F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
-    parts = docs.select(text, lang).mapInArrow(_sums(rules), "lang string, counts array<long>")
-    rows = (parts.select("lang", F.posexplode("counts").alias("bin", "n")).groupBy("lang", "bin").agg(F.sum("n").alias("n"))
-            .orderBy("lang", "bin").collect())  # languages x bins
-    out: dict[str, list[int]] = {}
-    for r in rows:
-        out.setdefault(r["lang"], []).append(r["n"])
-    return {k: np.array(v, dtype=float) for k, v in out.items()}
-
-
-def divergence(b: Batch, refs: dict[str, np.ndarray], rules: Rules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distances in characters and words to the nearest language, and whether some language accepts the text."""
-    chars, words = histograms(b)
-    n = len(b)
-    few_chars, few_words = chars.sum(axis=1) < rules.min_chars, b.n_words < rules.min_hist_words
-    best_c, best_w, fine = np.ones(n), np.ones(n), np.zeros(n, bool)
-    for lang, ref in refs.items():
-        c, w = distance(chars, ref[:10]), distance(words[lang], ref[10:])
-        best_c, best_w = np.minimum(best_c, c), np.minimum(best_w, w)
-        fine |= (few_chars | (c <= rules.chars_distance)) & (few_words | (w <= rules.words_distance))
-    return best_c, best_w, fine | (not refs)
+
+    def __init__(self, docs: DataFrame, rules: Rules = Rules()):
+        self.rules, self.words = rules, Words(common_words(docs, rules))
+        parts = _text_and_lang(docs).mapInArrow(_sums(self.words, rules), "lang string, counts array<long>")
+        rows = (parts.select("lang", F.posexplode("counts").alias("bin", "n")).groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+                .orderBy("lang", "bin").collect())  # languages x bins
+        counts: dict[str, list[int]] = {}
+        for r in rows:
+            counts.setdefault(r["lang"], []).append(r["n"])
+        self.counts = {k: np.array(v, dtype=float) for k, v in counts.items()}
+
+    def judge(self, b: Batch, langs: list) -> dict[str, np.ndarray]:
+        """Base counts, distances in characters and words to the nearest language, and the verdict on each text."""
+        rules, c, n = self.rules, base_counts(b), len(b)
+        chars, common = histograms(b, self.words)
+        few_chars, few_words = chars.sum(axis=1) < rules.min_chars, b.n_words < rules.min_hist_words
+        best_c, best_w, fine = np.ones(n), np.ones(n), np.zeros(n, bool)
+        for lang, ref in self.counts.items():
+            d, w = distance(chars, ref[:10]), distance(common[lang], ref[10:])
+            best_c, best_w = np.minimum(best_c, d), np.minimum(best_w, w)
+            fine |= (few_chars | (d <= rules.chars_distance)) & (few_words | (w <= rules.words_distance))
+        fine |= np.array([not self.counts or (x is not None and x not in self.counts) for x in langs], bool)
+        failed = base_failed(c, rules)
+        return c | {"base_failed": failed, "kept": ~failed & fine, "chars_distance": best_c, "words_distance": best_w}
 
 
 _OUT = {"doc_id": pa.int64(), "n_words": pa.int64(), "word_chars": pa.int64(), "n_symbols": pa.int64(), "n_dup_lines": pa.int64(),
@@ -172,32 +220,26 @@ _DDL = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines
         " kept boolean, chars_distance double, words_distance double")
 
 
-def _judge(b: Batch, refs, rules: Rules) -> dict[str, np.ndarray]:
-    c = base_counts(b)
-    dc, dw, fine = divergence(b, refs, rules)
-    failed = base_failed(c, rules)
-    return c | {"base_failed": failed, "kept": ~failed & fine, "chars_distance": dc, "words_distance": dw}
-
-
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row of counts, distances and verdict per document; one pass for the references and one for the verdicts."""
-    refs = references(docs, rules)
+    refs = References(docs, rules)
 
     def run(batches):
         for batch in batches:
-            v = _judge(parse(batch.column("text")), refs, rules)
+            v = refs.judge(parse(batch.column("text")), batch.column("lang").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v[k], _OUT[k]) for k in list(_OUT)[1:])], names=list(_OUT))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _DDL)
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+            .mapInArrow(run, _DDL))
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    refs = references(docs, rules)
+    refs = References(docs, rules)
 
     def run(batches):
         for batch in batches:
-            b = parse(batch.column(batch.schema.get_field_index("text")))
-            yield batch.filter(pa.array(_judge(b, refs, rules)["kept"]))
+            column = lambda name: batch.column(batch.schema.get_field_index(name))
+            yield batch.filter(pa.array(refs.judge(parse(column("text")), column("lang").to_pylist())["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -88,12 +88,23 @@ def drop_lines(rows, depth=3, min_docs=10, min_share=0.1, min_constant=0.5):
     for _, _, leaf, t in found:
         distinct[leaf].add(t)
     support = Counter((leaf, i, x) for leaf, ts in distinct.items() for t in ts for i, x in enumerate(t))
+    shaped, alike_in = {}, Counter()
+    for leaf, ts in distinct.items():
+        for t in ts if len(ts) > 1 else ():
+            own = [support[leaf, i, x] if x != "<*>" and support[leaf, i, x] >= 2 else None for i, x in enumerate(t)]
+            leading, beyond = sum(x is not None for x in own[:depth]), sorted((x for x in own[depth:] if x is not None), reverse=True)
+            needed = max(1, math.ceil(len(t) * min_constant) - leading)
+            if needed <= len(beyond):
+                alike = beyond[needed - 1]
+                shape = tuple(x if n is not None and (i < depth or n >= alike * min_share) else "<*>" for i, (x, n) in enumerate(zip(t, own)))
+                shaped[leaf, t] = shape
+                alike_in[leaf, shape, alike] += 1
+    chance = {(leaf, shape) for (leaf, shape, alike), n in alike_in.items() if n < alike * min_share}
     template = {}
     for leaf, ts in distinct.items():
         for t in ts:
-            fixed = [x != "<*>" and support[leaf, i, x] >= max(2, min_share * len(ts)) for i, x in enumerate(t)]
-            general = len(ts) > 1 and sum(fixed) >= min_constant * len(t)
-            template[leaf, t] = (leaf, general, tuple(x if f else "<*>" for x, f in zip(t, fixed)) if general else t)
+            general = (leaf, t) in shaped and (leaf, shaped[leaf, t]) not in chance
+            template[leaf, t] = (leaf, general, shaped[leaf, t] if general else t)
     docs = defaultdict(set)
     for r, _, leaf, t in found:
         docs[template[leaf, t]].add(rows[r][0])
@@ -144,17 +155,24 @@ def quality_kept(rows, common, rules):
         own = [c[x] for x in sorted(ws)]
         return own + [len(w) - sum(own)]
 
+    of_lang = Counter(lang for _, lang in rows if lang is not None)
+    common = {lang: set(ws.split()) for lang, ws in common.items()}
+    for lang, n in of_lang.items():
+        if lang not in common and n >= rules.min_docs:
+            seen = Counter(lower(w) for t, x in rows if x == lang and not base_failed(t) for w in words(t))
+            if seen:
+                common[lang] = {w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0].encode()))[:rules.common_words]}
     sums = {}
     for text, lang in rows:
         if lang in common and not base_failed(text):
-            h = _classes(text) + hist(text, set(common[lang].split()))
+            h = _classes(text) + hist(text, common[lang])
             sums[lang] = [x + y for x, y in zip(sums.get(lang, [0] * len(h)), h)]
     out = []
-    for text, _ in rows:
+    for text, own_lang in rows:
         chars, n = _classes(text), len(words(text))
-        fine = not sums
+        fine = not sums or (own_lang is not None and own_lang not in sums)
         for lang, s in sums.items():
-            h = hist(text, set(common[lang].split()))
+            h = hist(text, common[lang])
             fine |= ((sum(chars) < rules.min_chars or _jensen_shannon(chars, s[:10]) <= rules.chars_distance)
                      and (n < rules.min_hist_words or _jensen_shannon(h, s[10:]) <= rules.words_distance))
         out.append(not base_failed(text) and fine)

@@ -1,15 +1,17 @@
 """Substring dedup, n-gram join and line dedup against brute force."""
 
+import hashlib
 import random
 from collections import Counter
 
 import brute
+import duckdb
 import numpy as np
 import pytest
 
 from corpus_fixture import corpus, corpus_rows, nothing  # noqa: F401
 
-from forgeline.llm import line_templates, ngram_join, substring_dedup
+from forgeline.llm import line_templates, ngram_join, oracle, substring_dedup
 
 
 def rows_of(corpus_rows):
@@ -125,6 +127,38 @@ def test_line_dedup_in_a_crowded_leaf(spark, others):
     assert sum(got[i] for i in range(40 + others, len(lines))) == max(0, others // 10 - 1)
 
 
+def planted_lines():
+    """Crowded leaves, short lines, templates met by chance, and templates of variable words."""
+    rng = random.Random(6)
+    name = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    docs = []
+    for i in range(60):
+        lines = [f"Posted by user {name()} in this group on our board today", f"All rights reserved {name()}", f"a b c {name()}"]
+        lines += [f"Posted by user {name()} {name()} {name()} {name()} {name()} {name()} {name()} {name()}" for _ in range(10)]
+        lines += [f"The quick brown {name()} jumps over the {rng.choice(['lazy', 'sleepy', 'tired'])} dog", f"one two three {rng.choice('uvwxyz')} {rng.choice('uvwxyz')} {rng.choice('uvwxyz')}",
+                  f"see page {i} for {name()} and more of it", "exactly the same line here", name()]
+        rng.shuffle(lines)
+        docs.append((i * 2 + 1, "\n".join(lines)))
+    return docs
+
+
+def test_line_dedup_one_rule_everywhere(spark):
+    """The operator, its SQL and the plain version agree where templates of variable words are dropped."""
+    rows = planted_lines()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["kept_text"], r["n_lines"], r["n_dropped"]) for r in line_templates.drop_lines(docs).collect()}
+    want = dict(zip((d for d, _ in rows), brute.drop_lines(rows)))
+    assert got == want
+    lost = [x for d, t in rows for x in t.split("\n") if x not in want[d][0].split("\n")]
+    assert sum(x.startswith("Posted by user") for x in lost) == 59 and sum("in this group" in x for x in lost) == 59
+    assert sum(x.startswith("The quick") for x in lost) == 57 and not any(x.startswith("a b c") for x in lost)
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    sql = {r[0]: r[1:] for r in con.execute(oracle.SQL["op5_line_dedup"]).fetchall()}
+    assert sql == {d: (n, k, hashlib.sha256(t.encode()).hexdigest()) for d, (t, n, k) in want.items()}
+
+
 def test_line_dedup_needs_more_than_the_leading_tokens(spark):
     words = "ann bob cid dot eve flo gus hal ivy jon kay lou".split()
     lines = [f"It was the {w}" for w in words] + [f"It was the {w} x{chr(97 + i)} y{w}" for i, w in enumerate(words)]

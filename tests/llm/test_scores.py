@@ -148,6 +148,46 @@ def test_quality_rules(corpus, corpus_rows):
     assert Counter(r["doc_id"] for r in good.select("doc_id").collect()) == Counter(r[0] for r, k in zip(corpus_rows, kept) if k)
 
 
+def italian(n=60, lang="it"):
+    """Plain prose in another language, and junk beside it: repeated capitals, symbols, and words in no proportion."""
+    rng = random.Random(11)
+    common = "di che e la il un a per è una in sono mi non si ho lo ma ti ha le con i cosa da se come io ci questo".split()
+    parts = "ca sa mo lo re ti no ra te ve do ni pa vo ci gra zia fi".split()
+    word = lambda: rng.choice(common) if rng.random() < 0.4 else "".join(rng.choices(parts, k=rng.randint(2, 4)))
+    good = [(i, " ".join(word() for _ in range(300)) + ".", lang) for i in range(n)]
+    junk = [(1000, " ".join("".join(rng.choices("#$%&|<>@XYZ", k=6)) for _ in range(300)), lang), (1001, " ".join("".join(rng.choices("BCDFGHJKLMNPQRSTVWXZ", k=8)) for _ in range(300)), lang),
+            (1002, " ".join(str(rng.randrange(10 ** 6)) for _ in range(300)), lang), (1003, " ".join("".join(rng.choices(parts, k=5)) for _ in range(300)), lang)]
+    return good, junk
+
+
+def test_no_language_is_dropped(spark):
+    """A language that no list names is judged against its own documents: prose stays, junk goes."""
+    rng = random.Random(3)
+    word = lambda: rng.choice(quality_rules.COMMON["en"].split()) if rng.random() < 0.4 else "".join(rng.choices("an er on re ing ed ou ha es st or".split(), k=3))
+    english = [(5000 + i, " ".join(word() for _ in range(300)), "en") for i in range(60)]
+    good, junk = italian()
+    rare, _ = italian(5, "rm")
+    rows = english + good + junk + [(2000 + i, t, g) for i, t, g in rare] + [(3000, good[0][1], None), (3001, junk[0][1], None)]
+    rules = quality_rules.Rules()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs, rules).collect()}
+    assert all(kept[i] for i, _, _ in english + good) and not any(kept[i] for i, _, _ in junk)
+    assert all(kept[2000 + i] for i in range(5))  # five documents are no reference: the base rules alone
+    assert kept[3000] and not kept[3001]
+    assert [kept[i] for i, _, _ in rows] == brute.quality_kept([(t, g) for _, t, g in rows], quality_rules.COMMON, rules)
+    assert {r["doc_id"] for r in quality_rules.keep_good(docs, rules).collect()} == {i for i, k in kept.items() if k}
+
+
+def test_fit_sample_is_filled_up(spark):
+    """Long texts are no part of a fit, but do not make it smaller; contradictory labels are left out."""
+    docs = spark.createDataFrame([(i, "long " * 20_000 if i % 10 else f"text {i}") for i in range(400)] + [(0, "text 00")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 10 % 2) for i in range(400)] + [(20, 1), (30, 1)], "doc_id long, quality int")
+    sample, share = fit_sample(docs, labels, "quality", F.lit(True), rows=15)
+    assert sorted(y for _, y in sample) == [0] * 15 + [1] * 15 and b"text 20" not in dict(sample) and share == 200 / 399
+    everything, _ = fit_sample(docs, labels, "quality", F.lit(True), rows=100)
+    assert len(everything) == 39 and b"text 0" in dict(everything) and b"text 00" not in dict(everything)
+
+
 def test_quality_rules_nothing(nothing):
     assert quality_rules.judge(nothing).count() == 0 and quality_rules.keep_good(nothing).count() == 0
 
