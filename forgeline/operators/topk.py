@@ -28,6 +28,17 @@ def latest_per_key(df: DataFrame, key: str, order_by: list[str], carry: list[str
     return out.select(*cols)
 
 
+def merge_latest(stored: DataFrame, batch: DataFrame, key: str, order_by: list[str], carry: list[str], count_alias: str) -> DataFrame:
+    """The newest row per key of two tables in the layout of ``latest_per_key``, and the sum of their counts.
+
+    Newest rows and counts of disjoint row sets merge into those of their union, so a batch's rows are reduced by themselves
+    and meet the stored row of their key only; rows that were reduced before are not read again."""
+    fields = list(order_by) + [c for c in carry if c not in order_by]
+    both = stored.select(key, *fields, count_alias).unionByName(batch.select(key, *fields, count_alias))
+    merged = both.groupBy(key).agg(F.max(F.struct(*fields)).alias("_top"), F.sum(count_alias).alias(count_alias))
+    return merged.select(key, *[F.col("_top")[c].alias(c) for c in fields], count_alias)
+
+
 def top_k_per_group(df: DataFrame, partition_by: list[str], order_by: list, k: int,
                     rank_alias: str = "rank") -> DataFrame:
     """Rows ranked 1..k per group by ``order_by`` (Column expressions, e.g. F.desc(..)).

@@ -7,13 +7,9 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline import contracts as C
 from forgeline.operators.quality import dq_gate, dq_report, enforce_gate
 from forgeline.plans.ingest import ingest_folder
-from forgeline.plans import intermediate as I
-from forgeline.plans import marts as M
-from forgeline.plans import staging as S
-from forgeline.plans.models import MARTS, build_models
+from forgeline.plans.refresh import refresh_models, stored_models
 from forgeline.plans.scoring import score_anomalies
 from forgeline.plans.tests_suite import SUITE
 from forgeline.sources.store import TableStore
@@ -21,59 +17,6 @@ from forgeline.sources.store import TableStore
 log = logging.getLogger("forgeline.daily")
 
 
-def raw_from_store(store: TableStore) -> dict[str, DataFrame]:
-    return {t: store.read(t, C.RAW_SCHEMAS[t]) for t in C.INGEST_ORDER}
-
-
-MODELS = "models"  # the enriched events and the marts switch together
-
-
-def raw_state(store: TableStore) -> dict[str, list[str]]:
-    """What the raw tables hold now: the data folders of each."""
-    return {t: store.state(t) for t in C.INGEST_ORDER}
-
-
-def materialize_models(store: TableStore) -> dict[str, DataFrame]:
-    """Build the model graph from the stored raw tables, write it, and commit it with the raw state it was built from.
-
-    The enriched events (events joined to their newest check and their machine, the
-    step that shuffles the two largest tables) are written once; the daily summary,
-    both event-based marts and the data tests on the enriched model read that version
-    instead of repeating the joins (Spark cannot drop a left join to a side it does
-    not know to be unique).  Staging models stay lazy, like views.  The commit is the last
-    write: a run that dies before it leaves the earlier models current, and the next run,
-    finding another raw state than theirs, builds anew."""
-    state, raw = raw_state(store), raw_from_store(store)
-    made = {"int_production_enriched": store.write_data(build_models(raw)["int_production_enriched"], "int_production_enriched")}
-    enriched = store.spark.read.parquet(store.path(made["int_production_enriched"]))
-    st = S.staging(raw)
-    for name, df in {"mart_production_daily": M.mart_production_daily(I.daily_summary_from_enriched(enriched)),
-                     "mart_quality_summary": M.mart_quality_summary(enriched),
-                     "mart_machine_downtime": M.mart_machine_downtime(st["stg_machines"], st["stg_maintenance_events"])}.items():
-        made[name] = store.write_data(df, name)
-    store.commit_group(MODELS, made, state)
-    return stored_models(store)
-
-
-def stored_models(store: TableStore) -> dict[str, DataFrame]:
-    """The model graph over the stored raw tables, with the enriched events and the
-    marts read from their current written versions."""
-    raw = raw_from_store(store)
-    enriched = store.read("int_production_enriched")
-    models = {**raw, **S.staging(raw), "int_production_enriched": enriched,
-              "int_daily_machine_summary": I.daily_summary_from_enriched(enriched)}
-    for m in MARTS:
-        models[m] = store.read(m)
-    return models
-
-
-def current_models(store: TableStore) -> dict[str, DataFrame]:
-    """The written models if they were built from the raw tables as they are, else new ones."""
-    if store.group_is_current(MODELS, ["int_production_enriched", *MARTS], raw_state(store)):
-        return stored_models(store)
-    return materialize_models(store)
-
-
 def arrived(spark: SparkSession, data_dir: str) -> bool:
     """Has the day's drop folder arrived (its production events file is present)?"""
     jvm = spark.sparkContext._jvm
@@ -99,7 +42,8 @@ def run_daily(spark: SparkSession, data_dir: str, store_root: str, run_date: str
         return spark.createDataFrame([(run_date, "no_data", 0, 0, 0, 0, None, 0, 0, 0, False)], SUMMARY)
     stats = ingest_folder(spark, store, data_dir, f"daily/{run_date}", multi_line)
     totals = stats.agg(*[F.sum(c).alias(c) for c in ("inserted", "skipped_duplicate", "quarantined")]).first()
-    store.overwrite(dq_report(SUITE, current_models(store)), "dq_report")
+    refresh_models(store)
+    store.overwrite(dq_report(SUITE, stored_models(store)), "dq_report")
     report = store.read("dq_report")
     gate = (enforce_gate(report) if raise_on_failed_tests else dq_gate(report)).first()
     scores, status = (0, 0, 0, False), "blocked_by_data_tests"

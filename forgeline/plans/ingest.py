@@ -228,7 +228,7 @@ def ingest_dataset(store: TableStore, tables: dict[str, DataFrame], source_file:
     batch_id = batch_id or str(uuid.uuid4())
     loaded_at = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     log.info(json.dumps({"event": "ingest_batch_started", "batch_id": batch_id, "source_file": source_file}))
-    store.drop("_staging")  # what a batch that failed left behind
+    store.sweep()  # what a batch that failed left behind, and what earlier runs replaced
     done = [(t, ingest_table(store, t, tables[t], source_file, batch_id, loaded_at)) for t in C.INGEST_ORDER if t in tables]
     return log_stats(store, done, batch_id, source_file, loaded_at)
 

@@ -18,23 +18,29 @@ def mart_production_daily(daily: DataFrame) -> DataFrame:
     )
 
 
+QUALITY_COUNTS = ["total_checks", "pass_count", "fail_count", *(f"defect_{t}_count" for t in DEFECT_TYPES)]
+
+
+def quality_counts(enriched: DataFrame, *by: str) -> DataFrame:
+    """Checks, pass/fail counts and one count per defect type, by the given columns."""
+    return enriched.groupBy(*by).agg(
+        F.count("check_id").alias("total_checks"),
+        F.count_if(F.col("quality_result") == "pass").alias("pass_count"),
+        F.count_if(F.col("quality_result") == "fail").alias("fail_count"),
+        *[F.count_if(F.col("defect_type") == t).alias(f"defect_{t}_count") for t in DEFECT_TYPES])
+
+
+def quality_rates(counts: DataFrame) -> DataFrame:
+    return counts.select("product_code", "total_checks", "pass_count", "fail_count", defect_rate("fail_count", "total_checks").alias("defect_rate"),
+                         *[f"defect_{t}_count" for t in DEFECT_TYPES])
+
+
 def mart_quality_summary(enriched: DataFrame) -> DataFrame:
     """Per product: checks, pass/fail counts, defect rate and one count per defect type.
 
     ``enriched`` needs product_code, check_id, quality_result, defect_type (machine
     attributes are not used, so events joined to their newest check suffice)."""
-    per_type = [F.count_if(F.col("defect_type") == t).alias(f"defect_{t}_count") for t in DEFECT_TYPES]
-    agg = enriched.groupBy("product_code").agg(
-        F.count("check_id").alias("total_checks"),
-        F.count_if(F.col("quality_result") == "pass").alias("pass_count"),
-        F.count_if(F.col("quality_result") == "fail").alias("fail_count"),
-        *per_type,
-    )
-    return agg.select(
-        "product_code", "total_checks", "pass_count", "fail_count",
-        defect_rate("fail_count", "total_checks").alias("defect_rate"),
-        *[f"defect_{t}_count" for t in DEFECT_TYPES],
-    )
+    return quality_rates(quality_counts(enriched, "product_code"))
 
 
 def maintenance_by_machine(stg_maintenance: DataFrame) -> DataFrame:

@@ -71,6 +71,6 @@ def score_anomalies(spark: SparkSession, store: TableStore) -> DataFrame:
     # cut lineage: features are read several times (count, forest sample, scoring)
     features = machine_day_features(store.read("mart_production_daily")).checkpoint(eager=True)
     scores = anomaly_scores(features)
-    path = store.upsert(scores, "anomaly_scores", ["machine_day_key"], C.ANOMALY_SCHEMA)
-    written = spark.read.parquet(path).join(features.select("machine_day_key"), "machine_day_key", "left_semi")
+    store.upsert(scores, "anomaly_scores", ["machine_day_key"], C.ANOMALY_SCHEMA, by="production_date")
+    written = store.read("anomaly_scores").join(features.select("machine_day_key"), "machine_day_key", "left_semi")
     return score_summary(written)

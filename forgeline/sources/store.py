@@ -1,44 +1,45 @@
-"""Parquet table store under one shared root folder.
+"""Parquet tables under one shared root folder: batch folders written by Spark, and one small table of the committed ones.
 
-Every write goes to a fresh data folder of its table, and becomes visible when a manifest naming the table's folders is
-committed: a small file written under a temporary name and renamed.  Readers take the newest manifest, so a
-half-written or failed write is never seen, whether or not the file committer leaves marker files.
+Every write goes to a fresh folder.  A row (table, part, folder) of ``_committed`` makes it visible; the newest row of a
+table's part counts.  The parts of an append-only table are its batches, a table that is rewritten whole has one, and
+a table split by a column has one for each value, so that a run replaces those it touched and leaves the files of the others.
+All rows of one commit are one file that Spark writes, so several tables switch at once, and a half-written
+folder is never read.  What no row names any more is removed when the next run starts (``sweep``).
 
-* Append-only tables (raw, quarantine, run log): the new manifest names the old folders and the new one.
-* Versioned tables (reports, scores): the new manifest names the new folder only.
-* Groups: several tables that switch together, with the state of the tables they were built from.
-
-One writer at a time is assumed for a table or group.
+One writer at a time is assumed; a store object reads ``_committed`` once and adds its own commits.
 """
 
 from __future__ import annotations
 
-import json
 import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+COMMITTED = "at long, table string, part string, folder string"
+Commit = tuple[str, str, str]  # table, part, folder
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: list[tuple[int, str, str, str]] | None = None
 
-    # -- filesystem helpers (Hadoop FS, so any shared storage works) -----------------
+    # -- folders (Hadoop FS, so any shared storage works) ------------------------------
     def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _names(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
+    def _names(self, relative: str) -> list[str]:
+        fs, p = self._fs(self.path(relative))
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    def path(self, relative: str) -> str:
+        return f"{self.root}/{relative}"
 
     def drop(self, relative: str) -> None:
         """Remove a folder under the root (data no longer read by anyone)."""
@@ -46,133 +47,100 @@ class TableStore:
         if fs.exists(p):
             fs.delete(p, True)
 
-    # -- manifests ----------------------------------------------------------------------
-    @staticmethod
-    def _fresh(after: str = "") -> str:
-        """A name that sorts after every earlier one."""
-        now = max(int(time.time() * 1000), int(after[:15] or 0) + 1)
-        return f"{now:015d}-{uuid.uuid4().hex[:8]}"
-
-    def _manifests(self, where: str) -> list[str]:
-        return [n for n in self._names(f"{self.path(where)}/_commits") if n.endswith(".json") and not n.startswith(".")]
-
-    def _load(self, where: str, name: str) -> dict:
-        fs, p = self._fs(f"{self.path(where)}/_commits/{name}")
-        stream = fs.open(p)
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _newest(self, where: str) -> dict | None:
-        names = self._manifests(where)
-        return self._load(where, names[-1]) if names else None
-
-    def _commit(self, where: str, content: dict) -> None:
-        folder = f"{self.path(where)}/_commits"
-        name = self._fresh((self._manifests(where) or [""])[-1])
-        fs, tmp = self._fs(f"{folder}/.{name}.tmp")
-        out = fs.create(tmp)
-        try:
-            out.write(bytearray(json.dumps(content).encode()))
-        finally:
-            out.close()
-        if not fs.rename(tmp, self._fs(f"{folder}/{name}.json")[1]):
-            raise OSError(f"could not commit {folder}/{name}.json")
-
-    def _prune(self, where: str, tables: list[str], keep: int) -> None:
-        """Delete manifests before the newest ``keep``, and the data folders that none of those names."""
-        names = self._manifests(where)
-        kept = [self._load(where, n) for n in names[-keep:]]
-        used = {f for m in kept for f in m["folders"]}
-        for n in names[:-keep]:
-            self.drop(f"{where}/_commits/{n}")
-        for table in tables:
-            for d in self._names(self.path(table)):
-                if d.startswith("_d") and f"{table}/{d}" not in used:
-                    self.drop(f"{table}/{d}")
-
-    # -- reading ----------------------------------------------------------------------
+    # -- committed folders ---------------------------------------------------------------
+    def _rows(self) -> list[tuple[int, str, str, str]]:
+        if self._known is None:
+            found = self.spark.read.schema(COMMITTED).parquet(self.path("_committed")).orderBy("at").collect() if self._names("_committed") else []
+            self._known = [tuple(r) for r in found]
+        return self._known
+
+    def commit(self, rows: list[Commit]) -> None:
+        """Make the folders of several parts current at once."""
+        known = self._rows()
+        at = max(int(time.time() * 1e6), known[-1][0] + 1 if known else 0)
+        new = [(at, *r) for r in rows]
+        self.spark.createDataFrame(new, COMMITTED).coalesce(1).write.mode("append").parquet(self.path("_committed"))
+        known += new
+
+    def parts(self, table: str) -> dict[str, str]:
+        """The current folder of each part of a table."""
+        return {part: folder for _, t, part, folder in self._rows() if t == table}
+
     def state(self, table: str) -> list[str]:
-        """The data folders of the table's current content; equal states hold equal rows."""
-        return (self._newest(table) or {"folders": []})["folders"]
-
-    def _folders(self, table: str) -> list[str]:
-        own = self.state(table)
-        if own:
-            return own
-        for group in self._names(f"{self.root}/_groups"):
-            made = (self._newest(f"_groups/{group}") or {}).get("outputs", {})
-            if table in made:
-                return [made[table]]
-        return []
+        """The folders of the table's current content; equal states hold equal rows."""
+        return list(self.parts(table).values())
 
     def exists(self, table: str) -> bool:
-        return bool(self._folders(table))
-
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """Current content of a table; an absent table is empty (with ``schema``)."""
-        folders = self._folders(table)
-        if folders:
-            return self.spark.read.parquet(*[self.path(f) for f in folders])
-        if schema is None:
+        return bool(self.parts(table))
+
+    def sweep(self) -> None:
+        """Remove what no committed row names: folders of failed writes, and parts that were replaced."""
+        used = {folder for table in {r[1] for r in self._rows()} for folder in self.state(table)}
+        for table in self._names(""):
+            if table.startswith("_"):
+                continue
+            for batch in (f"{table}/{n}" for n in self._names(table)):
+                if batch in used:
+                    continue
+                split = [f"{batch}/{n}" for n in self._names(batch) if n.startswith("_part=")]
+                kept = [x for x in split if x in used]
+                for x in [y for y in split if y not in used] if kept else [batch]:
+                    self.drop(x)
+        self.drop("_staging")
+
+    # -- reading -----------------------------------------------------------------------
+    def read_folders(self, folders: list[str], schema: T.StructType | None = None) -> DataFrame:
+        return self.spark.read.parquet(*map(self.path, folders)) if folders else self.spark.createDataFrame([], schema)
+
+    def read(self, table: str, schema: T.StructType | None = None, parts: list[str] | None = None) -> DataFrame:
+        """Current content of a table, or of some of its parts; what is absent is empty (with ``schema``)."""
+        have = self.parts(table)
+        folders = list(have.values()) if parts is None else [have[p] for p in parts if p in have]
+        if not folders and schema is None:
             raise FileNotFoundError(f"table {table} does not exist under {self.root}")
-        return self.spark.createDataFrame([], schema)
+        return self.read_folders(folders, schema)
 
     def keys(self, table: str, cols: list[str], schema: T.StructType | None = None) -> DataFrame:
         """Key-only scan (column pruning reads just these columns)."""
         return self.read(table, schema).select(*cols)
 
-    # -- writing ----------------------------------------------------------------------
+    # -- writing -----------------------------------------------------------------------
     def write_data(self, df: DataFrame, table: str) -> str:
-        """Write a data folder that no reader sees until a manifest names it."""
-        folder = f"{table}/_d{self._fresh()}"
+        """Write a folder that no reader sees until it is committed."""
+        folder = f"{table}/batch-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
         df.write.mode("errorifexists").parquet(self.path(folder))
         return folder
 
+    def write_parts(self, df: DataFrame, table: str, by: str) -> list[Commit]:
+        """Write a folder for each value of a column (a date or the like), and return the rows that commit them.
+
+        The rows of a value are brought together first; AQE splits a value that has very many."""
+        folder = f"{table}/batch-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+        part = F.col(by).cast("string")
+        df.withColumn("_part", part).hint("rebalance", "_part").write.mode("errorifexists").partitionBy("_part").parquet(self.path(folder))
+        return [(table, n[len("_part="):], f"{folder}/{n}") for n in self._names(folder) if n.startswith("_part=")]
+
     def append(self, df: DataFrame, table: str, rows: Callable[[], int] | None = None) -> None:
         """Add rows to a table.  ``rows`` tells, after the write, how many there were: none changes nothing."""
         folder = self.write_data(df, table)
         if rows is not None and not rows():
             self.drop(folder)
         else:
-            self._commit(table, {"folders": [*self.state(table), folder]})
-
-    def overwrite(self, df: DataFrame, table: str, keep: int = 2) -> str:
-        """Write ``df`` as the new current version of ``table``.
-
-        Once it is committed, versions older than the newest ``keep`` are deleted (the
-        previous one stays for readers that started before the switch), so a table
-        rewritten every run does not grow the store by its full size each time."""
-        folder = self.write_data(df, table)
-        self._commit(table, {"folders": [folder]})
-        self._prune(table, [table], keep)
-        return self.path(folder)
+            self.commit([(table, folder, folder)])
 
-    def versions(self, table: str) -> list[str]:
-        """The data folders that are on disk."""
-        return [d for d in self._names(self.path(table)) if d.startswith("_d")]
+    def overwrite(self, df: DataFrame, table: str) -> None:
+        """Rewrite a table of one part."""
+        self.commit([(table, "", self.write_data(df, table))])
 
-    def upsert(self, new: DataFrame, table: str, key: list[str], schema: T.StructType) -> str:
+    def upsert(self, new: DataFrame, table: str, key: list[str], schema: T.StructType, by: str | None = None) -> None:
         """Rows of ``new`` replace stored rows with the same key; other stored rows stay.
 
-        ``new`` is written first, so it is computed once for both of its uses."""
-        old = self.read(table, schema)
-        staged = self.write_data(new.select(*old.columns), f"_staging/{table}")
-        new = self.spark.read.parquet(self.path(staged))
+        With ``by``, a column that the key determines, only the parts that ``new`` has rows of are read and replaced.
+        ``new`` is written first, so it is computed once for all of its uses."""
+        staged = self.write_data(new.select(*self.read(table, schema).columns), "_staging")
+        new = self.read_folders([staged])
+        touched = None if by is None else [r[0] for r in new.select(F.col(by).cast("string")).distinct().collect()]
+        old = self.read(table, new.schema, touched)
         merged = old.join(new.select(*key), key, "left_anti").unionByName(new)
-        path = self.overwrite(merged, table)
+        self.commit([(table, "", self.write_data(merged, table))] if by is None else self.write_parts(merged, table, by))
         self.drop(staged)
-        return path
-
-    # -- tables that switch together -------------------------------------------------------
-    def commit_group(self, group: str, outputs: dict[str, str], built_from: dict[str, list[str]], keep: int = 2) -> None:
-        """Make the written folders of several tables current at once."""
-        where = f"_groups/{group}"
-        self._commit(where, {"outputs": outputs, "folders": list(outputs.values()), "built_from": built_from})
-        self._prune(where, list(outputs), keep)
-
-    def group_is_current(self, group: str, tables: list[str], built_from: dict[str, list[str]]) -> bool:
-        """Were these tables last built, together, from exactly this state?"""
-        last = self._newest(f"_groups/{group}")
-        return bool(last) and last["built_from"] == built_from and set(tables) <= set(last["outputs"])

@@ -12,17 +12,39 @@ from forgeline.plans.scoring import score_anomalies
 from forgeline.streaming.arrival import stream_ingest
 
 
-def test_missing_table_reads_empty_and_versions_switch(spark, store):
+def test_missing_table_reads_empty_and_rewrites_switch(spark, store):
     assert store.read("mart_production_daily", C.RAW_SCHEMAS["machines"]).count() == 0
-    df1 = spark.createDataFrame([(1, "a")], "k int, v string")
-    df2 = spark.createDataFrame([(2, "b")], "k int, v string")
-    store.overwrite(df1, "t")
-    store.overwrite(df2, "t")
-    assert [tuple(r) for r in store.read("t").collect()] == [(2, "b")]
-    for i in range(3):
+    for i in range(4):
         store.overwrite(spark.createDataFrame([(10 + i, "c")], "k int, v string"), "t")
-    assert [tuple(r) for r in store.read("t").collect()] == [(12, "c")]
-    assert len(store.versions("t")) == 2  # current + previous; older versions deleted
+        assert [tuple(r) for r in TableStore(spark, store.root).read("t").collect()] == [(10 + i, "c")]
+    assert len(store._names("t")) == 4
+    store.sweep()  # what was replaced goes when the next run starts
+    assert len(store._names("t")) == 1 and store.read("t").count() == 1
+
+
+def test_metadata_grows_with_the_commits(spark, store):
+    """A row for a committed folder, not a list of all folders for each."""
+    for i in range(4):
+        store.append(spark.range(i, i + 1), "t")
+    store.write_data(spark.range(100), "t")  # an append that failed before its commit
+    assert spark.read.parquet(store.path("_committed")).count() == 4 and len(store._names("t")) == 5
+    store.sweep()
+    assert len(store._names("t")) == 4 and sorted(r["id"] for r in TableStore(spark, store.root).read("t").collect()) == [0, 1, 2, 3]
+
+
+def test_upsert_leaves_the_files_of_other_days(spark, store):
+    import datetime as dt
+
+    schema, day = "k int, v string, d date", lambda i: dt.date(2026, 1, i)
+    empty = spark.createDataFrame([], schema).schema
+    store.upsert(spark.createDataFrame([(1, "old", day(1)), (2, "old", day(2)), (3, "old", day(3))], schema), "t", ["k"], empty, by="d")
+    before = store.parts("t")
+    store.upsert(spark.createDataFrame([(2, "new", day(2)), (9, "new", day(2)), (4, "new", day(4))], schema), "t", ["k"], empty, by="d")
+    after = store.parts("t")
+    assert {p for p in after if after[p] != before.get(p)} == {"2026-01-02", "2026-01-04"}
+    assert sorted(tuple(r)[:2] for r in store.read("t").collect()) == [(1, "old"), (2, "new"), (3, "old"), (4, "new"), (9, "new")]
+    store.sweep()
+    assert store.read("t").count() == 5 and store.read("t", parts=["2026-01-02"]).count() == 2
 
 
 def test_upsert_replaces_matching_keys_and_keeps_others(spark, store):
@@ -61,9 +83,9 @@ def test_daily_run_scores_clean_batch(spark, tmp_path):
     assert out["machine_days_scored"] == 3
     again = run_daily(spark, drop, str(tmp_path / "store"), "2026-01-02").first()
     assert again["inserted"] == 0 and again["quarantined"] == 0 and again["machine_days_scored"] == 3
-    # the raw tables are as they were, so the marts were reused, not rebuilt
+    # the raw tables are as they were, so the marts were left as they are
     stored = TableStore(spark, str(tmp_path / "store"))
-    assert len(stored.versions("mart_production_daily")) == 1
+    assert len(stored._names("mart_production_daily")) == 1
 
 
 def test_daily_run_repairs_itself_after_a_crash(spark, tmp_path):
@@ -74,13 +96,14 @@ def test_daily_run_repairs_itself_after_a_crash(spark, tmp_path):
     day2["production_events.csv"] = FILES["production_events.csv"].split("\n")[0] + "\nEVT-NEW,M001,2026-01-09T08:00:00,PRD-A,70,units,day\n"
     drop, store = write_files(tmp_path / "d2", day2), TableStore(spark, root)
     ingest_folder(spark, store, drop, "daily/2026-01-03")
-    store.write_data(store.read("mart_production_daily").limit(0), "mart_production_daily")  # a write that was never committed
+    store.write_parts(store.read("mart_production_daily").limit(1), "mart_production_daily", "production_date")  # a write that was never committed
     before = store.read("mart_production_daily").agg({"event_count": "sum"}).first()[0]
     out = run_daily(spark, drop, root, "2026-01-03").first()
+    store = TableStore(spark, root)
     after, raw = store.read("mart_production_daily").agg({"event_count": "sum"}).first()[0], store.read("production_events").count()
     assert out["inserted"] == 0 and out["status"] == "scored" and before == raw - 1 and after == raw
     assert out["machine_days_scored"] == 4 and out["isolation_forest_ran"] is False
-    assert len(store.versions("mart_production_daily")) == 2  # what nobody names is gone
+    assert len(store._names("mart_production_daily")) == 2  # the first day's and the second's; what nobody names is gone
 
 
 def test_tables_do_not_need_marker_files(spark, store):
@@ -89,7 +112,7 @@ def test_tables_do_not_need_marker_files(spark, store):
     try:
         store.append(spark.range(3).coalesce(1), "t")
         store.append(spark.range(3, 5).coalesce(1), "t")
-        store.write_data(spark.range(100), "t")  # half an append: no manifest names it
+        store.write_data(spark.range(100), "t")  # half an append: no committed row names it
         assert sorted(r["id"] for r in store.read("t").collect()) == [0, 1, 2, 3, 4]
     finally:
         conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
