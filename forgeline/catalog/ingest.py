@@ -353,19 +353,22 @@ def batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     key repeated many times reaches the shuffle once per map task, and no Expand
     (as two DISTINCT aggregates would plan) doubles the rows."""
     text, parts = _text(spark, sf_dir), []
-    # parents are classified once; their accepted keys serve every child
-    machines = G.classify_machines(text["machines"]).checkpoint()
-    known_machines = route_valid(machines).select("machine_id")
-    events = G.classify_production_events(text["production_events"], known_machines).checkpoint()
-    known_events = route_valid(events).select("event_id").distinct()
-    for table, df in [("machines", machines), ("production_events", events),
-                      ("quality_checks", G.classify_quality_checks(text["quality_checks"], known_events)),
-                      ("maintenance_events", G.classify_maintenance_events(text["maintenance_events"], known_machines))]:
+    ok = F.col("_reason").isNull()
+
+    def keyed(table: str, df: DataFrame) -> DataFrame:
+        """_k (key or quarantine reference) and _ok of every row."""
         pk = C.PRIMARY_KEY[table]
-        ok = F.col("_reason").isNull()
-        ref = row_reference(pk, C.CSV_COLUMNS[table])
-        per_key = (df.select(F.when(ok, F.col(pk)).otherwise(ref).alias("_k"), ok.alias("_ok"))
-                   .groupBy("_k", "_ok").agg(F.count(F.lit(1)).alias("_rows")))
+        return df.select(F.when(ok, F.col(pk)).otherwise(row_reference(pk, C.CSV_COLUMNS[table])).alias("_k"), ok.alias("_ok"))
+
+    # parents are classified once, and only their keys and verdicts are kept; the accepted keys serve every child
+    machines = keyed("machines", G.classify_machines(text["machines"])).checkpoint()
+    known_machines = machines.where("_ok").select(F.col("_k").alias("machine_id"))
+    events = keyed("production_events", G.classify_production_events(text["production_events"], known_machines)).checkpoint()
+    known_events = events.where("_ok").select(F.col("_k").alias("event_id")).distinct()
+    for table, keys in [("machines", machines), ("production_events", events),
+                        ("quality_checks", keyed("quality_checks", G.classify_quality_checks(text["quality_checks"], known_events))),
+                        ("maintenance_events", keyed("maintenance_events", G.classify_maintenance_events(text["maintenance_events"], known_machines)))]:
+        per_key = keys.groupBy("_k", "_ok").agg(F.count(F.lit(1)).alias("_rows"))
         known = F.col("_k").isNotNull()
         agg = per_key.agg(
             F.count_if(F.col("_ok") & known).alias("inserted"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from forgeline import contracts as C
 from forgeline.catalog.base import define_cte, register, rounded, with_ctes
+from forgeline.catalog.forest_sql import forest_sql
 from forgeline.catalog.models import production_daily, staged
 from forgeline.operators.iforest import isolation_forest
 from forgeline.operators.zscore import loo_frame
@@ -18,9 +19,11 @@ from forgeline.plans.scoring import (
     anomaly_scores,
     baseline_scores,
     machine_day_features,
+    score_anomalies,
     score_summary,
 )
-from forgeline.session import scratch_path
+from forgeline.functions import ntz_lit
+from forgeline.session import drop_scratch, scratch_path
 from forgeline.sources.store import TableStore
 
 FIXED_SCORED_AT = _dt.datetime(2026, 1, 3, 0, 0, 0)
@@ -58,13 +61,17 @@ def _z_sql(src_cte: str) -> str:
 define_cte("loo_frame", _LOO_SQL.format(src="mart_production_daily"), ["mart_production_daily"])
 
 
-@register("machine_day_features", with_ctes("mart_production_daily") + """
+define_cte("machine_day_features", """
     SELECT production_day_id AS machine_day_key, machine_id, production_date,
            CAST(total_quantity AS BIGINT) AS total_quantity, checked_count, fail_count,
            unit_inconsistency_count,
            CASE WHEN checked_count = 0 THEN 0.0 ELSE CAST(fail_count AS DOUBLE) / checked_count END
                AS defect_rate_feature
-    FROM mart_production_daily""")
+    FROM mart_production_daily""", ["mart_production_daily"])
+define_cte("forest_scores", forest_sql("machine_day_features", "machine_day_key", FEATURES), ["machine_day_features"])
+
+
+@register("machine_day_features", with_ctes("machine_day_features") + "SELECT * FROM machine_day_features")
 def q_machine_day_features(spark, sf_dir):
     return features(spark, sf_dir)
 
@@ -94,13 +101,14 @@ def q_loo_zscore(spark, sf_dir):
     return rounded(baseline_scores(features(spark, sf_dir)).select(*_BASELINE_COLS), _DOUBLES)
 
 
-@register("isolation_forest")
+@register("isolation_forest", with_ctes("forest_scores") + """
+    SELECT machine_day_key, round(isolation_forest_score, 6) AS isolation_forest_score, is_isolation_forest_anomaly FROM forest_scores""")
 def q_isolation_forest(spark, sf_dir):
-    """Forest score per machine-day (no SQL equivalent; checked by properties in tests)."""
+    """Forest score per machine-day; the SQL grows and walks the same forest."""
     f = features(spark, sf_dir).checkpoint(eager=True)
-    return isolation_forest(f, "machine_day_key", FEATURES, C.FOREST_TREES, C.FOREST_MAX_SAMPLES,
-                            C.FOREST_SEED, C.MIN_ROWS_FOR_FOREST).select(
-        "machine_day_key", "isolation_forest_score", "is_isolation_forest_anomaly")
+    return rounded(isolation_forest(f, "machine_day_key", FEATURES, C.FOREST_TREES, C.FOREST_MAX_SAMPLES,
+                                    C.FOREST_SEED, C.MIN_ROWS_FOR_FOREST).select(
+        "machine_day_key", "isolation_forest_score", "is_isolation_forest_anomaly"), ["isolation_forest_score"])
 
 
 @register("forest_min_rows", with_ctes("mart_quality_summary") + """
@@ -118,18 +126,51 @@ def q_forest_min_rows(spark, sf_dir):
         "product_code", "isolation_forest_score", "is_isolation_forest_anomaly")
 
 
-@register("anomaly_scores")
+_ANOMALY_SQL = f"""
+    SELECT z.*, round(isolation_forest_score, 6) AS isolation_forest_score, is_isolation_forest_anomaly, TIMESTAMP '{FIXED_SCORED_AT}' AS scored_at
+    FROM ({_z_sql('loo_frame')}) z JOIN forest_scores USING (machine_day_key)"""
+_SUMMARY_SQL = f"""
+    SELECT count(*) AS machine_days_scored, count(*) FILTER (is_baseline_anomaly) AS baseline_anomalies,
+           count(*) FILTER (is_isolation_forest_anomaly) AS isolation_forest_anomalies, count(*) >= 20 AS isolation_forest_ran
+    FROM ({_ANOMALY_SQL})"""
+
+
+@register("anomaly_scores", with_ctes("loo_frame", "forest_scores") + _ANOMALY_SQL)
 def q_anomaly_scores(spark, sf_dir):
     f = features(spark, sf_dir).checkpoint(eager=True)
-    return anomaly_scores(f, FIXED_SCORED_AT)
+    return rounded(anomaly_scores(f, FIXED_SCORED_AT), [*_DOUBLES, "isolation_forest_score"])
 
 
-@register("score_summary")
+@register("score_summary", with_ctes("loo_frame", "forest_scores") + _SUMMARY_SQL)
 def q_score_summary(spark, sf_dir):
     f = features(spark, sf_dir).checkpoint(eager=True)
     return score_summary(anomaly_scores(f, FIXED_SCORED_AT))
 
 
+@register("score_missing_mart", with_ctes("loo_frame", "forest_scores") + f"""
+    SELECT 'no mart' AS store, 0::BIGINT AS machine_days_scored, 0::BIGINT AS baseline_anomalies, 0::BIGINT AS isolation_forest_anomalies, false AS isolation_forest_ran
+    UNION ALL SELECT 'mart', * FROM ({_SUMMARY_SQL})""")
+def q_score_missing_mart(spark, sf_dir):
+    """Scoring through a store that has no mart yet, and again once the mart is there."""
+    store = TableStore(spark, scratch_path(spark, "missing-mart"))
+    none = score_anomalies(spark, store)
+    store.commit(store.write_parts(production_daily(spark, sf_dir), "mart_production_daily", "production_date"))
+    out = (none.select(F.lit("no mart").alias("store"), "*").unionByName(score_anomalies(spark, store).select(F.lit("mart").alias("store"), "*"))).checkpoint()
+    drop_scratch(spark, store.root)
+    return out
+
+
+@register("scoring_time", with_ctes("mart_production_daily") + """
+    SELECT count(*) AS machine_days, 1::BIGINT AS stamps, true AS within_the_run FROM mart_production_daily""")
+def q_scoring_time(spark, sf_dir):
+    """The stamp of a scoring run: one for all its rows, and between the run's start and end."""
+    now = lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    began = now()
+    scored = anomaly_scores(features(spark, sf_dir).checkpoint(eager=True)).checkpoint()
+    return scored.agg(F.count("*").alias("machine_days"), F.countDistinct("scored_at").alias("stamps"),
+                      F.min(F.col("scored_at").between(ntz_lit(began), ntz_lit(now()))).alias("within_the_run"))
+
+
 _CUT_OLD = _dt.date(2024, 1, 15)
 _CUT_NEW = _dt.date(2024, 1, 10)
 define_cte("mpd_old", "SELECT * FROM mart_production_daily WHERE production_date < DATE '2024-01-15'",
@@ -154,5 +195,7 @@ def q_upsert_scores(spark, sf_dir):
     for part in (f.filter(F.col("production_date") < F.lit(_CUT_OLD)),
                  f.filter(F.col("production_date") >= F.lit(_CUT_NEW))):
         store.upsert(anomaly_scores(part, FIXED_SCORED_AT),
-                     "anomaly_scores", ["machine_day_key"], C.ANOMALY_SCHEMA)
-    return rounded(store.read("anomaly_scores").select(*_BASELINE_COLS), _DOUBLES)
+                     "anomaly_scores", ["machine_day_key"], C.ANOMALY_SCHEMA, by="production_date")
+    out = rounded(store.read("anomaly_scores").select(*_BASELINE_COLS), _DOUBLES).checkpoint()
+    drop_scratch(spark, store.root)
+    return out

@@ -1,12 +1,13 @@
 """Distributed isolation forest (Liu, Ting & Zhou, ICDM 2008).
 
 Plan:
-  1. per-tree samples without replacement: every row draws a uniform number per tree
-     from a hash of (seed, tree, key); a tree's sample is its ``psi`` smallest draws.
+  1. per-tree samples without replacement: every row draws a number per tree, the md5 of (seed, tree, key);
+     a tree's sample is its ``psi`` smallest draws.
      Rows are pre-filtered to draws below an over-sampling bound before the shuffle,
      then ranked per tree (partial WindowGroupLimit), so only ~psi rows per tree move.
      Trees that would come up short are redrawn without the pre-filter (exact).
-  2. ``groupBy("tree").applyInPandas`` grows one tree per group (<= psi rows each).
+  2. ``groupBy("tree").applyInPandas`` grows one tree per group (<= psi rows each).  A node's feature and split point
+     are drawn from the md5 of (seed, tree, the node's path from the root), so any engine that has md5 grows the same forest.
   3. the forest (at most trees * (2*psi - 1) nodes, bounded by the parameters, not by
      the data) is broadcast and every row is scored by ``mapInPandas`` batch-wise.
 Deterministic for a seed, independent of row order and partitioning.
@@ -14,6 +15,7 @@ Deterministic for a seed, independent of row order and partitioning.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 
@@ -50,7 +52,15 @@ def average_path_length(n) -> np.ndarray:
     return out
 
 
-def grow_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int):
+DRAW_DIGITS = 13  # hexadecimal digits of an md5 that make a draw: whole numbers that doubles hold exactly
+
+
+def node_draw(seed: int, tree: int, what: str, path: str) -> int:
+    """A number of 4 * DRAW_DIGITS bits for a node, named by its turns (L, R) from the root."""
+    return int(hashlib.md5(f"{seed}|{tree}|{what}|{path}".encode()).hexdigest()[:DRAW_DIGITS], 16)
+
+
+def grow_tree(X: np.ndarray, seed: int, tree: int, max_depth: int):
     """Random isolation tree: at each node pick a feature uniformly among the non-constant
     ones and a threshold uniformly between its min and max; x <= threshold goes left.
     Leaves at max_depth, at one row, or when every feature is constant."""
@@ -65,33 +75,32 @@ def grow_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int):
         return len(feature) - 1
 
     root = new_node(len(X))
-    stack = [(root, np.arange(len(X)), 0)]
+    stack = [(root, np.arange(len(X)), "")]
     while stack:
-        nid, idx, depth = stack.pop()
-        if depth >= max_depth or len(idx) <= 1:
+        nid, idx, path = stack.pop()
+        if len(path) >= max_depth or len(idx) <= 1:
             continue
         sub = X[idx]
         lo, hi = sub.min(axis=0), sub.max(axis=0)
         cand = np.flatnonzero(hi > lo)
         if cand.size == 0:
             continue
-        f = int(cand[rng.integers(cand.size)])
-        t = float(rng.uniform(lo[f], hi[f]))
+        f = int(cand[node_draw(seed, tree, "feature", path) % cand.size])
+        t = float(lo[f] + node_draw(seed, tree, "split", path) / 16.0 ** DRAW_DIGITS * (hi[f] - lo[f]))
+        t = t if t < hi[f] else float(lo[f])  # rounded up to the maximum: both sides keep a row
         go_left = sub[:, f] <= t
         li, ri = idx[go_left], idx[~go_left]
-        if li.size == 0 or ri.size == 0:
-            continue
         feature[nid], threshold[nid] = f, t
         lnode, rnode = new_node(li.size), new_node(ri.size)
         left[nid], right[nid] = lnode, rnode
-        stack.append((rnode, ri, depth + 1))
-        stack.append((lnode, li, depth + 1))
+        stack.append((rnode, ri, path + "R"))
+        stack.append((lnode, li, path + "L"))
     return feature, threshold, left, right, size
 
 
-def _uniform(seed: int, tree, key) -> F.Column:
-    h = F.xxhash64(F.lit(seed), tree, key)
-    return F.shiftrightunsigned(h, 11).cast("double") / float(2 ** 53)
+def _draw(seed: int, tree, key) -> F.Column:
+    """A row's draw for a tree: 32 hexadecimal digits, whose order is that of the number."""
+    return F.md5(F.concat(F.lit(f"{seed}|"), tree.cast("string"), F.lit("|row|"), key.cast("string")).cast("binary"))
 
 
 def tree_samples(df: DataFrame, key: str, features: list[str], trees: int, psi: int, n: int,
@@ -101,10 +110,11 @@ def tree_samples(df: DataFrame, key: str, features: list[str], trees: int, psi:
     ids = F.array(*[F.lit(t) for t in only_trees]) if only_trees is not None else F.sequence(
         F.lit(0), F.lit(trees - 1))
     k = F.col(key)
-    chosen = F.filter(ids, lambda t: _uniform(seed, t, k) < F.lit(p)) if p < 1.0 else ids
+    below = f"{int(p * 16 ** DRAW_DIGITS):0{DRAW_DIGITS}x}"
+    chosen = F.filter(ids, lambda t: _draw(seed, t, k) < F.lit(below)) if p < 1.0 else ids
     cand = df.select(k, *[F.col(c).cast("double").alias(c) for c in features],
                      F.explode(chosen).alias("tree"))
-    cand = cand.withColumn("_u", _uniform(seed, F.col("tree"), k))
+    cand = cand.withColumn("_u", _draw(seed, F.col("tree"), k))
     return top_k_per_group(cand, ["tree"], [F.asc("_u"), F.asc(key)], psi, "_rank").drop("_rank", "_u")
 
 
@@ -112,8 +122,7 @@ def _fit_fn(features: list[str], seed: int, max_depth: int):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
         X = pdf[features].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
-        f, t, lft, rgt, sz = grow_tree(X, rng, max_depth)
+        f, t, lft, rgt, sz = grow_tree(X, seed, tree, max_depth)
         m = len(f)
         return pd.DataFrame({"tree": np.full(m, tree, dtype="int32"), "node": np.arange(m, dtype="int32"),
                              "feature": np.asarray(f, dtype="int32"), "threshold": np.asarray(t, dtype=float),

@@ -21,16 +21,11 @@ def mark_known(df: DataFrame, fk_col: str, parent_keys: DataFrame, parent_col: s
                flag: str, parent_unique: bool = True) -> DataFrame:
     """Add boolean ``flag``: does ``fk_col`` occur among ``parent_keys[parent_col]``?
 
-    A left join against the key column keeps accepted and rejected rows in one pass.
+    A left join against the key column keeps accepted and rejected rows in one pass; the planner broadcasts
+    the keys by its size check, or AQE splits the skewed partitions of ``df``.
     Stored parent keys are unique (primary key), so no de-duplication shuffle is needed;
-    pass ``parent_unique=False`` for an arbitrary key set.  The parents are first cut to
-    the keys that ``df`` names (combined before they are shuffled, so a hot key is one), a
-    join that may broadcast a small batch's keys instead of shuffling all parents.  What is
-    left is checkpointed, so that the flag's join has plain exchanges on both sides: the planner
-    broadcasts it by its size check, or AQE splits the skewed partitions of ``df``.
+    pass ``parent_unique=False`` for an arbitrary key set.
     """
-    named = df.select(F.col(fk_col).alias("_named")).distinct()
-    parent_keys = parent_keys.join(named, parent_keys[parent_col] == named["_named"], "left_semi").checkpoint()
     keys = parent_keys.select(F.col(parent_col).alias("_parent_key"))
     if not parent_unique:
         keys = keys.dropDuplicates(["_parent_key"])
@@ -40,6 +35,15 @@ def mark_known(df: DataFrame, fk_col: str, parent_keys: DataFrame, parent_col: s
         "_parent_key", "_parent_hit")
 
 
+def named_keys(df: DataFrame, fk_col: str, parent_keys: DataFrame, parent_col: str) -> DataFrame:
+    """The parent keys that ``df`` names, checkpointed: for a batch that is small beside all parents.
+
+    The batch's keys are combined before they are shuffled, so a hot key is one, and the join may broadcast them instead of
+    shuffling all parents.  ``df`` is scanned for its key column alone, so it should be stored, not computed."""
+    named = df.select(F.col(fk_col).alias("_named")).distinct()
+    return parent_keys.join(named, parent_keys[parent_col] == named["_named"], "left_semi").select(parent_col).checkpoint()
+
+
 def route_valid(classified: DataFrame, reason_col: str = "_reason") -> DataFrame:
     return classified.filter(F.col(reason_col).isNull())
 

@@ -28,7 +28,7 @@ from forgeline.functions import (
     row_reference,
 )
 from forgeline.operators.dedup import first_per_key, insert_if_absent
-from forgeline.operators.validate import first_failure, mark_known
+from forgeline.operators.validate import first_failure, mark_known, named_keys
 from forgeline.sources.csv import EXTRA
 from forgeline.sources.store import TableStore
 
@@ -171,17 +171,28 @@ def _parent_keys(store: TableStore, table: str) -> DataFrame:
     return store.keys(table, [pk], C.RAW_SCHEMAS[table])
 
 
+#: The foreign key of a table: its column, the parent table and the parent's key.
+PARENT = {"production_events": ("machine_id", "machines", "machine_id"), "quality_checks": ("production_event_id", "production_events", "event_id"),
+          "maintenance_events": ("machine_id", "machines", "machine_id")}
+
+
 def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str, batch_id: str,
                  loaded_at: _dt.datetime) -> dict:
     """Validate ``raw`` (text columns + _file/_pos), append new valid rows and new
     quarantine rows; return the counters (inserted, skipped_duplicate, quarantined)."""
     spark = store.spark
-    parents = {p: _parent_keys(store, p) for p in ("machines", "production_events")}
+    # The batch is parsed once into the shared store: its keys and its classification are read from there,
+    # and so is what lost executors computed.
+    parsed_name, stage_name = f"_staging/{batch_id}-{table}-parsed", f"_staging/{batch_id}-{table}"
+    raw.write.mode("overwrite").parquet(store.path(parsed_name))
+    raw = spark.read.parquet(store.path(parsed_name))
+    parents = {}
+    if table in PARENT:
+        fk, parent, key = PARENT[table]
+        parents[parent] = named_keys(raw, fk, _parent_keys(store, parent), key)
     classified = classify(table, raw, parents)
 
-    # Materialize the classification once in the shared store: both outputs are cut
-    # from the same rows, and lost executors recompute from this file, not the source.
-    stage_name = f"_staging/{batch_id}-{table}"
+    # Both outputs are cut from the same classified rows.
     stage = store.path(stage_name)
     counts = Observation(f"classified_{table}_{uuid.uuid4().hex[:6]}")
     (classified.observe(counts, F.count(F.lit(1)).alias("rows"),
@@ -213,8 +224,9 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
             qobs, F.count(F.lit(1)).alias("n")), "quarantine", lambda: qobs.get["n"])
         quarantined = qobs.get["n"]
 
-    # both outputs are committed; the staged copy of the batch is no longer read
+    # both outputs are committed; the staged copies of the batch are no longer read
     store.drop(stage_name)
+    store.drop(parsed_name)
     stats = {"inserted": inserted, "skipped_duplicate": valid - inserted, "quarantined": quarantined}
     log.info(json.dumps({"event": "table_ingested", "table": table, "batch_id": batch_id, **stats}))
     return stats

@@ -41,7 +41,7 @@ def anomaly_scores(features: DataFrame, scored_at: _dt.datetime | None = None, t
                    min_rows: int = C.MIN_ROWS_FOR_FOREST) -> DataFrame:
     """Baseline + forest per machine-day in the anomaly table layout."""
     scored_at = scored_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    base = baseline_scores(features)
+    base = baseline_scores(features).checkpoint(eager=True)  # read for the count, the samples and the scores
     both = isolation_forest(base, "machine_day_key", FEATURES, trees, max_samples, seed, min_rows)
     return both.select(
         "machine_day_key", "machine_id", "production_date", "total_quantity",

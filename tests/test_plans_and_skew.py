@@ -19,12 +19,13 @@ from forgeline import registry
 from forgeline.operators.dedup import first_per_key, insert_if_absent
 from forgeline.operators.quality import dq_relationships_count
 from forgeline.operators.topk import count_per_key, latest_per_key
-from forgeline.operators.validate import mark_known
+from forgeline.operators.validate import mark_known, named_keys
 from forgeline.operators.zscore import loo_frame, loo_zscore
 
 # queries whose construction writes tables or runs jobs (checked elsewhere)
 SIDE_EFFECTS = {"ingest_dataset", "ingest_rerun", "stream_ingest", "daily_run", "daily_run_scored", "csv_roundtrip",
-                "isolation_forest", "anomaly_scores", "score_summary", "upsert_scores", "forest_min_rows"}
+                "isolation_forest", "anomaly_scores", "score_summary", "upsert_scores", "forest_min_rows", "score_missing_mart", "scoring_time",
+                "refresh_production_daily", "refresh_quality_summary", "refresh_machine_downtime", "drop_folder_rows"}
 
 
 def _plan(df) -> str:
@@ -262,6 +263,23 @@ def test_a_small_batch_does_not_shuffle_history(spark, tmp_path):
         plan = _plan(new)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    below = plan[plan.index("LeftSemi"):]  # from the join that cuts the stored keys down to their scan
-    assert "BroadcastHashJoin" in plan[:plan.index("LeftSemi")].splitlines()[-1]
-    assert "hashpartitioning" not in below[:below.index("/stored")]
+    lines = plan.splitlines()
+    cut = next(i for i, x in enumerate(lines) if "LeftSemi" in x)  # the join that cuts the stored keys down
+    scan = next(i for i in range(cut + 1, len(lines)) if "FileScan parquet" in lines[i])  # its streamed side: the stored keys
+    assert "BroadcastHashJoin" in lines[cut] and "BuildRight" in lines[cut]
+    assert "ReadSchema: struct<key:string>" in lines[scan] and not any("Exchange" in x for x in lines[cut:scan])
+
+
+def test_a_batch_names_few_parents(spark, tmp_path):
+    """The keys that an ingest marks against are those that its batch names, and a mark alone runs no job."""
+    spark.range(100000).selectExpr("concat('K', id) AS key").write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    batch = spark.createDataFrame([(f"K{99990 + i % 20}", i) for i in range(500)] + [(None, 1)], "fk string, id long")
+    assert sorted(r["key"] for r in named_keys(batch, "fk", stored, "key").collect()) == [f"K{99990 + i}" for i in range(10)]
+    marked = mark_known(batch, "fk", named_keys(batch, "fk", stored, "key"), "key", "ok")
+    assert marked.where("ok").count() == 250 and marked.count() == 501
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("marks", "marks")
+    mark_known(batch, "fk", stored, "key", "ok")
+    assert not tracker.getJobIdsForGroup("marks")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -145,18 +145,17 @@ def _brute_force_forest_scores(spark, df, key, features, trees, psi, seed):
     tree, trees grown in-process, and a recursive walk per row."""
     import numpy as np
 
-    from forgeline.operators.iforest import _uniform, grow_tree
+    from forgeline.operators.iforest import _draw, grow_tree
 
     draws = (df.select(key, *features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-             .withColumn("u", _uniform(seed, F.col("tree"), F.col(key))).toPandas())
+             .withColumn("u", _draw(seed, F.col("tree"), F.col(key))).toPandas())
     pdf = df.select(key, *features).toPandas()
     X_all = pdf[features].to_numpy(dtype=float)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     depth_sum = np.zeros(len(pdf))
     for t in range(trees):
         sample = draws[draws["tree"] == t].sort_values(["u", key]).head(psi)
-        feat, thr, left, right, size = grow_tree(sample[features].to_numpy(dtype=float),
-                                                 np.random.default_rng([seed, t]), max_depth)
+        feat, thr, left, right, size = grow_tree(sample[features].to_numpy(dtype=float), seed, t, max_depth)
 
         def walk(x, node=0, depth=0):
             if feat[node] < 0:
