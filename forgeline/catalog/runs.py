@@ -159,8 +159,7 @@ define_cte("winner_peers", """
 
 
 define_cte("winner_checks", """
-    SELECT production_event_id, check_id, result FROM (
-        SELECT * FROM checks_classified WHERE reason IS NULL QUALIFY row_number() OVER (PARTITION BY check_id ORDER BY ord) = 1)
+    SELECT production_event_id, check_id, result FROM checks_classified WHERE reason IS NULL
     QUALIFY row_number() OVER (PARTITION BY production_event_id ORDER BY parsed_ts DESC, check_id DESC) = 1""", ["checks_classified"])
 define_cte("winner_features", """
     SELECT machine_id || '_' || CAST(day AS VARCHAR) AS machine_day_key, CAST(sum(quantity) AS BIGINT) AS total_quantity,
