@@ -166,9 +166,10 @@ def stamp_lineage(df: DataFrame, source_file: str, batch_id: str, ingested_at: _
 # ---------------------------------------------------------------------------
 # Table and dataset ingest against a TableStore
 # ---------------------------------------------------------------------------
-def _parent_keys(store: TableStore, table: str) -> DataFrame:
+def _stored_keys(store: TableStore, table: str, among: DataFrame) -> DataFrame:
+    """The stored primary keys of the batches that may hold some of the keys in ``among``."""
     pk = C.PRIMARY_KEY[table]
-    return store.keys(table, [pk], C.RAW_SCHEMAS[table])
+    return store.keys(table, [pk], C.RAW_SCHEMAS[table], among)
 
 
 #: The foreign key of a table: its column, the parent table and the parent's key.
@@ -189,7 +190,8 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
     parents = {}
     if table in PARENT:
         fk, parent, key = PARENT[table]
-        parents[parent] = named_keys(raw, fk, _parent_keys(store, parent), key)
+        named = raw.select(F.col(fk).alias(key)).where(F.col(key).isNotNull())
+        parents[parent] = named_keys(raw, fk, _stored_keys(store, parent, named), key)
     classified = classify(table, raw, parents)
 
     # Both outputs are cut from the same classified rows.
@@ -205,10 +207,10 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
     if valid:  # an all-rejected batch never touches the stored keys
         pk = C.PRIMARY_KEY[table]
         winners = first_per_key(staged.filter(F.col("_reason").isNull()), [pk], ORDER_COLS)
-        new_rows = insert_if_absent(winners, _parent_keys(store, table), [pk])
+        new_rows = insert_if_absent(winners, _stored_keys(store, table, staged.filter(F.col("_reason").isNull())), [pk])
         new_rows = stamp_lineage(new_rows.select(*typed_columns(table)), source_file, batch_id, loaded_at)
         ins = Observation(f"inserted_{table}_{uuid.uuid4().hex[:6]}")
-        store.append(new_rows.observe(ins, F.count(F.lit(1)).alias("n")), table, lambda: ins.get["n"])
+        store.append(new_rows.observe(ins, F.count(F.lit(1)).alias("n")), table, lambda: ins.get["n"], key=[pk])
         inserted = ins.get["n"]
 
     quarantined = 0

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forgeline.sources import sketch as K
+
 COMMITTED = "at long, table string, part string, folder string"
 Commit = tuple[str, str, str]  # table, part, folder
 
@@ -100,9 +102,20 @@ class TableStore:
             raise FileNotFoundError(f"table {table} does not exist under {self.root}")
         return self.read_folders(folders, schema)
 
-    def keys(self, table: str, cols: list[str], schema: T.StructType | None = None) -> DataFrame:
-        """Key-only scan (column pruning reads just these columns)."""
-        return self.read(table, schema).select(*cols)
+    def keys(self, table: str, cols: list[str], schema: T.StructType | None = None, among: DataFrame | None = None) -> DataFrame:
+        """Key-only scan (column pruning reads just these columns).
+
+        ``among``: rows whose keys (columns of the same names) are asked for; batches whose sketch holds none of them are
+        not opened.  A few batches are scanned without asking."""
+        folders = self.state(table)
+        if among is not None and len(folders) > 1:
+            folders = self._may_hold(folders, among, cols)
+        return self.read_folders(folders, schema).select(*cols)
+
+    def _may_hold(self, folders: list[str], among: DataFrame, cols: list[str]) -> list[str]:
+        sketched = [f for f in folders if K.FOLDER in self._names(f)]
+        held = K.may_hold(self.spark.read.schema(K.WORDS).parquet(*(self.path(f"{f}/{K.FOLDER}") for f in sketched)), among, cols) if sketched else []
+        return [f for f in folders if f in held or f not in sketched]
 
     # -- writing -----------------------------------------------------------------------
     def write_data(self, df: DataFrame, table: str) -> str:
@@ -120,13 +133,17 @@ class TableStore:
         df.withColumn("_part", part).hint("rebalance", "_part").write.mode("errorifexists").partitionBy("_part").parquet(self.path(folder))
         return [(table, n[len("_part="):], f"{folder}/{n}") for n in self._names(folder) if n.startswith("_part=")]
 
-    def append(self, df: DataFrame, table: str, rows: Callable[[], int] | None = None) -> None:
-        """Add rows to a table.  ``rows`` tells, after the write, how many there were: none changes nothing."""
+    def append(self, df: DataFrame, table: str, rows: Callable[[], int] | None = None, key: list[str] | None = None) -> None:
+        """Add rows to a table.  ``rows`` tells, after the write, how many there were: none changes nothing.
+
+        ``key``: the columns to sketch, where the number of rows is known."""
         folder = self.write_data(df, table)
         if rows is not None and not rows():
             self.drop(folder)
-        else:
-            self.commit([(table, folder, folder)])
+            return
+        if rows is not None and key:
+            K.sketch(self.read_folders([folder]), key, rows(), folder).write.parquet(self.path(f"{folder}/{K.FOLDER}"))
+        self.commit([(table, folder, folder)])
 
     def overwrite(self, df: DataFrame, table: str) -> None:
         """Rewrite a table of one part."""
