@@ -1,5 +1,5 @@
 """Declarative data-quality tests.  Each test returns the offending rows (empty = pass);
-``dq_report`` runs a whole suite and counts violations per test in one Spark job."""
+``dq_report`` runs a whole suite and counts violations per test in one Spark job and one exchange of values."""
 
 from __future__ import annotations
 
@@ -44,14 +44,20 @@ def dq_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(values))
 
 
+def _rate_out_of_bounds():
+    return F.col("defect_rate").isNotNull() & ((F.col("defect_rate") < 0) | (F.col("defect_rate") > 1))
+
+
+def _no_total():
+    return F.col("total_quantity") <= 0
+
+
 def dq_defect_rate_bounds(mart: DataFrame) -> DataFrame:
-    return (mart.filter(F.col("defect_rate").isNotNull()
-                        & ((F.col("defect_rate") < 0) | (F.col("defect_rate") > 1)))
-            .select("production_day_id", "machine_id", "defect_rate"))
+    return mart.filter(_rate_out_of_bounds()).select("production_day_id", "machine_id", "defect_rate")
 
 
 def dq_positive_total(mart: DataFrame) -> DataFrame:
-    return mart.filter(F.col("total_quantity") <= 0).select("production_day_id", "machine_id", "total_quantity")
+    return mart.filter(_no_total()).select("production_day_id", "machine_id", "total_quantity")
 
 
 @dataclass(frozen=True)
@@ -81,59 +87,73 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("violations", T.LongType(), False),
 ])
 
+#: The rows that violate a singular assertion.
 SINGULAR = {
-    "assert_defect_rate_within_bounds": dq_defect_rate_bounds,
-    "assert_positive_total_quantity": dq_positive_total,
+    "assert_defect_rate_within_bounds": _rate_out_of_bounds,
+    "assert_positive_total_quantity": _no_total,
 }
 
 
-def _meta(t: DQTest):
-    return [F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("test_type"),
-            F.lit(t.relation).alias("relation"), F.lit(t.column).cast("string").alias("column_name"),
-            F.lit(t.severity).alias("severity"), F.lit(",".join(t.tags)).alias("tags")]
+def _violates(t: DQTest):
+    """Does a row violate a test that looks at one row at a time?"""
+    if t.kind == "singular":
+        return SINGULAR[t.name]()
+    c = F.col(t.column)
+    return c.isNull() if t.kind == "not_null" else c.isNotNull() & ~c.isin(list(t.values))
 
 
-def _count_rows(bad: DataFrame) -> DataFrame:
-    return bad.agg(F.count(F.lit(1)).alias("violations"))
+def _domains(tests: list[DQTest]) -> list[list[tuple[str, str]]]:
+    """The key columns (relation, column) of the unique and relationship tests; columns that a relationship ties share a list."""
+    domain: dict[tuple[str, str], list] = {}
+    for t in tests:
+        if t.kind in ("unique", "relationships"):
+            own = domain.setdefault((t.relation, t.column), [(t.relation, t.column)])
+            if t.kind == "relationships":
+                other = domain.setdefault((t.to, t.field), [(t.to, t.field)])
+                if own is not other:
+                    own += other
+                    domain |= dict.fromkeys(other, own)
+    return list({id(d): d for d in domain.values()}.values())
 
 
 def dq_report(tests: list[DQTest], relations: dict[str, DataFrame]) -> DataFrame:
     """Violation count per test, as one DataFrame (one Spark job).
 
-    NOT NULL and accepted-values tests of a relation fold into a single aggregation
-    pass (one ``count_if`` per test); unique tests are one partial aggregate each;
-    relationship tests anti-join the distinct child values (pre-counted) with the
-    parent keys.  Tests over relations with a common lineage share their exchanges
-    (the union is one plan, so identical sub-plans are reused)."""
-    parts: list[DataFrame] = []
-    folded: dict[str, list[DQTest]] = {}
-    for t in tests:
-        if t.kind in ("not_null", "accepted_values"):
-            folded.setdefault(t.relation, []).append(t)
-    for rel, ts in folded.items():
-        conds = []
-        for t in ts:
-            c = F.col(t.column)
-            pred = c.isNull() if t.kind == "not_null" else (c.isNotNull() & ~c.isin(list(t.values)))
-            conds.append(F.count_if(pred).alias(f"_t{len(conds)}"))
-        counts = relations[rel].agg(*conds)
-        stack = F.explode(F.array(*[
-            F.struct(*_meta(t), F.col(f"_t{i}").alias("violations")) for i, t in enumerate(ts)]))
-        parts.append(counts.select(stack.alias("r")).select("r.*"))
-    for t in tests:
-        if t.kind == "unique":
-            counted = _count_rows(dq_unique(relations[t.relation].select(t.column), t.column))
-        elif t.kind == "relationships":
-            counted = dq_relationships_count(relations[t.relation], t.column, relations[t.to], t.field)
-        elif t.kind == "singular":
-            counted = _count_rows(SINGULAR[t.name](relations[t.relation]))
+    Every relation is read once and stacked into rows (domain, value, place): a row for each value of a key column, and one for
+    each violation of a test that looks at one row at a time.  Key columns that relationships tie form a domain, in which each
+    has a place.  One aggregate over all relations counts a domain's values by place, combined before it is shuffled, so a value
+    that a large share of the rows has is one row of each task.  A value with a count over 1 violates the uniqueness of its
+    place, and the rows of a child's place violate a relationship where the parent's place has none."""
+    domains = _domains(tests)
+    place = {column: (d, i) for d, columns in enumerate(domains) for i, column in enumerate(columns)}
+    stacks: dict[str, list] = {}
+    row = lambda domain, value, at: F.struct(F.lit(domain).alias("domain"), value.cast("string").alias("value"), F.lit(at).alias("place"))
+    for (relation, column), (d, i) in place.items():
+        stacks.setdefault(relation, []).append(F.when(F.col(column).isNotNull(), row(d, F.col(column), i)))
+    per_domain: list[tuple[int, int, str]] = []  # domain, test, its violations among the domain's values
+    for t, test in enumerate(tests):
+        d = len(domains) + t
+        if test.kind in ("unique", "relationships"):
+            d, i = place[test.relation, test.column]
+            per_domain.append((d, t, f"count_if(n{i} > 1)" if test.kind == "unique" else f"sum(if(n{place[test.to, test.field][1]} = 0, n{i}, 0))"))
         else:
-            continue
-        parts.append(counted.select(*_meta(t), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*[f.name for f in REPORT_SCHEMA.fields])
+            stacks.setdefault(test.relation, []).append(F.when(_violates(test), row(d, F.lit(None), 0)))
+            per_domain.append((d, t, "sum(n0)"))
+    stacked = None
+    for relation, entries in stacks.items():
+        part = relations[relation].select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("x")).select("x.*")
+        stacked = part if stacked is None else stacked.unionByName(part)
+    places = range(max([len(d) for d in domains], default=1))
+    values = stacked.groupBy("domain", "value").agg(*(F.count_if(F.col("place") == i).alias(f"n{i}") for i in places))
+    measures = sorted({m for _, _, m in per_domain})
+    counts = values.groupBy("domain").agg(*(F.expr(m).alias(f"m{i}") for i, m in enumerate(measures)))
+    found = F.array(*(F.struct(F.lit(d).alias("of"), F.lit(t).alias("test"), F.col(f"m{measures.index(m)}").alias("violations")) for d, t, m in per_domain))
+    by_test = counts.select(F.explode(F.filter(found, lambda x: x["of"] == F.col("domain"))).alias("x")).select("x.test", "x.violations")
+    meta = relations[tests[0].relation].sparkSession.createDataFrame(
+        [(i, t.name, t.kind, t.relation, t.column, t.severity, ",".join(t.tags)) for i, t in enumerate(tests)],
+        "test int, test_name string, test_type string, relation string, column_name string, severity string, tags string")
+    return (meta.join(F.broadcast(by_test), "test", "left")  # a row for a test
+            .select(*(F.col(f.name) if f.name != "violations" else F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations") for f in REPORT_SCHEMA.fields)))
 
 
 def dq_gate(report: DataFrame) -> DataFrame:
