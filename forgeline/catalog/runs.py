@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,11 @@ from forgeline import contracts as C
 from forgeline.catalog.base import define_cte, register, rounded, with_ctes
 from forgeline.catalog.forest_sql import forest_sql
 from forgeline.catalog.ingest import FIXED_SOURCE
+from forgeline.catalog.scoring import BASELINE_COLS, BASELINE_DOUBLES, z_sql
 from forgeline.operators.topk import latest_per_key, merge_latest
 from forgeline.plans.daily import run_daily
 from forgeline.plans.refresh import refresh_models
-from forgeline.plans.scoring import FEATURES
+from forgeline.plans.scoring import FEATURES, baseline_of_days
 from forgeline.session import drop_scratch, scratch_path
 from forgeline.sources import bindings as B
 from forgeline.sources.csv import read_csv, read_dataset, write_csv
@@ -79,8 +82,8 @@ def q_drop_folder_rows(spark, sf_dir):
     return out
 
 
-def _refreshed(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
-    """A mart after two batches of the raw tables and a refresh after each.
+def _refreshed(spark: SparkSession, sf_dir: str, result) -> DataFrame:
+    """A result of the store after two batches of the raw tables and a refresh after each.
 
     The second batch has the later events and, besides their checks, every third check of the first batch's events: they come
     late, and change the newest check of days that are stored."""
@@ -98,7 +101,7 @@ def _refreshed(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
         for table, df in batch.items():
             store.append(df, table)
         refresh_models(store)
-    out = store.read(mart).checkpoint()
+    out = result(store).checkpoint()
     drop_scratch(spark, store.root)
     return out
 
@@ -106,13 +109,13 @@ def _refreshed(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
 @register("refresh_production_daily", with_ctes("mart_production_daily") + "SELECT * FROM mart_production_daily")
 def q_refresh_production_daily(spark, sf_dir):
     """The daily mart as two refreshes leave it: equal to a full rebuild."""
-    return _refreshed(spark, sf_dir, "mart_production_daily")
+    return _refreshed(spark, sf_dir, lambda store: store.read("mart_production_daily"))
 
 
 @register("refresh_quality_summary", with_ctes("mart_quality_summary") + "SELECT * FROM mart_quality_summary")
 def q_refresh_quality_summary(spark, sf_dir):
     """Quality by product as the sum of the stored daily counts."""
-    return _refreshed(spark, sf_dir, "mart_quality_summary")
+    return _refreshed(spark, sf_dir, lambda store: store.read("mart_quality_summary"))
 
 
 @register("refresh_machine_downtime", with_ctes("mart_machine_downtime") + """
@@ -120,7 +123,14 @@ def q_refresh_quality_summary(spark, sf_dir):
     FROM mart_machine_downtime""")
 def q_refresh_machine_downtime(spark, sf_dir):
     """Downtime with the machines of the second batch made anew."""
-    return rounded(_refreshed(spark, sf_dir, "mart_machine_downtime"), ["total_downtime_hours"])
+    return rounded(_refreshed(spark, sf_dir, lambda store: store.read("mart_machine_downtime")), ["total_downtime_hours"])
+
+
+@register("moments_loo_zscore", with_ctes("loo_frame") + f"SELECT * FROM ({z_sql('loo_frame')}) WHERE production_date >= DATE '2024-01-10' AND production_date < DATE '2024-02-10'")
+def q_moments_loo_zscore(spark, sf_dir):
+    """Baseline scores of a month's days from those days of the mart and each machine's stored moments over all days."""
+    days = [str(_dt.date(2024, 1, 10) + _dt.timedelta(days=i)) for i in range(31)]
+    return _refreshed(spark, sf_dir, lambda store: rounded(baseline_of_days(store, days).select(*BASELINE_COLS), BASELINE_DOUBLES))
 
 
 @register("merge_latest_check", with_ctes("newest_check") + """

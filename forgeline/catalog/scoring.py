@@ -27,9 +27,9 @@ from forgeline.session import drop_scratch, scratch_path
 from forgeline.sources.store import TableStore
 
 FIXED_SCORED_AT = _dt.datetime(2026, 1, 3, 0, 0, 0)
-_BASELINE_COLS = ["machine_day_key", "machine_id", "production_date", "total_quantity",
+BASELINE_COLS = ["machine_day_key", "machine_id", "production_date", "total_quantity",
                   "baseline_mean", "baseline_stddev", "baseline_z_score", "is_baseline_anomaly"]
-_DOUBLES = ["baseline_mean", "baseline_stddev", "baseline_z_score"]
+BASELINE_DOUBLES = ["baseline_mean", "baseline_stddev", "baseline_z_score"]
 
 
 def features(spark, sf_dir):
@@ -46,7 +46,7 @@ _LOO_SQL = """
     WINDOW w AS (PARTITION BY machine_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING EXCLUDE CURRENT ROW)"""
 
 
-def _z_sql(src_cte: str) -> str:
+def z_sql(src_cte: str) -> str:
     return f"""
     SELECT machine_day_key, machine_id, production_date, x AS total_quantity,
            round(mean, 6) AS baseline_mean, round(sd, 6) AS baseline_stddev,
@@ -96,9 +96,9 @@ def q_loo_peers(spark, sf_dir):
                             6).alias("peer_mean"))
 
 
-@register("loo_zscore", with_ctes("loo_frame") + _z_sql("loo_frame"))
+@register("loo_zscore", with_ctes("loo_frame") + z_sql("loo_frame"))
 def q_loo_zscore(spark, sf_dir):
-    return rounded(baseline_scores(features(spark, sf_dir)).select(*_BASELINE_COLS), _DOUBLES)
+    return rounded(baseline_scores(features(spark, sf_dir)).select(*BASELINE_COLS), BASELINE_DOUBLES)
 
 
 @register("isolation_forest", with_ctes("forest_scores") + """
@@ -128,7 +128,7 @@ def q_forest_min_rows(spark, sf_dir):
 
 _ANOMALY_SQL = f"""
     SELECT z.*, round(isolation_forest_score, 6) AS isolation_forest_score, is_isolation_forest_anomaly, TIMESTAMP '{FIXED_SCORED_AT}' AS scored_at
-    FROM ({_z_sql('loo_frame')}) z JOIN forest_scores USING (machine_day_key)"""
+    FROM ({z_sql('loo_frame')}) z JOIN forest_scores USING (machine_day_key)"""
 _SUMMARY_SQL = f"""
     SELECT count(*) AS machine_days_scored, count(*) FILTER (is_baseline_anomaly) AS baseline_anomalies,
            count(*) FILTER (is_isolation_forest_anomaly) AS isolation_forest_anomalies, count(*) >= 20 AS isolation_forest_ran
@@ -138,7 +138,7 @@ _SUMMARY_SQL = f"""
 @register("anomaly_scores", with_ctes("loo_frame", "forest_scores") + _ANOMALY_SQL)
 def q_anomaly_scores(spark, sf_dir):
     f = features(spark, sf_dir).checkpoint(eager=True)
-    return rounded(anomaly_scores(f, FIXED_SCORED_AT), [*_DOUBLES, "isolation_forest_score"])
+    return rounded(anomaly_scores(f, FIXED_SCORED_AT), [*BASELINE_DOUBLES, "isolation_forest_score"])
 
 
 @register("score_summary", with_ctes("loo_frame", "forest_scores") + _SUMMARY_SQL)
@@ -182,9 +182,9 @@ define_cte("loo_new", _LOO_SQL.format(src="mpd_new"), ["mpd_new"])
 
 
 @register("upsert_scores", with_ctes("loo_old", "loo_new") + f"""
-    SELECT * FROM ({_z_sql('loo_old')}) WHERE production_date < DATE '2024-01-10'
+    SELECT * FROM ({z_sql('loo_old')}) WHERE production_date < DATE '2024-01-10'
     UNION ALL
-    {_z_sql('loo_new')}""")
+    {z_sql('loo_new')}""")
 def q_upsert_scores(spark, sf_dir):
     """Scores of days before Jan 15 written first, then scores of days from Jan 10 (each
     scored within its own window, forest included) upserted: overlapping days take the
@@ -196,6 +196,6 @@ def q_upsert_scores(spark, sf_dir):
                  f.filter(F.col("production_date") >= F.lit(_CUT_NEW))):
         store.upsert(anomaly_scores(part, FIXED_SCORED_AT),
                      "anomaly_scores", ["machine_day_key"], C.ANOMALY_SCHEMA, by="production_date")
-    out = rounded(store.read("anomaly_scores").select(*_BASELINE_COLS), _DOUBLES).checkpoint()
+    out = rounded(store.read("anomaly_scores").select(*BASELINE_COLS), BASELINE_DOUBLES).checkpoint()
     drop_scratch(spark, store.root)
     return out

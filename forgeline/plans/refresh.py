@@ -4,7 +4,8 @@ The enriched events are kept by production day, each with the newest check it ha
 a state that merges: a batch's checks are reduced by themselves and meet the stored row of their event (``merge_latest``),
 so old checks are never read again.  From a batch come the days it touches (those of its events, and of the stored events that
 its checks name), and only these days of the enriched events, the daily mart and the daily quality counts are read and
-replaced.  Quality by product is the sum of its daily counts; downtime is made anew for the machines that the batch names.
+replaced.  Quality by product is the sum of its daily counts; downtime is made anew for the machines that the batch names; the
+moments of each machine's daily quantities, which the baseline scores need, lose the replaced days and gain the new ones.
 
 All that a refresh wrote, and the raw batches it has seen, are committed at once.  A refresh that dies before leaves
 the earlier models current, and the next one starts from the same batches again.
@@ -21,7 +22,9 @@ from forgeline.operators.topk import merge_latest
 from forgeline.plans import intermediate as I
 from forgeline.plans import marts as M
 from forgeline.plans import staging as S
+from forgeline.operators.zscore import group_moments, merge_moments
 from forgeline.plans.models import MARTS, build_models
+from forgeline.plans.scoring import MOMENTS
 from forgeline.sources.store import TableStore
 
 SEEN = "models_seen"  # the raw batches that the models hold
@@ -80,7 +83,8 @@ def refresh_models(store: TableStore) -> list[str]:
         made = store.write_parts(merged_events(store.read(ENRICHED, ENRICHED_SCHEMA, days), events, checks), ENRICHED, DAY)
         touched = store.read_folders([folder for _, _, folder in made])
         counts = store.write_parts(M.quality_counts(touched, DAY, "product_code"), "quality_by_day", DAY)
-        commits += made + counts + store.write_parts(M.mart_production_daily(I.daily_summary_from_enriched(touched)), "mart_production_daily", DAY)
+        daily = store.write_parts(M.mart_production_daily(I.daily_summary_from_enriched(touched)), "mart_production_daily", DAY)
+        commits += made + counts + daily + [(MOMENTS, "", store.write_data(_moments(store, store.read_folders([folder for _, _, folder in daily]), days), MOMENTS))]
         every = store.parts("quality_by_day") | {part: folder for _, part, folder in counts}
         total = store.read_folders(list(every.values())).groupBy("product_code").agg(*(F.sum(c).alias(c) for c in M.QUALITY_COUNTS))
         commits.append(("mart_quality_summary", "", store.write_data(M.quality_rates(total), "mart_quality_summary")))
@@ -91,6 +95,15 @@ def refresh_models(store: TableStore) -> list[str]:
     return days
 
 
+def _moments(store: TableStore, daily: DataFrame, days: list[str]) -> DataFrame:
+    """The stored moments, without the days that are replaced, and with those that replace them."""
+    made = group_moments(daily, "machine_id", "total_quantity")
+    if not store.exists(MOMENTS):
+        return made
+    before = store.read("mart_production_daily", daily.schema, days)
+    return merge_moments(store.read(MOMENTS), group_moments(before, "machine_id", "total_quantity", -1), made)
+
+
 def _downtime(store: TableStore, machines: DataFrame, new: dict[str, DataFrame]) -> DataFrame:
     """The downtime mart: made anew for the machines that the batch names, kept for the others."""
     named = new["machines"].select("machine_id").unionByName(new["maintenance_events"].select("machine_id")).distinct()

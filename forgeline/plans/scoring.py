@@ -32,8 +32,16 @@ def machine_day_features(mart: DataFrame) -> DataFrame:
     )
 
 
-def baseline_scores(features: DataFrame, threshold: float = C.BASELINE_Z_THRESHOLD) -> DataFrame:
-    return loo_zscore(features, "machine_id", "total_quantity", threshold)
+MOMENTS = "machine_moments"  # per machine: rows, sum and sum of squares of its daily quantities, kept by the refresh
+
+
+def baseline_scores(features: DataFrame, threshold: float = C.BASELINE_Z_THRESHOLD, moments: DataFrame | None = None) -> DataFrame:
+    return loo_zscore(features, "machine_id", "total_quantity", threshold, moments=moments)
+
+
+def baseline_of_days(store: TableStore, days: list[str]) -> DataFrame:
+    """Baseline scores of some days' machine-days against all days: reads those days of the mart, and the stored moments."""
+    return baseline_scores(machine_day_features(store.read("mart_production_daily", parts=days)), moments=store.read(MOMENTS))
 
 
 def anomaly_scores(features: DataFrame, scored_at: _dt.datetime | None = None, trees: int = C.FOREST_TREES,

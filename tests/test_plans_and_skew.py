@@ -25,7 +25,7 @@ from forgeline.operators.zscore import loo_frame, loo_zscore
 # queries whose construction writes tables or runs jobs (checked elsewhere)
 SIDE_EFFECTS = {"ingest_dataset", "ingest_rerun", "stream_ingest", "daily_run", "daily_run_scored", "csv_roundtrip",
                 "isolation_forest", "anomaly_scores", "score_summary", "upsert_scores", "forest_min_rows", "score_missing_mart", "scoring_time",
-                "refresh_production_daily", "refresh_quality_summary", "refresh_machine_downtime", "drop_folder_rows"}
+                "refresh_production_daily", "refresh_quality_summary", "refresh_machine_downtime", "drop_folder_rows", "moments_loo_zscore"}
 
 
 def _plan(df) -> str:

@@ -10,6 +10,7 @@ from forgeline import contracts as C
 from forgeline.operators.topk import latest_per_key, merge_latest
 from forgeline.plans import refresh as R
 from forgeline.plans.models import MARTS, build_models
+from forgeline.plans.scoring import baseline_of_days, baseline_scores, machine_day_features
 from forgeline.sources.store import TableStore
 
 LINEAGE = (dt.datetime(2026, 1, 1), "f", "b")
@@ -62,6 +63,10 @@ def test_refresh_equals_a_rebuild(spark, store, seed):
         stored = R.stored_models(store)
         for m in [*MARTS, "int_production_enriched", "int_daily_machine_summary"]:
             assert rows_of(stored[m]) == rows_of(whole[m]), m
+        scores = rows_of(baseline_scores(machine_day_features(whole["mart_production_daily"])))
+        assert rows_of(baseline_of_days(store, sorted(after))) == scores
+        one = sorted(after)[len(after) // 2]
+        assert rows_of(baseline_of_days(store, [one])) == [x for x in scores if one.replace("-", ", ").replace(", 0", ", ") in x]
         assert R.refresh_models(store) == [] and store.parts("mart_production_daily") == after
 
 
