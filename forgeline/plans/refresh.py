@@ -114,11 +114,14 @@ def _downtime(store: TableStore, machines: DataFrame, new: dict[str, DataFrame])
     return store.read("mart_machine_downtime").join(named, "machine_id", "left_anti").unionByName(made)
 
 
+def raw_from_store(store: TableStore) -> dict[str, DataFrame]:
+    return {t: store.read(t, C.RAW_SCHEMAS[t]) for t in C.INGEST_ORDER}
+
+
 def stored_models(store: TableStore) -> dict[str, DataFrame]:
     """The model graph over the stored raw tables, with the enriched events and the marts as last refreshed
     (as long as no batch had events, or machines, theirs are made from the raw tables)."""
-    raw = {t: store.read(t, C.RAW_SCHEMAS[t]) for t in C.INGEST_ORDER}
-    models = build_models(raw) | {m: store.read(m) for m in MARTS if store.exists(m)}
+    models = build_models(raw_from_store(store)) | {m: store.read(m) for m in MARTS if store.exists(m)}
     if store.exists(ENRICHED):
         models[ENRICHED] = store.read(ENRICHED).drop("check_timestamp", _COUNT)
         models["int_daily_machine_summary"] = I.daily_summary_from_enriched(models[ENRICHED])

@@ -2,13 +2,14 @@ from conftest import write_files
 from plant_fixture import DAILY, DOWNTIME, FILES, QUALITY
 
 from forgeline.plans.ingest import ingest_folder
-from forgeline.plans.daily import materialize_models, raw_from_store
 from forgeline.plans.models import build_models
+from forgeline.plans.refresh import raw_from_store, refresh_models, stored_models
 
 
 def _models(spark, store, tmp_path):
     ingest_folder(spark, store, write_files(tmp_path / "in", FILES), "data/sample")
-    return materialize_models(store)
+    refresh_models(store)
+    return stored_models(store)
 
 
 def test_marts_from_ingested_batch(spark, store, tmp_path):
@@ -27,9 +28,10 @@ def test_marts_from_ingested_batch(spark, store, tmp_path):
 
 
 def test_enriched_keeps_newest_check_and_flags_duplicates(spark, store, tmp_path):
-    _models(spark, store, tmp_path)
-    rel = build_models(raw_from_store(store))
-    e = {r["event_id"]: r for r in rel["int_production_enriched"].collect()}
+    stored = _models(spark, store, tmp_path)["int_production_enriched"]
+    rel = build_models(raw_from_store(store))["int_production_enriched"]
+    assert sorted(map(repr, stored.select(rel.columns).collect())) == sorted(map(repr, rel.collect()))
+    e = {r["event_id"]: r for r in rel.collect()}
     assert e["E1"]["check_id"] == "C2" and e["E1"]["quality_result"] == "fail"
     assert e["E1"]["has_duplicate_quality_checks"] is True
     assert e["E2"]["has_duplicate_quality_checks"] is False
