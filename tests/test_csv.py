@@ -1,6 +1,13 @@
+import csv
+import io
+import random
+from contextlib import contextmanager
+
+import pytest
 from conftest import write_files
+from pyspark.sql import functions as F
 
-from forgeline.sources.csv import _files, read_csv, read_dataset, write_csv
+from forgeline.sources.csv import _files, read_csv, read_dataset, spanning_records, write_csv
 
 COLS = ["check_id", "production_event_id", "timestamp", "result", "defect_type", "inspector_id"]
 
@@ -118,10 +125,6 @@ def test_matches_python_dictreader_on_random_text(spark, tmp_path):
     """Random rows (commas, doubled quotes, embedded newlines, empty fields, short and
     long rows) written with standard quoting; named fields must equal what Python's
     csv.DictReader returns ('' for empty, None for fields a short row lacks)."""
-    import csv
-    import io
-    import random
-
     rng = random.Random(17)
     pool = ["plain", "", "a,b", 'say "hi"', "two\nlines", " padded ", "x", "1,2,3", '"', "\r\nz"]
 
@@ -168,3 +171,64 @@ def test_quarantine_keeps_the_whole_row(spark, store, tmp_path):
     ingest_folder(spark, store, folder, "x")
     raw = json.loads(store.read("quarantine").first()["raw_data"])
     assert raw == {"machine_id": "M1", "machine_name": "", "machine_type": "press", "install_date": "2020-01-01", "site": "north"}
+
+
+@contextmanager
+def small_splits(spark, size="16k"):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_a_large_file_with_quoted_newlines_is_read_by_many_tasks(spark, tmp_path, end):
+    """Random records, quoted line breaks of either kind and one field longer than several splits among them: equal
+    to Python's csv in every field and in order, and no task parses the file alone."""
+    rng = random.Random(23)
+    pool = ["plain", "", "a,b", 'say "hi"', "two\nlines", "three\r\nmore\n\nlines", " padded ", '"', "\r\nz", "\n", "é ü"]
+
+    def field():
+        v = rng.choice(pool)
+        return '"' + v.replace('"', '""') + '"' if any(ch in v for ch in ',"\n\r') else v
+
+    lines = ["", ",".join([*COLS, "shift"])]
+    for i in range(2500):
+        n = rng.choice([7, 7, 7, 4, 6, 8])
+        lines.append(",".join([f"C{i}"] + [field() for _ in range(n - 1)]))
+        if i % 400 == 7:
+            lines += ["", f'C{i}x,"' + "long\n" * 4000 + '",t', f'C{i}y,{"w" * 9000},t']
+    text = end.join(lines) + end
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ("a.csv", "b.csv"):
+        (folder / name).write_bytes(text.encode())
+    want = [tuple(r.get(c) for c in COLS) + (r.get("shift"),) for r in csv.DictReader(io.StringIO(text[len(end):], newline=""))]
+    with small_splits(spark):
+        got = read_csv(spark, str(folder), COLS)
+        rows = got.orderBy("_file", "_pos").collect()
+        files = _files(spark, str(folder)).collect()
+        plan = got._jdf.queryExecution().toString()
+    assert all(f["spans"] and f["split"] for f in files) and "FileScan csv" not in plan
+    own = [tuple(r)[:6] + (r["_extra"]["shift"],) for r in rows]
+    assert len(want) > 2500 and own == want * 2
+    assert [r["_file"].rsplit("/", 1)[-1] for r in rows] == ["a.csv"] * len(want) + ["b.csv"] * len(want)
+
+
+def test_irregular_quotes_are_left_to_the_parser(spark, tmp_path):
+    """Files whose quotes do not tell where records end are parsed from the start, those beside them are not."""
+    good = "".join(f'C{i},E1,t,fail,"two\nlines",INS1\n' for i in range(600))
+    head = ",".join(COLS) + "\n"
+    folder = write_files(tmp_path / "in", {
+        "good.csv": head + good, "stray.csv": head + good + 'S1,E1,5" pipe,fail,x,INS1\nS2,E1,6" pipe,fail,x,INS1\n' + good,
+        "open.csv": head + good + 'O1,E1,t,fail,"never closed\n', "mark.csv": head + good + "M1,E1,\ue000,fail,x,INS1\n"})
+    with small_splits(spark):
+        records, others = spanning_records(spark, [str(p) for p in sorted((tmp_path / "in").glob("*.csv"))])
+        got = read_csv(spark, folder, COLS)
+        by_file = {r["_file"].rsplit("/", 1)[-1]: r["n"] for r in got.groupBy("_file").agg(F.count("*").alias("n")).collect()}
+        stray = [tuple(r)[:6] for r in got.where("check_id in ('S1', 'S2', 'M1')").orderBy("check_id").collect()]
+    assert [o.rsplit("/", 1)[-1] for o in others] == ["mark.csv", "open.csv", "stray.csv"] and records.count() == 600
+    assert by_file == {"good.csv": 600, "stray.csv": 1202, "open.csv": 601, "mark.csv": 601}
+    assert stray == [("M1", "E1", "\ue000", "fail", "x", "INS1"), ("S1", "E1", '5" pipe', "fail", "x", "INS1"), ("S2", "E1", '6" pipe', "fail", "x", "INS1")]
