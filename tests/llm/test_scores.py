@@ -192,20 +192,20 @@ def test_quality_rules_nothing(nothing):
     assert quality_rules.judge(nothing).count() == 0 and quality_rules.keep_good(nothing).count() == 0
 
 
-@pytest.mark.parametrize("block,query_block", [(4096, 512), (16, 3)])
-def test_top_k(spark, block, query_block):
+@pytest.mark.parametrize("block,query_block,cells", [(4096, 512, 256), (16, 3, 256), (40, 2, 4), (16, 3, 1)])
+def test_top_k(spark, block, query_block, cells):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=6).round(1)]) for i in range(130)]
     rows += [(50, rows[3][1]), (300, rows[7][1]), (301, rows[7][1]), (302, [0.0] * 6), (400, None), (401, []), (402, [1.0, None, 0, 0, 0, 0]),
              (403, [float("nan")] + [0.0] * 5), (404, [float("inf")] + [0.0] * 5), (None, rows[0][1]), (450, [1.0, 2.0])]
     single = [(i, v and [x if x is None else float(np.float32(x)) for x in v]) for i, v in rows if (i, v) != (50, rows[3][1])]
     vectors = spark.createDataFrame([(i, v, 1, 2.0) for i, v in single], "vec_id long, embedding array<float>, rank int, score double")
-    got = vafile.top_k(vectors, vectors.where("vec_id % 50 = 0"), block=block, query_block=query_block).collect()
+    got = vafile.top_k(vectors, vectors.where("vec_id % 50 = 0"), block=block, query_block=query_block, cells=cells).collect()
     want = brute.best_products(single)
     assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == want and len(got) == len(want)
     # a second vector of one id is a candidate of its own; a repeated query row is asked once
     double = vectors.union(vectors.where("vec_id in (50, 60)"))
-    got = vafile.top_k(double, double.where("vec_id = 50"), block=block, query_block=query_block).collect()
+    got = vafile.top_k(double, double.where("vec_id = 50"), block=block, query_block=query_block, cells=cells).collect()
     assert [r["rank"] for r in sorted(got)] == [1, 2, 3, 4, 5] and all(r["vec_id"] != 50 for r in got)
 
 
@@ -214,3 +214,34 @@ def test_top_k_few(spark):
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in vafile.top_k(v, v.where("vec_id = 0")).collect()]
     assert got == [(0, 1, 1), (0, 2, 2)]
     assert vafile.top_k(v.where("false"), v.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("scale,cells,most", [(256, 256, 0.02), (1 << 16, 256, 0.02), (1 << 16, 16, 0.5)])
+def test_top_k_reads_few_exact_vectors(spark, scale, cells, most):
+    """The scan leaves few of all pairs, the best k among them, and bounds hold every exact score; copies do not add to it."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 24)) / 5
+    x[700:1300] = x[10]  # two fifths of all rows are one vector
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    q, v = vafile.prepared(rows, rows.where("vec_id % 50 = 0"), 5, scale)
+    assert v.count() == 900 + 5 and q.count() == 30  # ids 10 and 700 to 704 of the copies
+    left = vafile.scan(q, vafile.approximations(v, cells), 5, block=200, query_block=7).checkpoint()
+    assert 150 <= left.count() <= max(150, most * 30 * 905)
+    whole = np.floor(scale * x).astype(np.int64)
+    for r in vafile.read(left, q, v).join(left, ["q", "query_id", "place", "vec_id"]).collect():
+        assert r["lower"] <= r["score"] <= r["upper"] and r["score"] == whole[r["query_id"]] @ whole[r["vec_id"]]
+    want = set()
+    for i in range(0, 1500, 50):
+        best = sorted((-int(s), j) for j, s in enumerate(whole @ whole[i]) if j != i)[:5]
+        want |= {(i, n, j, -s) for n, (s, j) in enumerate(best, 1)}
+    assert {tuple(r) for r in vafile.top_k(rows, rows.where("vec_id % 50 = 0"), scale=scale, cells=cells).collect()} == want
+
+
+def test_top_k_large_components(spark):
+    """Whole numbers that doubles might round raise an error; large ones below are exact."""
+    big = spark.createDataFrame([(0, [2.0 ** 17, 1.0]), (1, [2.0 ** 17, 2.0]), (2, [2.0 ** 17, 3.0])], "vec_id long, embedding array<double>")
+    got = vafile.top_k(big, big.where("vec_id = 0"), k=1).collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(2, (1 << 50) + 256 * 768)]
+    over = big.withColumn("embedding", F.transform("embedding", lambda c: c * 16))
+    with pytest.raises(Exception, match="too large"):
+        vafile.top_k(over, over, k=1).collect()
