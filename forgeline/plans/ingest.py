@@ -12,7 +12,11 @@ import datetime as _dt
 import json
 import logging
 import uuid
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -203,18 +207,20 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
     staged = spark.read.parquet(stage)
     valid, rejected_rows = counts.get["valid"], counts.get["rows"] - counts.get["valid"]
 
-    inserted = 0
-    if valid:  # an all-rejected batch never touches the stored keys
+    def accept() -> int:
+        if not valid:  # an all-rejected batch never touches the stored keys
+            return 0
         pk = C.PRIMARY_KEY[table]
         winners = first_per_key(staged.filter(F.col("_reason").isNull()), [pk], ORDER_COLS)
         new_rows = insert_if_absent(winners, _stored_keys(store, table, staged.filter(F.col("_reason").isNull())), [pk])
         new_rows = stamp_lineage(new_rows.select(*typed_columns(table)), source_file, batch_id, loaded_at)
         ins = Observation(f"inserted_{table}_{uuid.uuid4().hex[:6]}")
         store.append(new_rows.observe(ins, F.count(F.lit(1)).alias("n")), table, lambda: ins.get["n"], key=[pk])
-        inserted = ins.get["n"]
+        return ins.get["n"]
 
-    quarantined = 0
-    if rejected_rows:  # a clean batch never reads or writes the quarantine table
+    def quarantine() -> int:
+        if not rejected_rows:  # a clean batch never reads or writes the quarantine table
+            return 0
         rejected = quarantine_rows(staged.filter(F.col("_reason").isNotNull()), table, source_file,
                                    batch_id, loaded_at)
         q_first = first_per_key(rejected, ["row_reference"], ORDER_COLS)
@@ -224,8 +230,9 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
         qobs = Observation(f"quarantined_{table}_{uuid.uuid4().hex[:6]}")
         store.append(q_new.select(*C.QUARANTINE_SCHEMA.fieldNames()).observe(
             qobs, F.count(F.lit(1)).alias("n")), "quarantine", lambda: qobs.get["n"])
-        quarantined = qobs.get["n"]
+        return qobs.get["n"]
 
+    inserted, quarantined = (step.result() for step in started(spark, [(accept, ()), (quarantine, ())]))
     # both outputs are committed; the staged copies of the batch are no longer read
     store.drop(stage_name)
     store.drop(parsed_name)
@@ -234,16 +241,35 @@ def ingest_table(store: TableStore, table: str, raw: DataFrame, source_file: str
     return stats
 
 
+def started(spark: SparkSession, steps: list[tuple[Callable, tuple[int, ...]]]) -> list[Future]:
+    """Steps that submit Spark jobs of their own, run at the same time; all have ended on return.
+
+    Each comes with the numbers of earlier steps that it waits for; if one of those fails, it fails likewise and does nothing."""
+    def run(step, waits):
+        for other in waits:
+            other.result()
+        return step()
+
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:  # a thread for each, so that none waits for a thread
+        out: list[Future] = []
+        for step, waits in steps:
+            out.append(pool.submit(inheritable_thread_target(spark)(run), step, [out[i] for i in waits]))
+    return out
+
+
 def ingest_dataset(store: TableStore, tables: dict[str, DataFrame], source_file: str,
                    batch_id: str | None = None, loaded_at: _dt.datetime | None = None) -> DataFrame:
-    """Ingest the four tables parents first; one batch id and load time for all.
+    """Ingest the four tables, each as soon as its parent is stored; one batch id and load time for all.
 
-    Returns the per-table counters as a DataFrame and appends them to the run log."""
+    A table that fails leaves the ones beside it to finish, and the batch raises its error.  Returns the per-table counters as a DataFrame and appends them to the run log."""
     batch_id = batch_id or str(uuid.uuid4())
     loaded_at = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     log.info(json.dumps({"event": "ingest_batch_started", "batch_id": batch_id, "source_file": source_file}))
     store.sweep()  # what a batch that failed left behind, and what earlier runs replaced
-    done = [(t, ingest_table(store, t, tables[t], source_file, batch_id, loaded_at)) for t in C.INGEST_ORDER if t in tables]
+    names = [t for t in C.INGEST_ORDER if t in tables]
+    steps = [(partial(ingest_table, store, t, tables[t], source_file, batch_id, loaded_at),
+              tuple(names.index(p) for p in [PARENT[t][1]] if p in names) if t in PARENT else ()) for t in names]
+    done = [(t, step.result()) for t, step in zip(names, started(store.spark, steps))]
     return log_stats(store, done, batch_id, source_file, loaded_at)
 
 

@@ -6,11 +6,12 @@ a table split by a column has one for each value, so that a run replaces those i
 All rows of one commit are one file that Spark writes, so several tables switch at once, and a half-written
 folder is never read.  What no row names any more is removed when the next run starts (``sweep``).
 
-One writer at a time is assumed; a store object reads ``_committed`` once and adds its own commits.
+One writing run at a time is assumed; a store object reads ``_committed`` once and adds its own commits.
 """
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -30,6 +31,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._known: list[tuple[int, str, str, str]] | None = None
+        self._lock = threading.RLock()  # steps of one run commit from several threads
 
     # -- folders (Hadoop FS, so any shared storage works) ------------------------------
     def _fs(self, path: str):
@@ -51,18 +53,21 @@ class TableStore:
 
     # -- committed folders ---------------------------------------------------------------
     def _rows(self) -> list[tuple[int, str, str, str]]:
-        if self._known is None:
+        with self._lock:
+            if self._known is not None:
+                return self._known
             found = self.spark.read.schema(COMMITTED).parquet(self.path("_committed")).orderBy("at").collect() if self._names("_committed") else []
             self._known = [tuple(r) for r in found]
         return self._known
 
     def commit(self, rows: list[Commit]) -> None:
         """Make the folders of several parts current at once."""
-        known = self._rows()
-        at = max(int(time.time() * 1e6), known[-1][0] + 1 if known else 0)
-        new = [(at, *r) for r in rows]
-        self.spark.createDataFrame(new, COMMITTED).coalesce(1).write.mode("append").parquet(self.path("_committed"))
-        known += new
+        with self._lock:
+            known = self._rows()
+            at = max(int(time.time() * 1e6), known[-1][0] + 1 if known else 0)
+            new = [(at, *r) for r in rows]
+            self.spark.createDataFrame(new, COMMITTED).coalesce(1).write.mode("append").parquet(self.path("_committed"))
+            self._known = known + new
 
     def parts(self, table: str) -> dict[str, str]:
         """The current folder of each part of a table."""

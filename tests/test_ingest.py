@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from conftest import write_files
 from plant_fixture import EVENTS_A, EVENTS_B, EVENTS_HEAD, FILES, FIRST_RUN, REASONS, SECOND_RUN
 from pyspark.sql import functions as F
@@ -267,3 +268,22 @@ def test_machine_rules_match_reference_on_random_rows(spark):
         return C.REASON_MISSING_REQUIRED if mtype is None else None
 
     assert got == [want(*r[:4]) for r in rows]
+
+
+def test_steps_run_together_but_after_those_they_wait_for(spark):
+    """Two steps that need each other's start to end do end; a step does nothing if one it waits for failed."""
+    from threading import Barrier
+
+    from forgeline.plans.ingest import started
+
+    both, ran = Barrier(2, timeout=30), []
+
+    def fail():
+        raise ValueError("first")
+
+    steps = started(spark, [(both.wait, ()), (both.wait, ()), (fail, (0,)), (lambda: ran.append(3), (1, 2)), (lambda: ran.append(4), (1,))])
+    assert ran == [4] and steps[4].exception() is None
+    for i in (2, 3):
+        with pytest.raises(ValueError, match="first"):
+            steps[i].result()
+    assert started(spark, []) == []
