@@ -115,6 +115,16 @@ def fit(sample: list[tuple[bytes, int]], rank: int = RANK, seed: int = 5) -> Mod
     return Model(weight, axes, _unit(x @ axes), np.array([y for _, y in sample], np.float32))
 
 
+def _nearest(cos: np.ndarray, k: int) -> np.ndarray:
+    """The columns of each row's k largest values, of equal ones the first."""
+    least = np.partition(cos, cos.shape[1] - k, axis=1)[:, cos.shape[1] - k]
+    held = cos >= least[:, None]
+    for i in np.flatnonzero(held.sum(axis=1) > k):
+        even = np.flatnonzero(cos[i] == least[i])
+        held[i, even[k - np.count_nonzero(cos[i] > least[i]):]] = False
+    return np.nonzero(held)[1].reshape(-1, k)
+
+
 def votes(b: Batch, m: Model, k: int = K) -> np.ndarray:
     """Weighted vote of each text's k most similar labelled rows."""
     if not len(m.labels):
@@ -124,7 +134,7 @@ def votes(b: Batch, m: Model, k: int = K) -> np.ndarray:
     v = _unit(_tfidf(counts(b), m.weight) @ m.axes)
     for lo in range(0, len(v), 256):
         cos = v[lo:lo + 256] @ m.vectors.T
-        near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
+        near = _nearest(cos, k)
         w = np.maximum(np.take_along_axis(cos, near, axis=1), 1e-6).astype(float) ** 8
         out[lo:lo + 256] = (w * m.labels[near]).sum(axis=1) / w.sum(axis=1)
     return out

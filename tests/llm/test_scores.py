@@ -104,6 +104,24 @@ def test_toxicity_has_a_dictionary_of_toxic_text():
         assert sum(late) > 100 and any(late[-30:])
 
 
+def test_toxicity_windows_compressed_one_by_one():
+    """The features are those of window lengths that plain compressors give, one call for a window."""
+    rng = random.Random(6)
+    text = lambda bad: " ".join(rng.choice(("vile scum rotten".split() if bad and rng.random() < 0.2 else "sun rain cloud river stone tree".split())) for _ in range(60)).encode()
+    model = toxicity.fit([(text(i % 4 == 0), int(i % 4 == 0)) for i in range(240)], 0.25)
+    texts = [b"", b"one", text(True), text(False), b"word " * 30_000 + b"vile scum " + b"\xc3\xa9" * 400_000, "a\u2003b ".encode() * 50]
+    got = toxicity.differences(model.compressors(), texts, most=1000)
+    alone = [[[toxicity._compressor(d) for d in pair] for pair in group] for group in model.dictionaries]
+    for t, row in zip(texts, got):
+        ws = toxicity.windows(toxicity.words(t))
+        for g, group in enumerate(alone):
+            gains = [np.mean([len(o.compress(w)) - len(x.compress(w)) for o, x in group]) for w in ws]
+            both = sorted((a + b for a, b in zip(gains, gains[1:])), reverse=True)
+            over = sum(max(x - 4, 0) for x in both)
+            want = [max(x, 0) for x in (both + [0, 0, 0])[:3]] + [math.log1p(over), over / max(1, len(both))]
+            assert row[5 * g:5 * g + 5].tolist() == pytest.approx(want)
+
+
 def test_toxicity_without_classes(spark, nothing):
     model = toxicity.fit([(b"a b c", 0)] * 5, 0.25)
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
@@ -178,6 +196,15 @@ def test_no_language_is_dropped(spark):
     assert {r["doc_id"] for r in quality_rules.keep_good(docs, rules).collect()} == {i for i, k in kept.items() if k}
 
 
+def test_nearest_takes_the_first_of_equal_rows():
+    rng = np.random.default_rng(2)
+    cos = rng.integers(0, 6, size=(300, 90)).astype(np.float32) / 8
+    cos[0] = 0.5
+    want = [sorted(sorted(range(90), key=lambda j: (-row[j], j))[:25]) for row in cos]
+    assert latent_knn._nearest(cos, 25).tolist() == want and want[0] == list(range(25))
+    assert latent_knn._nearest(cos, 90).tolist() == [list(range(90))] * 300
+
+
 def test_fit_sample_is_filled_up(spark):
     """Long texts are no part of a fit, but do not make it smaller; contradictory labels are left out."""
     docs = spark.createDataFrame([(i, "long " * 20_000 if i % 10 else f"text {i}") for i in range(400)] + [(0, "text 00")], "doc_id long, text string")
