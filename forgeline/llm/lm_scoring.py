@@ -23,6 +23,7 @@ from forgeline.llm.blocks import BLOB, SHARD_BYTES, Dealt, answered, blob_table,
 from forgeline.llm.textbatch import mix64, parse, word_hashes
 
 BLOCK_BYTES = 8 << 20
+SCORED_WORDS = 1 << 17  # scored at a time: the arrays of that step follow them, or the longest document, and not the block
 MIN_COUNT = 2
 PULL = 4.0
 ADD = 0.1
@@ -38,12 +39,26 @@ def _blob(keys: np.ndarray, base: np.ndarray, target: np.ndarray, bits: int):
         yield s, planes(low[i:j].astype("<u8"), _KEY_BYTES) + planes(base[i:j].astype("<i8"), 4) + planes(target[i:j].astype("<i8"), 4)
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the number of each one's key."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    distinct = ordered[first]
+    del ordered
+    which = np.empty(len(keys), np.int32)
+    which[order] = np.cumsum(first, dtype=np.int32) - 1
+    return distinct, which
+
+
 def _sums(blobs: list[bytes]) -> list[bytes]:
     width = _KEY_BYTES + 8
     size = [len(x) // width for x in blobs]
     key = np.concatenate([unplanes(x, n, "<u8", _KEY_BYTES) for x, n in zip(blobs, size)])
     counts = [np.concatenate([unplanes(x[(_KEY_BYTES + 4 * k) * n:], n, "<i8", 4) for x, n in zip(blobs, size)]) for k in (0, 1)]
-    keys, which = np.unique(key, return_inverse=True)
+    keys, which = _numbered(key)
+    del key
     sums = [np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)]
     for total, own in zip(sums, counts):
         np.add.at(total, which, own)
@@ -73,7 +88,8 @@ class _Texts:
         self.batch = parse(table.column("text"))
         self.target = np.array([d is not None and d in chosen for d in table.column("doc_id").to_pylist()], bool)
         self.own = self.target[self.batch.doc]  # of each word
-        self.keys, self.which = np.unique(word_hashes(self.batch), return_inverse=True)
+        self.keys, self.which = _numbered(word_hashes(self.batch))
+        self.batch.data = self.batch.starts = self.batch.ends = None  # the words are numbers from here on
 
     def counts(self, which: np.ndarray, n: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.bincount(which, minlength=n), np.bincount(which[own], minlength=n)
@@ -83,37 +99,44 @@ class _Texts:
         base, target, self.totals = _read(self.keys, replies(got, 1), bits)
         known = base >= MIN_COUNT
         self.base, self.tgt = np.where(known, base, self.totals[3]), np.where(known, target, self.totals[4])
-        self.word = np.where(known, self.keys, _UNKNOWN)[self.which]
-        _, self.number = np.unique(self.word, return_inverse=True)
+        word = np.where(known, self.keys, _UNKNOWN)
+        _, number = _numbered(word)
+        self.number = number[self.which]  # of each word, the same for all words out of the vocabulary
         self.second = np.flatnonzero(self.batch.doc[1:] == self.batch.doc[:-1]) + 1  # words with one before
-        pair = mix64(self.word[self.second - 1] * np.uint64(0x9E3779B97F4A7C15) + mix64(self.word[self.second]))
-        self.pairs, self.pair = np.unique(pair, return_inverse=True)
+        pair = word[self.which[self.second]]
+        pair = mix64(pair)
+        pair += word[self.which[self.second - 1]] * np.uint64(0x9E3779B97F4A7C15)
+        self.pairs, self.pair = _numbered(mix64(pair))
 
     def in_document(self, which: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """How often each one's own document has it."""
         _, place, times = np.unique(doc * (int(which.max(initial=0)) + 1) + which, return_inverse=True, return_counts=True)
         return times[place]
 
-    def log_probability(self, word: np.ndarray, pair: np.ndarray, total: int, mine: np.ndarray, once: np.ndarray, once_pair: np.ndarray) -> np.ndarray:
-        """log2 probability of each word, with the document's own counts (where ``mine``) taken out."""
-        doc = self.batch.doc
-        count = word[self.which] - once * mine
-        whole = total - self.batch.n_words[doc] * mine
-        p = (count + ADD) / (whole + ADD * (self.totals[0] + 1))
-        at = self.second
-        after = pair[self.pair] - once_pair * mine[at]
+    def log_probability(self, word: np.ndarray, pair: np.ndarray, total: int, mine: np.ndarray, at: np.ndarray, once: np.ndarray, once_pair: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """log2 probability of some words, with the document's own counts (where ``mine``) taken out; ``at``: those with one before."""
+        count = word - once * mine
+        p = (count + ADD) / (total - whole * mine + ADD * (self.totals[0] + 1))
+        after = pair - once_pair * mine[at]
         p[at] = (after + PULL * p[at]) / (count[at - 1] + PULL)
         return np.log2(p)
 
     def scores(self, got: pa.Table, bits: int):
+        """Bits for each word of every document, by the target and by the background; a few documents at a time."""
         base, target, _ = _read(self.pairs, replies(got, 2), bits)
-        doc, n = self.batch.doc, len(self.batch)
-        once, once_pair = self.in_document(self.number, doc), self.in_document(self.pair, doc[self.second])
-        every = np.ones(len(doc), np.int64)
-        b = self.log_probability(self.base, base, self.totals[1], every, once, once_pair)
-        t = self.log_probability(self.tgt, target, self.totals[2], self.own.astype(np.int64), once, once_pair)
-        words = np.maximum(self.batch.n_words, 1)
-        return [-np.bincount(doc, weights=x, minlength=n) / words for x in (t, b)]
+        n, n_words = len(self.batch), self.batch.n_words
+        bits_of = np.zeros((2, n))
+        lo = 0
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(self.batch.first, self.batch.first[lo] + SCORED_WORDS, side="right")) - 1)
+            i, j = self.batch.first[lo], self.batch.first[hi]
+            a, b = np.searchsorted(self.second, (i, j))
+            doc, which, pair, at = self.batch.doc[i:j] - lo, self.which[i:j], self.pair[a:b], self.second[a:b] - i
+            once, once_pair, whole = self.in_document(self.number[i:j], doc), self.in_document(pair, doc[at]), n_words[lo:hi][doc]
+            for k, (word, pairs, total, mine) in enumerate(((self.tgt, target, self.totals[2], self.own[i:j].astype(np.int64)), (self.base, base, self.totals[1], np.ones(j - i, np.int64)))):
+                bits_of[k, lo:hi] = -np.bincount(doc, weights=self.log_probability(word[which], pairs[pair], total, mine, at, once, once_pair, whole), minlength=hi - lo)
+            lo = hi
+        return list(bits_of / np.maximum(n_words, 1))
 
 
 _OUT = "doc_id long, n_words long, target_bits double, background_bits double, score double"

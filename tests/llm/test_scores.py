@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import brute
@@ -58,6 +59,43 @@ def test_lm_scoring(spark, corpus, corpus_rows, block_bytes, shard_bytes):
     assert np.allclose([h[2:] for h in have], [w[2:] for w in want], atol=3e-6)
 
 
+def _lm_block(n_docs):
+    """A block of many short documents with answers from shards that hold nothing else, as cross_entropy_difference makes them."""
+    rng = random.Random(7)
+    table = pa.table({"doc_id": pa.array(range(n_docs), pa.int64()), "text": [" ".join(f"w{int(rng.random() ** 3 * 20_000)}" for _ in range(60)) for _ in range(n_docs)]})
+    kinds = lambda kind, parts: [(s, kind, lm_scoring._sums([b])[0], None) for s, b in parts]
+    rows = [(0, 0, None, d) for d in range(0, n_docs, 3)]
+    got = lambda: pa.table([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.int64()))], names=["shard", "kind", "blob", "doc_id"])
+    t = lm_scoring._Texts(table, got())
+    rows += kinds(1, lm_scoring._blob(t.keys, *t.counts(t.which, len(t.keys), t.own), 2))
+    t.with_words(got(), 2)
+    rows += kinds(2, lm_scoring._blob(t.pairs, *t.counts(t.pair, len(t.pairs), t.own[t.second]), 2))
+    return table, got()
+
+
+def _lm_scores(table, got):
+    t = lm_scoring._Texts(table, got)
+    t.with_words(got, 2)
+    return t.scores(got, 2)
+
+
+def test_lm_scores_do_not_depend_on_the_words_scored_at_a_time(monkeypatch):
+    table, got = _lm_block(50)
+    whole = _lm_scores(table, got)
+    for words in (1, 61, 1000):
+        monkeypatch.setattr(lm_scoring, "SCORED_WORDS", words)
+        assert all((a == b).all() for a, b in zip(whole, _lm_scores(table, got)))
+
+
+def test_lm_scoring_holds_few_arrays_of_a_block():
+    table, got = _lm_block(8000)  # 480,000 words
+    tracemalloc.start()
+    _lm_scores(table, got)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 480_000 * 130, peak / 480_000  # bytes for each word
+
+
 def labelled_texts(n=900, seed=1):
     rng = random.Random(seed)
     syllables = "an er on in the re ing ed tion ou ha es st or ti he".split()
