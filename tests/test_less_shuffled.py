@@ -1,20 +1,26 @@
 """Steps that shuffle keys instead of rows, and tasks whose memory does not grow with the input."""
 
 import glob
+import gzip
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from forgeline import contracts as C
 from forgeline.catalog import runs
+from forgeline.functions import parse_timestamp
 from forgeline.operators import dedup
 from forgeline.operators.quality import dq_report
 from forgeline.operators.validate import mark_known
 from forgeline.plans import refresh as R
+from forgeline.plans.ingest import classify_maintenance_events
 from forgeline.plans import staging as S
 from forgeline.plans.models import build_models
 from forgeline.plans.tests_suite import SUITE
 from forgeline.session import INITIAL_PARTITIONS, shuffled_by_size
+from forgeline.sources.csv import _files, write_csv
 
 ORDER = ["_file", "_pos"]
 
@@ -104,3 +110,35 @@ def test_report_stacks_rows_without_a_lambda(spark):
     stacks = [line for line in report._jdf.queryExecution().analyzed().toString().splitlines() if "Generate explode" in line and "domain" in line and "place" in line]
     assert stacks and not any("filter(array(" in line for line in stacks)
     assert report.count() == 48
+
+
+def test_lines_of_a_file_are_looked_at_without_a_sort(spark, tmp_path):
+    texts = {"plain": "a,b\n1,2\n", "quoted": 'a,b\n"",2\n"x ""y"" z",3\n', "spans": 'a,b\n1,"x\ny"\n', "header": '"a\nc",b\n1,2\n', "é": 'a,b\n"é",ü\n'}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    files = _files(spark, str(tmp_path))
+    physical = files._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in physical and "Sort [" not in physical
+    assert "contains" in plan(files).lower()  # most lines have no quote to count
+    got = {(r["first"], r["spans"], r["split"]) for r in files.collect()}
+    assert got == {("a,b", False, False), ("a,b", True, False), ('"a', True, False)}
+
+
+def test_packed_export_is_quick_to_pack(spark, tmp_path):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(f"L{i}-{rng.randrange(9999)}", f"2024-01-{1 + rng.randrange(28):02d}T00:00:00") for i in range(20_000)], "k string, at string").coalesce(1)
+    write_csv(df, str(tmp_path / "out"), 1_000_000)
+    [part] = glob.glob(str(tmp_path / "out/part-*.csv.gz"))
+    text = gzip.decompress(open(part, "rb").read())
+    assert len(text.splitlines()) == 20_001 and os.path.getsize(part) > 1.05 * len(gzip.compress(text, 6))
+
+
+def test_plain_maintenance_times_are_read_without_the_lambda(spark):
+    times = ["2024-01-02T03:04:05", "2024-01-02 03:04:05", "1999-12-31T23:59:59", "2024-02-30T00:00:00", "2024-01-02T25:00:00", "2024-01-02T03:04:05.25", "2024-01-02",
+             "20240102T0304", "2024-01-02T03:04:05+02:00", "2024-01-02T03:04Z", " 2024-01-02T03:04:05", "0000-01-01T00:00:00", "", "x", None]
+    df = spark.createDataFrame([(f"T{i}", "M1", a, b, "inspection", "TEC1") for i, a in enumerate(times) for b in (times[0], a)],
+                               "maintenance_id string, machine_id string, start_time string, end_time string, maintenance_type string, technician_id string")
+    made = classify_maintenance_events(df, spark.createDataFrame([("M1",)], "machine_id string"))
+    assert plan(made).count("CASE WHEN RLIKE(start_time") + plan(made).count("CASE WHEN start_time") > 0
+    want = df.select("maintenance_id", parse_timestamp("start_time").alias("s"), parse_timestamp("end_time").alias("e")).collect()
+    assert sorted(map(str, made.select("maintenance_id", "_start", "_end").collect())) == sorted(str(r).replace("s=", "_start=", 1).replace(" e=", " _end=", 1) for r in want)
