@@ -86,11 +86,15 @@ class WordBpe:
 
     def _plain(self, text: str) -> list[str]:
         if not text.isascii():
-            if self.unassigned.search(text):  # code points newer than Python's tables
+            if self._unknown("".join(set(text))):
                 return self._by_library(text)
             text = unicodedata.normalize("NFC", text).translate(_SIGMA)
         return self.word.findall(self.space.sub(" ", text).lower())
 
+    def _unknown(self, chars: str) -> bool:
+        """Whether Python's tables or those of ``regex``, which may be newer than the library's, lack one of the characters."""
+        return any(unicodedata.category(c) == "Cn" for c in chars) or bool(self.unassigned.search(chars))
+
     def _by_library(self, text: str) -> list[str]:
         """The same split by the library's own normaliser and splitter."""
         from tokenizers import Tokenizer

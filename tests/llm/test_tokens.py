@@ -44,6 +44,13 @@ def test_any_text(word_tokenizer, texts):
         assert shown.decode() == word_tokenizer.decode(want, skip_special_tokens=False)
 
 
+def test_characters_newer_than_the_library(word_tokenizer):
+    """A character that only some of the Unicode tables in use know is split as the library does."""
+    texts = [f":{c}a{c}7{c}" for c in "\U0003d000\u0558\u088f\u1acf\U0003fc3f\u0378\U00031350"]
+    for t, (ids, _) in zip(texts, bpe.load().encode_block(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == word_tokenizer.encode(t, add_special_tokens=False).ids
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_byte_ids(byte_tokenizer, text):
