@@ -5,7 +5,10 @@ import gzip
 import os
 import random
 
+import pyarrow.parquet as pq
 import pytest
+from conftest import write_files
+from plant_fixture import FILES
 from pyspark.sql import functions as F
 
 from forgeline import contracts as C
@@ -13,14 +16,15 @@ from forgeline.catalog import runs
 from forgeline.functions import parse_timestamp
 from forgeline.operators import dedup
 from forgeline.operators.quality import dq_report
-from forgeline.operators.validate import mark_known
+from forgeline.operators.validate import mark_known, named_keys
 from forgeline.plans import refresh as R
-from forgeline.plans.ingest import classify_maintenance_events
+from forgeline.plans.ingest import classify_maintenance_events, ingest_folder
 from forgeline.plans import staging as S
 from forgeline.plans.models import build_models
 from forgeline.plans.tests_suite import SUITE
 from forgeline.session import INITIAL_PARTITIONS, shuffled_by_size
 from forgeline.sources.csv import _files, write_csv
+from forgeline.sources.store import TableStore
 
 ORDER = ["_file", "_pos"]
 
@@ -142,3 +146,45 @@ def test_plain_maintenance_times_are_read_without_the_lambda(spark):
     assert plan(made).count("CASE WHEN RLIKE(start_time") + plan(made).count("CASE WHEN start_time") > 0
     want = df.select("maintenance_id", parse_timestamp("start_time").alias("s"), parse_timestamp("end_time").alias("e")).collect()
     assert sorted(map(str, made.select("maintenance_id", "_start", "_end").collect())) == sorted(str(r).replace("s=", "_start=", 1).replace(" e=", " _end=", 1) for r in want)
+
+
+@pytest.fixture
+def never_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_meet_no_stored_keys_where_there_are_none(spark, never_broadcast):
+    rows = spark.range(20).select(F.when(F.col("id") >= 0, F.raise_error(F.lit("the rows were computed"))).cast("string").alias("k"))
+    none = spark.range(3).where("id > 5").select(F.col("id").cast("string").alias("k"))
+    assert dedup.insert_stored_if_absent(rows, none, ["k"]) is rows
+
+
+def test_many_rows_meet_stored_keys_without_a_sort(spark, monkeypatch, never_broadcast):
+    monkeypatch.setattr(dedup, "FEW_KEYS", 3)
+    rows = spark.range(50).select(F.concat(F.lit("k"), F.col("id")).alias("k"), "id")
+    for stored in (["k1", "k2", "x", "y", "z"], ["k1"] * 3 + ["k2"] + [f"x{i}" for i in range(1000)]):
+        met = []
+        out = dedup.insert_stored_if_absent(rows, spark.createDataFrame([(k,) for k in stored], "k string"), ["k"], lambda df: met.append(df) or df)
+        physical = met[0]._jdf.queryExecution().executedPlan().toString()
+        assert ("ShuffledHashJoin" in physical) == (len(stored) < 10)  # more than all tasks hold are sorted
+        assert sorted(r["id"] for r in out.collect()) == [0, *range(3, 50)]
+    named = spark.createDataFrame([(f"k{i}",) for i in range(6)], "fk string")
+    plans = []
+    monkeypatch.setattr(type(rows), "checkpoint", lambda df, *a: plans.append(df) or df)
+    assert {r["k"] for r in named_keys(named, "fk", rows.select("k"), "k", 6).collect()} == {f"k{i}" for i in range(6)}
+    assert "ShuffledHashJoin" in plans[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staged_rows_have_no_dictionaries(spark, tmp_path):
+    class Kept(TableStore):
+        def drop(self, relative):
+            if not relative.startswith("_staging"):
+                super().drop(relative)
+
+    ingest_folder(spark, Kept(spark, str(tmp_path / "store")), write_files(tmp_path / "in", FILES), "day")
+    files = glob.glob(str(tmp_path / "store/_staging/*-classified/*.parquet"))
+    groups = [pq.ParquetFile(f).metadata.row_group(0) for f in files if pq.ParquetFile(f).metadata.num_row_groups]
+    assert groups and not any("DICTIONARY" in e for g in groups for i in range(g.num_columns) for e in g.column(i).encodings)
