@@ -218,3 +218,17 @@ def test_sample_machine_days_golden_values(spark):
         assert (r["baseline_mean"], r["baseline_stddev"]) == (mean, sd)
         assert round(r["baseline_z_score"], 6) == z and r["is_baseline_anomaly"] is flag
     assert sum(r["is_baseline_anomaly"] for r in out.values()) == 5
+
+
+def test_forest_rows_are_drawn_without_a_lambda(spark):
+    import hashlib
+
+    from forgeline.operators.iforest import tree_samples
+
+    df = spark.range(2000).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").cast("int").alias("x"))
+    samples = tree_samples(df, "key", ["x"], 5, 8, 2000, 42)
+    assert "lambda" not in samples._jdf.queryExecution().analyzed().toString()
+    want = {(t, k) for t in range(5) for k in sorted((f"k{i}" for i in range(2000)), key=lambda k: hashlib.md5(f"42|{t}|row|{k}".encode()).hexdigest())[:8]}
+    assert {(r["tree"], r["key"]) for r in samples.collect()} == want
+    redrawn = tree_samples(df, "key", ["x"], 5, 8, 2000, 42, only_trees=[3], prefilter=False)
+    assert {(r["tree"], r["key"]) for r in redrawn.collect()} == {x for x in want if x[0] == 3}
