@@ -7,7 +7,7 @@ import pytest
 from conftest import write_files
 from pyspark.sql import functions as F
 
-from forgeline.sources.csv import _files, read_csv, read_dataset, spanning_records, write_csv
+from forgeline.sources.csv import _files, read_csv, read_dataset, shape_text, spanning_records, with_file_order, write_csv
 
 COLS = ["check_id", "production_event_id", "timestamp", "result", "defect_type", "inspector_id"]
 
@@ -188,7 +188,7 @@ def test_a_large_file_with_quoted_newlines_is_read_by_many_tasks(spark, tmp_path
     """Random records, quoted line breaks of either kind and one field longer than several splits among them: equal
     to Python's csv in every field and in order, and no task parses the file alone."""
     rng = random.Random(23)
-    pool = ["plain", "", "a,b", 'say "hi"', "two\nlines", "three\r\nmore\n\nlines", " padded ", '"', "\r\nz", "\n", "é ü"]
+    pool = ["plain", "", "a,b", 'say "hi"', "two\nlines", "three\r\nmore\n\nlines", " padded ", '"', "\r\nz", "\n", "é\u2028ü"]
 
     def field():
         v = rng.choice(pool)
@@ -232,3 +232,44 @@ def test_irregular_quotes_are_left_to_the_parser(spark, tmp_path):
     assert [o.rsplit("/", 1)[-1] for o in others] == ["mark.csv", "open.csv", "stray.csv"] and records.count() == 600
     assert by_file == {"good.csv": 600, "stray.csv": 1202, "open.csv": 601, "mark.csv": 601}
     assert stray == [("M1", "E1", "\ue000", "fail", "x", "INS1"), ("S1", "E1", '5" pipe', "fail", "x", "INS1"), ("S2", "E1", '6" pipe', "fail", "x", "INS1")]
+
+
+def test_plain_files_are_split_as_the_parser_would(spark, tmp_path):
+    """Files without quotes are read without the CSV parser, which reads the same rows from them."""
+    rng = random.Random(11)
+    pieces = ["a", "é", "漢", " ", "  ", "\t", "\x01", "\x1f", "\x0b", "\x85", "\u2028", "'", "\\", ";", "#", "|", "\ufeff", "1.5", "x y", "", ""]
+    head = ",".join([*COLS, "more"])
+
+    def line():
+        return ",".join("".join(rng.choice(pieces) for _ in range(rng.randrange(4))) for _ in range(rng.choice([7, 7, 7, 1, 3, 9])))
+
+    def text(end):
+        return (end.join([head, *(line() for _ in range(1500)), "", " ", "\t\x01", "solo", ",,,,,,"]) + end).encode()
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, data in {"a": text("\n"), "b": text("\r\n"), "again": text("\n") + f"{head}\nC1,E1\n".encode(), "quoted": text("\n") + b'C2,"E,2"\n', "zero": text("\n") + b"C3,\0,x\n",
+                       "bytes": text("\n") + b"C4,\xff\xc3,x\n", "blank": b"\n" + text("\n"), "other": b"check_id,result\nC5,pass\n", "open": text("\n")[:-1]}.items():
+        (folder / f"{name}.csv").write_bytes(data)
+    plain = {r["file"].rsplit("/", 1)[-1][:-4] for r in _files(spark, str(folder), head).collect() if r["plain"]}
+    assert plain == {"a", "b", "open"}
+    columns = [*COLS, "lacking"]
+    with small_splits(spark):
+        got = read_csv(spark, str(folder), columns)
+        schema = ", ".join(f"{c} string" for c in [*COLS, "more", "_corrupt_record"])
+        for name in plain:
+            parsed = shape_text(spark.read.schema(schema).options(header=True, escape='"', columnNameOfCorruptRecord="_corrupt_record").csv(f"{folder}/{name}.csv"), [*COLS, "more"], columns)
+            want = with_file_order(parsed).orderBy("_pos").drop("_file", "_pos").collect()
+            assert len(want) > 1300 and got.where(F.col("_file").endswith(f"/{name}.csv")).orderBy("_pos").drop("_file", "_pos").collect() == want
+        physical = read_csv(spark, f"{folder}/a.csv", columns)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in physical
+    assert got.where("check_id in ('C1', 'check_id', 'C2', 'C3', 'C5')").count() == 5
+
+
+def test_empty_text_is_exported_without_quotes(spark, tmp_path):
+    rows = [("", None, "x"), (None, None, None), ("a,b", "", "")]
+    write_csv(spark.createDataFrame(rows, "a string, b string, c string").coalesce(1), str(tmp_path / "out.csv"))
+    [part] = (tmp_path / "out.csv").glob("part-*.csv")
+    assert sorted(part.read_text().splitlines()) == ['"a,b",,', ",,", ",,x", "a,b,c"]
+    write_csv(spark.createDataFrame([("",), ("x",)], "a string"), str(tmp_path / "one.csv"))
+    assert sorted(_rows(read_csv(spark, str(tmp_path / "one.csv"), ["a"]))) == [("",), ("x",)]
